@@ -137,6 +137,8 @@ def fact_spans(
         F.max("parent_is_partner").alias("parent_is_partner"),
         F.max("child_is_partner").alias("any_partner_child"),
     )
+    if keep_unmapped:
+        spans = spans.na.fill(HIERARCHY, ["source"])
     keys = ["manager_account_id", "entity_id", "marketplace_id", "source"]
     managed = (
         merge_spans(spans, keys)

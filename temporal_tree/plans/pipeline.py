@@ -177,15 +177,19 @@ def output_stage(times: Temporal, normalized: Normalized, run: Run) -> Star:
 
 @dataclass(frozen=True)
 class Result:
+    """The stages of a run. Each is computed when it, or a later one, is first used."""
+
     run: Run
     extracted: RawInputs
-    normalized: Normalized
-    hierarchy_of: object
+
+    @cached_property
+    def normalized(self) -> Normalized:
+        return normalize_stage(self.extracted, self.run)
 
     @cached_property
     def hierarchy(self) -> DataFrame:
-        """Built when first asked for; the collapsed fact does not depend on it."""
-        return self.hierarchy_of()
+        """Every path with its flags. The collapsed fact does not depend on it."""
+        return hierarchy_stage(self.normalized, self.run)
 
     @cached_property
     def temporal(self) -> Temporal:
@@ -195,21 +199,15 @@ class Result:
     def star(self) -> Star:
         return output_stage(self.temporal, self.normalized, self.run)
 
+    def check(self, name: str) -> DataFrame:
+        """The report of one stage: relationships, mappings, hierarchy, segments or fact."""
+        return _CHECKS[name](self)
+
     @cached_property
     def checks(self) -> dict[str, DataFrame]:
-        """The reports of every stage; empty when validation is off."""
-        if not self.run.options.validate:
-            return {}
-        fact = self.star.fact
-        return {
-            "relationships": quality.relationships(self.extracted.relationships),
-            "mappings": quality.mappings(self.normalized.mappings),
-            "hierarchy": quality.hierarchy(
-                self.hierarchy, self.normalized.edges, self.run.options.max_depth
-            ),
-            "segments": quality.segments(fact),
-            "fact": quality.fact(fact),
-        }
+        """The reports of all stages; empty when validation is off."""
+        names = _CHECKS if self.run.options.validate else ()
+        return {name: self.check(name) for name in names}
 
     def close(self) -> None:
         """Release caches and delete the run's scratch tables; its DataFrames stop working."""
@@ -218,8 +216,19 @@ class Result:
         self.run.scratch.drop()
 
 
+_CHECKS = {
+    "relationships": lambda r: quality.relationships(r.extracted.relationships),
+    "mappings": lambda r: quality.mappings(r.normalized.mappings),
+    "hierarchy": lambda r: quality.hierarchy(
+        r.hierarchy, r.normalized.edges, r.run.options.max_depth
+    ),
+    "segments": lambda r: quality.segments(r.star.fact),
+    "fact": lambda r: quality.fact(r.star.fact),
+}
+
+
 def run(raw: RawInputs, options: PipelineOptions | None = None) -> Result:
-    """All five stages. Normalisation runs at once, the rest when its result is first used.
+    """All five stages, lazily.
 
     Scratch tables go to the session's spark.checkpoint.dir; `Result.close` deletes them.
     """
@@ -228,6 +237,4 @@ def run(raw: RawInputs, options: PipelineOptions | None = None) -> Result:
         now = datetime.now(timezone.utc).replace(tzinfo=None)
         options = replace(options, load_ts=now)
     state = Run(options, Scratch(raw.relationships.sparkSession))
-    extracted = extract_stage(raw)
-    normalized = normalize_stage(extracted, state)
-    return Result(state, extracted, normalized, lambda: hierarchy_stage(normalized, state))
+    return Result(state, extract_stage(raw))

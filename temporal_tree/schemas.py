@@ -18,8 +18,18 @@ STANDALONE = "STANDALONE"
 INHERITANCE = "INHERITANCE"
 
 
-def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "long": T.LongType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
+
+
+def _struct(columns: str) -> T.StructType:
+    named = (column.split() for column in columns.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in named])
 
 
 RAW_RELATIONSHIPS = _struct(
