@@ -30,6 +30,13 @@ _SAMPLE_MAPPINGS = [
 ]
 
 
+_CUSTOMER = "c_custkey long, c_nationkey int, c_acctbal double, c_mktsegment string"
+_ORDERS = (
+    "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz, "
+    "o_orderpriority string"
+)
+
+
 def sample_raw(spark: SparkSession) -> RawInputs:
     """The sample rows as raw inputs."""
     edges = [(parent, child, at, at, "N") for parent, child, at in _SAMPLE_EDGES]
@@ -46,8 +53,8 @@ def raw_from_star(spark: SparkSession, sf_dir: str) -> RawInputs:
     Remainders of the keys only decide which accounts get a second parent, a back edge, a dirty
     row or a flag; no row of the tables is left out. FIXTURES.md has the same rules in words.
     """
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    customer = spark.read.schema(_CUSTOMER).parquet(f"{sf_dir}/customer.parquet")
+    orders = spark.read.schema(_ORDERS).parquet(f"{sf_dir}/orders.parquet")
     return RawInputs(_edges(customer), _partners(customer), _mappings(orders))
 
 

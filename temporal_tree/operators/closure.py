@@ -79,17 +79,18 @@ def _paths_by_doubling(
         return table, seen["longest"]
 
     part, longest = save(_single_edges(edges), 1)
-    parts, reach = [part], 1
+    parts, reach = {1: part}, 1  # by least level
     while reach < max_depth and longest:
         target = min(2 * reach, max_depth)
-        heads = parts[-1].where(F.col("level_depth") == reach)
-        tails = reduce(DataFrame.unionByName, parts).where(
+        heads = part.where(F.col("level_depth") == reach)
+        short = [p for least, p in parts.items() if least <= target - reach]
+        tails = reduce(DataFrame.unionByName, short).where(
             F.col("level_depth") <= target - reach
         )
         part, longest = save(_concatenate(heads, tails, cell_rows), target)
-        parts.append(part)
+        parts[reach + 1] = part
         reach = target
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts.values())
 
 
 def _concatenate(heads: DataFrame, tails: DataFrame, cell_rows: int) -> DataFrame:

@@ -11,8 +11,10 @@ from temporal_tree.schemas import MAPPINGS, PARTNER_ACCOUNTS, RELATIONSHIPS, con
 
 def relationships(raw: DataFrame) -> DataFrame:
     """Edges that are not deleted and have both ends. A NULL flag counts as unusable."""
-    kept = raw.where(F.col("delete_flag") != "Y").dropna(
-        subset=["entity_id_one", "entity_id_two"]
+    kept = raw.where(
+        (F.col("delete_flag") != "Y")
+        & F.col("entity_id_one").isNotNull()
+        & F.col("entity_id_two").isNotNull()
     )
     named = kept.withColumnsRenamed(
         {"entity_id_one": "parent_account_id", "entity_id_two": "child_account_id"}
@@ -35,7 +37,7 @@ def partners(raw: DataFrame) -> DataFrame:
 
 def mappings(raw: DataFrame) -> DataFrame:
     """Linked mappings with a start date; an absent end becomes the open-ended date."""
-    kept = raw.where(F.col("is_linked") == "Y").dropna(subset=["effective_start_date"])
+    kept = raw.where((F.col("is_linked") == "Y") & F.col("effective_start_date").isNotNull())
     cleaned = kept.withColumns(
         {
             "effective_end_date": F.coalesce("effective_end_date", open_end()),

@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from temporal_tree.functions import fact_source_rank, moment
 from temporal_tree.operators.normalize import first_per
 from temporal_tree.operators.numbering import dense_keys, number_in_place
-from temporal_tree.operators.temporal import merge_spans, uncovered
+from temporal_tree.operators.temporal import (
+    merge_spans,
+    numbered_periods,
+    per_period,
+    uncovered,
+)
 from temporal_tree.schemas import (
     DIM_ACCOUNTS,
     DIM_DATE,
@@ -118,7 +123,7 @@ def _stamped(keyed: DataFrame, load_ts: datetime | None) -> DataFrame:
 def fact_spans(
     edges: DataFrame,
     spans: DataFrame,
-    lookup: DataFrame,
+    calendar: DataFrame,
     standalone: DataFrame,
     *,
     keep_unmapped: bool = False,
@@ -165,8 +170,8 @@ def fact_spans(
         "entity_id": F.lit(None).cast("string"),
         "marketplace_id": F.lit(None).cast("int"),
     }
-    begins = lookup.where("start_idx is not null").select(
-        F.col("day").alias("inherit_start_date"), F.col("start_idx").alias("lo")
+    begins = numbered_periods(calendar).select(
+        F.col("period_start").alias("inherit_start_date"), F.col("idx").alias("lo")
     )
     alone = (
         standalone.join(F.broadcast(begins), "inherit_start_date")
@@ -192,7 +197,7 @@ def fact_spans(
             own = F.col("parent_is_partner")
             both = F.col("parent_is_partner") * F.col("any_partner_child")
         idle = (
-            uncovered(parents, spans, lookup)
+            uncovered(parents, spans, calendar)
             .join(parents, "parent_account_id")
             .withColumns(
                 {
@@ -214,13 +219,13 @@ def fact_spans(
 
 def fact_from_spans(
     spans: DataFrame,
-    numbered: DataFrame,
+    calendar: DataFrame,
     scratch: Scratch,
     *,
     total_rows: int,
     load_ts: datetime | None = None,
     hot_account_rows: int = 1_000_000,
-    rows_per_task: int = 2_000_000,
+    rows_per_task: int = 10_000_000,
 ) -> DataFrame:
     """The fact table from `fact_spans`: spread over periods, deduplicated and numbered with one
     shuffle, of spans instead of rows.
@@ -230,7 +235,7 @@ def fact_from_spans(
     with more rows than `hot_account_rows` is spread first and ranged by its whole key, so that
     it takes as many tasks as it needs; there are at most total_rows / hot_account_rows of those.
 
-    `spans` and `numbered` are read more than once: pass scans. `total_rows` is the number of
+    `spans` and `calendar` are read more than once: pass scans. `total_rows` is the number of
     rows after spreading.
     """
     hot = (
@@ -240,7 +245,7 @@ def fact_from_spans(
         .select("account_id", F.lit(True).alias("_hot"))
     )
     placed, place = spans, ["account_id"]
-    if not hot.isEmpty():
+    if total_rows > hot_account_rows and not hot.isEmpty():
         # no broadcast hint: Spark decides by size
         placed = placed.join(hot, "account_id", "left").na.fill(False, ["_hot"])
         one_by_one = F.transform(
@@ -263,20 +268,12 @@ def fact_from_spans(
         -(-total_rows // rows_per_task),
         int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions")),
     )
-    dates = numbered.select("idx", "period_start", "period_end")
-    rows = (
-        placed.repartitionByRange(tasks, *place)
-        .withColumn("idx", F.explode(F.sequence("lo", "hi")))
-        .join(F.broadcast(dates), "idx")
-        .withColumns(
-            {
-                "effective_start_date": F.col("period_start"),
-                "effective_end_date": F.when(F.col("open_tail"), open_end()).otherwise(
-                    F.col("period_end")
-                ),
-                "root_account_id": F.col("account_id"),
-            }
-        )
+    rows = per_period(placed.repartitionByRange(tasks, *place), calendar).withColumns(
+        {
+            "effective_start_date": F.col("period_start"),
+            "effective_end_date": _end_date(),
+            "root_account_id": F.col("account_id"),
+        }
     )
     # the window's keys begin with the range columns, so it needs no shuffle, and continue with
     # the order of the key, so its sort is the one the numbering needs
@@ -316,32 +313,24 @@ def dim_date(consolidated: DataFrame) -> DataFrame:
     days = consolidated.select(
         F.explode(F.array("effective_start_date", "effective_end_date")).alias("date_key")
     )
-    return _calendar(days)
+    return _with_parts(days)
 
 
-def dim_date_from_spans(spans: DataFrame, numbered: DataFrame) -> DataFrame:
+def dim_date_from_spans(spans: DataFrame, calendar: DataFrame) -> DataFrame:
     """`dim_date` from `fact_spans`: distinct spans first, which are few, then their periods."""
-    dates = numbered.select("idx", "period_start", "period_end")
-    days = (
-        spans.select("lo", "hi", "open_tail")
-        .distinct()
-        .select(F.explode(F.sequence("lo", "hi")).alias("idx"), "open_tail")
-        .distinct()
-        .join(F.broadcast(dates), "idx")
-        .select(
-            F.explode(
-                F.array(
-                    "period_start",
-                    F.when(F.col("open_tail"), open_end()).otherwise(F.col("period_end")),
-                )
-            ).alias("date_key")
-        )
+    few = spans.select("lo", "hi", "open_tail").distinct()
+    days = per_period(few, calendar).select(
+        F.explode(F.array("period_start", _end_date())).alias("date_key")
     )
-    return _calendar(days)
+    return _with_parts(days)
+
+
+def _end_date() -> Column:
+    return F.when(F.col("open_tail"), open_end()).otherwise(F.col("period_end"))
 
 
-def _calendar(days: DataFrame) -> DataFrame:
-    parts = days.dropna().distinct().withColumns(
+def _with_parts(days: DataFrame) -> DataFrame:
+    parts = days.where(F.col("date_key").isNotNull()).distinct().withColumns(
         {
             "year_num": F.year("date_key"),
             "month_num": F.month("date_key"),

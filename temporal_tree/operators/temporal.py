@@ -4,7 +4,7 @@ Periods are numbered 0..n-1, and what a mapping covers is kept as a span of numb
 period are asked for. A mapping finds its span with two lookups by date instead of a comparison
 with every period. The lookup tables hold distinct calendar dates, so their size is bounded by the
 range of the DATE type and in practice by the days of the data's history, whatever the row count:
-they are the only tables that are broadcast by hint.
+they are the only tables in this module that are broadcast by hint.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ def periods(mappings: DataFrame, relationships: DataFrame, half_open: bool = Fal
             F.array("effective_start_date", F.when(end != open_end(), cut))
         ).alias("period_start")
     ).unionByName(relationships.select(F.to_date("created_at").alias("period_start")))
-    days = days.dropna().distinct()
+    days = days.where(F.col("period_start").isNotNull()).distinct()
     following = F.lead("period_start").over(Window.orderBy("period_start"))
     return days.select(
         "period_start",
@@ -40,61 +40,80 @@ def periods(mappings: DataFrame, relationships: DataFrame, half_open: bool = Fal
     )
 
 
-def number_periods(periods: DataFrame) -> DataFrame:
-    """Periods with their position, and the end of the one before."""
+def calendar(periods: DataFrame) -> DataFrame:
+    """Everything a span needs to know about dates, one row per day that may be asked for.
+
+    Days listed are every period start, the day before it (an end date is one of the two) and the
+    open end. A day that starts a period has the period's number `start_idx`, its end and the end
+    of the period before. Every day has `last_idx`, the last period that ends by then, leaving out
+    the final one, and `n_periods`. A period ends by day e when the next one starts by e+1.
+    """
     in_order = Window.orderBy("period_start")
-    return periods.select(
-        (F.row_number().over(in_order) - 1).alias("idx"),
+    start = F.col("period_start")
+    numbered = periods.select(
         "period_start",
+        (F.row_number().over(in_order) - 1).alias("start_idx"),
         "period_end",
         F.lag("period_end").over(in_order).alias("previous_end"),
     )
 
-
-def date_lookup(periods: DataFrame) -> DataFrame:
-    """What a mapping needs to know about its start and end date.
-
-    Per date: `start_idx`, the period that starts there if any; `last_idx`, the last period that
-    ends by that date, leaving out the final one; `n_periods`. A period ends by day e when the
-    next one starts by e+1. Dates listed are every period start, the day before it (an end date is
-    one of the two) and the open end.
-    """
-    starts = periods.select(F.col("period_start").alias("day"))
-    asked = (
-        starts.select(F.explode(F.array("day", F.date_sub("day", 1))).alias("day"))
-        .unionByName(starts.sparkSession.range(1).select(open_end().alias("day")))
-        .distinct()
-    )
-    events = starts.select("day", F.lit(1).alias("is_start"), F.lit(None).cast("date").alias("asked"))
-    questions = asked.select(
-        F.date_add("day", 1).alias("day"), F.lit(0).alias("is_start"), F.col("day").alias("asked")
-    )
-    so_far = Window.orderBy("day").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    everywhere = Window.partitionBy()
-    answered = events.unionByName(questions).select(
-        "asked",
-        (F.sum("is_start").over(so_far) - 2).cast("int").alias("last_idx"),
-        F.sum("is_start").over(everywhere).cast("int").alias("n_periods"),
+    def event(at: Column, starts: int, day: Column, described: bool = False) -> Column:
+        about = [
+            (F.col(c) if described else F.lit(None)).alias(c)
+            for c in ("start_idx", "period_end", "previous_end")
+        ]
+        return F.struct(at.alias("at"), F.lit(starts).alias("starts"), day.alias("day"), *about)
+
+    nothing = F.lit(None).cast("date")
+    events = numbered.select(
+        F.inline(
+            F.array(
+                event(F.date_add(start, 1), 0, start, described=True),
+                event(start, 1, nothing),
+                event(start, 0, F.date_sub(start, 1)),
+            )
+        )
     )
-    numbered = number_periods(periods).select(
-        F.col("period_start").alias("asked"), F.col("idx").alias("start_idx")
+    last = periods.sparkSession.range(1).select(
+        F.date_add(open_end(), 1).alias("at"), F.lit(0).alias("starts"), open_end().alias("day")
     )
+    so_far = Window.orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        answered.where("asked is not null")
-        .join(numbered, "asked", "left")
-        .select(F.col("asked").alias("day"), "start_idx", "last_idx", "n_periods")
+        events.unionByName(last, allowMissingColumns=True)
+        .withColumn("last_idx", (F.sum("starts").over(so_far) - 2).cast("int"))
+        .withColumn("n_periods", F.sum("starts").over(Window.partitionBy()).cast("int"))
+        .where(F.col("day").isNotNull())
+        .groupBy("day")
+        .agg(
+            *[
+                F.max(c).alias(c)
+                for c in ("last_idx", "n_periods", "start_idx", "period_end", "previous_end")
+            ]
+        )
+    )
+
+
+def numbered_periods(calendar: DataFrame) -> DataFrame:
+    """The periods in a calendar, with their numbers."""
+    return calendar.where(F.col("start_idx").isNotNull()).select(
+        F.col("start_idx").alias("idx"),
+        F.col("day").alias("period_start"),
+        "period_end",
+        "previous_end",
     )
 
 
-def coverage(mappings: DataFrame, lookup: DataFrame) -> DataFrame:
+def coverage(mappings: DataFrame, calendar: DataFrame) -> DataFrame:
     """The spans `lo`..`hi` of periods that lie wholly inside each mapping.
 
     The final period ends at the open end whatever its start, so it is covered exactly by mappings
     that end no earlier. With dates beyond the open end it need not adjoin the rest of the span and
     becomes a span of its own.
     """
-    starts = lookup.select(F.col("day").alias("effective_start_date"), F.col("start_idx").alias("lo"))
-    ends = lookup.select(
+    starts = calendar.select(
+        F.col("day").alias("effective_start_date"), F.col("start_idx").alias("lo")
+    )
+    ends = calendar.select(
         F.col("day").alias("effective_end_date"), F.col("last_idx").alias("hi"), "n_periods"
     )
     final = F.col("n_periods") - 1
@@ -139,7 +158,7 @@ def merge_spans(spans: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def uncovered(parents: DataFrame, spans: DataFrame, lookup: DataFrame) -> DataFrame:
+def uncovered(parents: DataFrame, spans: DataFrame, calendar: DataFrame) -> DataFrame:
     """The spans of periods in which a parent manages nothing: the gaps between its spans.
 
     Each parent gets a closing span just after the final period, so that every gap, and a parent
@@ -147,7 +166,7 @@ def uncovered(parents: DataFrame, spans: DataFrame, lookup: DataFrame) -> DataFr
     the longest per start, within map tasks too: what is left of any parent is bounded by the
     number of periods before the join and the window gather it.
     """
-    n_periods = lookup.where(F.col("day") == open_end()).select(
+    n_periods = calendar.where(F.col("day") == open_end()).select(
         F.col("day").alias("_open"), F.col("n_periods").alias("lo")
     )
     closing = (
@@ -175,14 +194,13 @@ def uncovered(parents: DataFrame, spans: DataFrame, lookup: DataFrame) -> DataFr
     ).where("hi >= lo")
 
 
-def per_period(spans: DataFrame, numbered: DataFrame) -> DataFrame:
+def per_period(spans: DataFrame, calendar: DataFrame) -> DataFrame:
     """One row per period of each span, with the period's dates."""
-    dates = numbered.select("idx", "period_start", "period_end")
+    dates = numbered_periods(calendar).drop("previous_end")
     return (
         spans.withColumn("idx", F.explode(F.sequence("lo", "hi")))
-        .drop("lo", "hi")
         .join(F.broadcast(dates), "idx")
-        .drop("idx")
+        .drop("lo", "hi", "idx")
     )
 
 
@@ -211,8 +229,8 @@ def segments(
     Periods in which the parent manages nothing appear once with NULL mapping columns, unless
     `keep_unmapped` is off.
     """
-    lookup, numbered = date_lookup(periods), number_periods(periods)
-    spans = coverage(mappings, lookup)
+    days = calendar(periods)
+    spans = coverage(mappings, days)
     rows = hierarchy.select(*_SEGMENT, *[c for c in ("path",) if c in hierarchy.columns])
     identity = ["path"] if "path" in rows.columns else ["parent_account_id", "child_account_id"]
     mapped = grid_join(
@@ -224,7 +242,7 @@ def segments(
         cell_rows=cell_rows,
     ).withColumn("is_mapped", F.lit(1))
     if keep_unmapped:
-        gaps = uncovered(hierarchy, spans, lookup)
+        gaps = uncovered(hierarchy, spans, days)
         nothing = {
             name: F.lit(None).cast("int" if name == "marketplace_id" else "string")
             for name in MAPPED
@@ -238,7 +256,7 @@ def segments(
             cell_rows=cell_rows,
         ).withColumns({**nothing, "is_mapped": F.lit(0)})
         mapped = mapped.unionByName(unmapped)
-    return per_period(mapped, numbered).select(
+    return per_period(mapped, days).select(
         *_SEGMENT, "period_start", "period_end", *MAPPED, "is_mapped"
     )
 
@@ -280,14 +298,16 @@ def succession(segments: DataFrame, entity_types: DataFrame, key: str = "child")
 def succession_from_spans(
     edges: DataFrame,
     spans: DataFrame,
-    periods: DataFrame,
+    calendar: DataFrame,
     entity_types: DataFrame,
     key: str = "child",
 ) -> DataFrame:
     """`succession` without segments: deeper rows repeat the parent of some edge, so edges and each
     manager's last covered period decide. Managers are reduced to one row before the edges join."""
     # within a span ends grow, except that the final period may end before the one it follows
-    ends = number_periods(periods).select(F.col("idx").alias("hi"), "period_end", "previous_end")
+    ends = numbered_periods(calendar).select(
+        F.col("idx").alias("hi"), "period_end", "previous_end"
+    )
     reach = F.when(F.col("lo") < F.col("hi"), F.greatest("period_end", "previous_end")).otherwise(
         F.col("period_end")
     )

@@ -47,7 +47,7 @@ class PipelineOptions:
     load_ts: datetime | None = None
     cell_rows: int = 1_000_000
     hot_account_rows: int = 1_000_000
-    rows_per_task: int = 2_000_000
+    rows_per_task: int = 10_000_000
 
     def __post_init__(self):
         for name, allowed in _CHOICES.items():

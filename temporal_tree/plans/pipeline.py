@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 from functools import cached_property
@@ -9,6 +10,7 @@ from functools import cached_property
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from temporal_tree.operators import closure, extract, normalize, quality, star, temporal
 from temporal_tree.options import PipelineOptions
@@ -33,6 +35,12 @@ class Run:
             self.cached.append(df)
         return df
 
+    def keep_all(self, **named: DataFrame) -> list[DataFrame]:
+        """`keep` for results that do not depend on each other: their jobs share the cluster."""
+        keep = inheritable_thread_target(self.scratch.spark)(self.keep)
+        with ThreadPoolExecutor(len(named)) as pool:
+            return list(pool.map(keep, named.values(), named))
+
 
 @dataclass(frozen=True)
 class Normalized:
@@ -46,8 +54,8 @@ class Temporal:
     """Date-aware intermediates. In the literal form segments and standalone are filled, in the
     collapsed form spans (with the number of fact rows they stand for)."""
 
+    calendar: DataFrame
     periods: DataFrame
-    numbered: DataFrame
     standalone: DataFrame
     segments: DataFrame | None = None
     spans: DataFrame | None = None
@@ -79,15 +87,14 @@ def extract_stage(raw: RawInputs) -> RawInputs:
 
 
 def normalize_stage(extracted: RawInputs, run: Run) -> Normalized:
-    kinds = run.keep(
-        normalize.entity_types(extracted.partners, extracted.mappings), "entity-types"
-    )
-    edges = normalize.latest_relationships(extracted.relationships)
-    return Normalized(
-        edges=run.keep(closure.flag_edges(edges, kinds), "edges"),
-        entity_types=kinds,
-        mappings=run.keep(normalize.best_mappings(extracted.mappings), "best-mappings"),
+    # not kept: most uses want partners only, for which Catalyst drops the scan of mappings
+    kinds = normalize.entity_types(extracted.partners, extracted.mappings)
+    newest = normalize.latest_relationships(extracted.relationships)
+    edges, mappings = run.keep_all(
+        edges=closure.flag_edges(newest, kinds),
+        best_mappings=normalize.best_mappings(extracted.mappings),
     )
+    return Normalized(edges, kinds, mappings)
 
 
 def hierarchy_stage(normalized: Normalized, run: Run) -> DataFrame:
@@ -105,8 +112,9 @@ def temporal_stage(normalized: Normalized, hierarchy, run: Run) -> Temporal:
     """`hierarchy` is a function that builds it: only the literal form needs one."""
     options = run.options
     edges, mappings = normalized.edges, normalized.mappings
-    periods = run.keep(temporal.periods(mappings, edges, options.half_open), "periods")
-    numbered = temporal.number_periods(periods)
+    cuts = temporal.periods(mappings, edges, options.half_open)
+    calendar = run.keep(temporal.calendar(cuts), "calendar")
+    periods = temporal.numbered_periods(calendar).select("period_start", "period_end")
     if not options.collapse:
         segments = temporal.inherit(
             temporal.segments(
@@ -122,17 +130,17 @@ def temporal_stage(normalized: Normalized, hierarchy, run: Run) -> Temporal:
         standalone = temporal.succession(
             segments, normalized.entity_types, options.succession_key
         )
-        return Temporal(periods, numbered, standalone, segments=segments)
+        return Temporal(calendar, periods, standalone, segments=segments)
 
-    lookup = run.keep(temporal.date_lookup(periods), "date-lookup")
-    covered = run.keep(temporal.coverage(mappings, lookup), "coverage")
+    # not kept: two broadcast lookups cost less than writing the spans of every mapping
+    covered = temporal.coverage(mappings, calendar)
     standalone = temporal.succession_from_spans(
-        edges, covered, periods, normalized.entity_types, options.succession_key
+        edges, covered, calendar, normalized.entity_types, options.succession_key
     )
     spans = star.fact_spans(
         edges,
         covered,
-        lookup,
+        calendar,
         standalone,
         keep_unmapped=options.keep_unmapped,
         unmapped_flags=options.unmapped_flags,
@@ -141,7 +149,7 @@ def temporal_stage(normalized: Normalized, hierarchy, run: Run) -> Temporal:
     spans, seen = run.scratch.save_measured(
         spans, "spans", rows=F.coalesce(F.sum(F.col("hi") - F.col("lo") + 1), F.lit(0))
     )
-    return Temporal(periods, numbered, standalone, spans=spans, fact_rows=seen["rows"])
+    return Temporal(calendar, periods, standalone, spans=spans, fact_rows=seen["rows"])
 
 
 def output_stage(times: Temporal, normalized: Normalized, run: Run) -> Star:
@@ -155,14 +163,14 @@ def output_stage(times: Temporal, normalized: Normalized, run: Run) -> Star:
     else:
         fact = star.fact_from_spans(
             times.spans,
-            times.numbered,
+            times.calendar,
             run.scratch,
             total_rows=times.fact_rows,
             load_ts=options.load_ts,
             hot_account_rows=options.hot_account_rows,
             rows_per_task=options.rows_per_task,
         )
-        accounts, dates = times.spans, star.dim_date_from_spans(times.spans, times.numbered)
+        accounts, dates = times.spans, star.dim_date_from_spans(times.spans, times.calendar)
     return Star(
         fact=fact,
         dim_accounts=star.dim_accounts(

@@ -7,6 +7,7 @@ keeps pushdown and column pruning for whoever reads it.
 
 from __future__ import annotations
 
+import itertools
 import tempfile
 import uuid
 
@@ -36,11 +37,10 @@ class Scratch:
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.path = f"{(root or scratch_root(spark)).rstrip('/')}/run-{uuid.uuid4().hex}"
-        self._serial = 0
+        self._serial = itertools.count(1)
 
     def new_path(self, name: str) -> str:
-        self._serial += 1
-        return f"{self.path}/{self._serial:03d}-{name}"
+        return f"{self.path}/{next(self._serial):03d}-{name}"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         """Write `df` once and return a scan of what was written."""
