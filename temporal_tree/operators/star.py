@@ -57,14 +57,12 @@ _FACT_ROW = [
 
 
 def _preference() -> list[Column]:
-    """Which of the rows with one fact key to keep; the last term only settles ties."""
+    """Which of the rows with one fact key to keep; the source's name settles ties."""
     return [
         F.desc("is_root_partner_manager"),
         fact_source_rank(),
         F.asc("level_depth"),
         F.asc_nulls_last("source"),
-        F.asc("root_account_id"),
-        F.asc("is_root_manager"),
     ]
 
 
@@ -91,7 +89,12 @@ def consolidate(
         source.alias("source"),
         F.lit(HIERARCHY).alias("record_type"),
     )
-    return first_per(managed.unionByName(_standalone_rows(standalone)), FACT_KEY, *_preference())
+    return first_per(
+        managed.unionByName(_standalone_rows(standalone)),
+        FACT_KEY,
+        *_preference(),
+        F.asc("root_account_id"),
+    )
 
 
 def _standalone_rows(standalone: DataFrame) -> DataFrame:
@@ -135,8 +138,8 @@ def fact_spans(
     loses every deduplication against it: the key names neither root nor child, and the edge has
     the lesser level and no lesser partner flag. So flagged edges are enough, and for mapped
     rows their parents are. What a fact row takes from the mapping is only its source, so spans
-    of one source are merged. Standalone rows start with a period and end at the open end,
-    which `open_tail` marks.
+    of one source are merged. Standalone rows, marked by `open_tail`, start with a period and end
+    at the open end. Every account is its own root.
     """
     parents = edges.groupBy("parent_account_id").agg(
         F.max("parent_is_partner").alias("parent_is_partner"),
@@ -163,7 +166,6 @@ def fact_spans(
             F.lit(1).alias("is_root_manager"),
             F.col("parent_is_partner").alias("is_root_partner_manager"),
             "source",
-            F.lit(HIERARCHY).alias("record_type"),
         )
     )
     nobody = {
@@ -184,7 +186,6 @@ def fact_spans(
                 "is_root_manager": F.col("inherited_root_flag"),
                 "is_root_partner_manager": F.col("inherited_root_flag"),
                 "source": F.lit(INHERITANCE),
-                "record_type": F.lit(STANDALONE),
             }
         )
         .select(*managed.columns)
@@ -208,7 +209,6 @@ def fact_spans(
                     "is_root_manager": own,
                     "is_root_partner_manager": both,
                     "source": F.lit(HIERARCHY),
-                    "record_type": F.lit(HIERARCHY),
                 }
             )
             .select(*managed.columns)
@@ -272,13 +272,17 @@ def fact_from_spans(
         {
             "effective_start_date": F.col("period_start"),
             "effective_end_date": _end_date(),
-            "root_account_id": F.col("account_id"),
         }
     )
     # the window's keys begin with the range columns, so it needs no shuffle, and continue with
     # the order of the key, so its sort is the one the numbering needs
     ordered = [*place, *FACT_ORDER[1:]]
-    kept = first_per(rows, ordered, *_preference())
+    kept = first_per(rows, ordered, *_preference()).withColumns(
+        {
+            "root_account_id": F.col("account_id"),
+            "record_type": F.when(F.col("open_tail"), STANDALONE).otherwise(HIERARCHY),
+        }
+    )
     return _stamped(number_in_place(kept.select(*_FACT_ROW), "hierarchy_key", scratch), load_ts)
 
 
