@@ -18,8 +18,9 @@ def ordered(values) -> list[tuple]:
     return sorted(values, key=lambda r: [(v is not None, v) for v in r])
 
 
-def random_raw(seed: int, accounts: int = 7, hub: bool = False):
-    """Dirty raw rows over few accounts, so that cycles, ties and overlaps are common."""
+def random_raw(seed: int, accounts: int = 7, hub: bool = False, far: bool = False):
+    """Dirty raw rows over few accounts, so that cycles, ties and overlaps are common. With `hub`
+    one account owns about half of the rows, with `far` some dates lie beyond the open end."""
     rnd = random.Random(seed)
     names = [f"N{i}" for i in range(accounts)]
     day = lambda: date(2024, 1, 1) + timedelta(days=rnd.randrange(0, 25))
@@ -49,13 +50,18 @@ def random_raw(seed: int, accounts: int = 7, hub: bool = False):
     mappings = []
     for i in range(18):
         begin = day()
+        if far and rnd.random() < 0.2:
+            begin = rnd.choice([date(2099, 12, 31), date(2120, 1, 1)])
+        later = [None, begin + timedelta(days=rnd.randrange(-2, 15)), OPEN]
+        if far:
+            later += [date(2110, 1, 1), date(2150, 1, 1)]
         mappings.append(
             (
                 names[0] if hub and rnd.random() < 0.5 else rnd.choice(names),
                 rnd.choice(["E1", "E2", None]),
                 rnd.choice([1, None]),
                 rnd.choice([begin, begin, begin, None]),
-                rnd.choice([None, begin + timedelta(days=rnd.randrange(-2, 15)), OPEN]),
+                rnd.choice(later),
                 rnd.choice(["api", "MANUAL", "feed", "other", None]),
                 f"ADV{i}",
                 rnd.choice(["Y", "Y", "Y", "N"]),

@@ -8,6 +8,7 @@ from model import Model, ordered, random_raw, rows
 from temporal_tree import PipelineOptions, RawInputs, run
 from temporal_tree.schemas import RAW_MAPPINGS, RAW_PARTNERS, RAW_RELATIONSHIPS
 
+FAR = "dates beyond the open end"
 ALWAYS = {"keep_unmapped": True, "unmapped_flags": "always", "succession_key": "manager"}
 
 
@@ -19,6 +20,11 @@ def raw_inputs(spark, raw) -> RawInputs:
 @pytest.mark.parametrize(
     "seed, hub, semantics, form",
     [
+        (31, FAR, {}, {}),
+        (32, FAR, {"keep_unmapped": True}, {"hot_account_rows": 4}),
+        (33, FAR, {"half_open": True, "succession_key": "manager"}, {}),
+        (34, FAR, ALWAYS, {}),
+        (35, FAR, ALWAYS, {"collapse": False}),
         (1, False, {}, {}),
         (2, False, {"half_open": True}, {}),
         (3, True, {}, {"hot_account_rows": 3, "cell_rows": 4}),
@@ -32,7 +38,7 @@ def raw_inputs(spark, raw) -> RawInputs:
     ],
 )
 def test_fact_matches_the_model(spark, seed, hub, semantics, form):
-    raw = random_raw(seed, hub=hub)
+    raw = random_raw(seed, hub=bool(hub), far=hub is FAR)
     model = Model(raw, **semantics)
     assert model.segments and model.fact
     result = run(raw_inputs(spark, raw), PipelineOptions(**semantics, **form))
