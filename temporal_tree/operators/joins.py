@@ -1,4 +1,5 @@
-"""An inner join that splits keys whose output would be too much for one task."""
+"""Joins that know their sizes: a checked broadcast, and an inner join that splits keys whose output
+would be too much for one task."""
 
 from __future__ import annotations
 
@@ -8,6 +9,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# with an account id and two numbers per row, about the 10 MB that Spark itself broadcasts
+BROADCAST_ROWS = 100_000
+
+
+def if_small(df: DataFrame, rows: int) -> DataFrame:
+    """`df`, counted to have `rows` short rows, with a broadcast hint only if they are few.
+    Beyond that the join is left to the optimizer, which shuffles."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def grid_join(
     left: DataFrame,
     right: DataFrame,
@@ -26,8 +37,8 @@ def grid_join(
     `cell_rows` rows, and the copies add 2/s of the output. All other keys join unchanged.
 
     `left_id` and `right_id` name columns that tell the rows of a side apart: they choose the
-    band, so equal rows would share one. Both inputs are read three times when there are hot
-    keys: pass scans, not computations.
+    band, so equal rows would share one. Both inputs are read several times when there are
+    hot keys: pass scans, not computations.
     """
     side = max(1, math.isqrt(cell_rows))
     hot = (
@@ -41,11 +52,12 @@ def grid_join(
             F.ceil(F.col("_r") / side).alias("_right_bands"),
         )
     )
-    if hot.isEmpty():
+    hot_keys = hot.count()
+    if not hot_keys:
         return left.join(right, key)
+    hot = if_small(hot, hot_keys)
 
     def banded(df: DataFrame, own: str, other: str, ids: list[str]) -> DataFrame:
-        # no broadcast hint: the number of hot keys grows with the output, Spark checks its size
         sized = df.join(hot, key, "left").na.fill(1, ["_left_bands", "_right_bands"])
         return sized.withColumns(
             {

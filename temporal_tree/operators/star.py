@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from temporal_tree.functions import fact_source_rank, moment
+from temporal_tree.operators.joins import if_small
 from temporal_tree.operators.normalize import first_per
 from temporal_tree.operators.numbering import dense_keys, number_in_place
 from temporal_tree.operators.temporal import (
@@ -245,9 +246,11 @@ def fact_from_spans(
         .select("account_id", F.lit(True).alias("_hot"))
     )
     placed, place = spans, ["account_id"]
-    if total_rows > hot_account_rows and not hot.isEmpty():
-        # no broadcast hint: Spark decides by size
-        placed = placed.join(hot, "account_id", "left").na.fill(False, ["_hot"])
+    hot_accounts = hot.count() if total_rows > hot_account_rows else 0
+    if hot_accounts:
+        placed = placed.join(if_small(hot, hot_accounts), "account_id", "left").na.fill(
+            False, ["_hot"]
+        )
         one_by_one = F.transform(
             F.sequence("lo", "hi"), lambda i: F.struct(i.alias("lo"), i.alias("hi"))
         )

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
+from temporal_tree.functions import trace
 from temporal_tree.operators import closure, extract, normalize, quality, star, temporal
 from temporal_tree.options import PipelineOptions
 from temporal_tree.sources.raw import RawInputs
@@ -217,6 +218,14 @@ class Result:
         names = _CHECKS if self.run.options.validate else ()
         return {name: self.check(name) for name in names}
 
+    def create_views(self, *names: str) -> list[str]:
+        """Register stage tables as temporary views for SQL: all of them, or those named.
+
+        A view of a later stage computes what it depends on when it is registered."""
+        for name in names or _VIEWS:
+            _VIEWS[name](self).createOrReplaceTempView(name)
+        return list(names or _VIEWS)
+
     def close(self) -> None:
         """Release caches and delete the run's scratch tables; its DataFrames stop working."""
         for df in self.run.cached:
@@ -235,6 +244,36 @@ _CHECKS = {
 }
 
 
+def _segments(result: Result) -> DataFrame:
+    if result.temporal.segments is not None:
+        return result.temporal.segments
+    options = result.run.options
+    segments = temporal.segments(
+        result.hierarchy,
+        result.temporal.periods,
+        result.normalized.mappings,
+        cell_rows=options.cell_rows,
+    )
+    return temporal.inherit(segments, options.unmapped_flags)
+
+
+_VIEWS = {
+    "account_relationships": lambda r: r.extracted.relationships,
+    "partner_accounts": lambda r: r.extracted.partners,
+    "account_mappings": lambda r: r.extracted.mappings,
+    "normalized_relationships": lambda r: r.normalized.edges,
+    "entity_types": lambda r: r.normalized.entity_types,
+    "clean_mappings": lambda r: r.normalized.mappings,
+    "hierarchy": lambda r: r.hierarchy.withColumn("path_trace", trace()),
+    "date_breakpoints": lambda r: r.temporal.periods,
+    "temporal_segments": _segments,
+    "post_hierarchy": lambda r: r.temporal.standalone,
+    "fact_account_hierarchy": lambda r: r.star.fact,
+    "dim_accounts": lambda r: r.star.dim_accounts,
+    "dim_date": lambda r: r.star.dim_date,
+}
+
+
 def run(raw: RawInputs, options: PipelineOptions | None = None) -> Result:
     """All five stages, lazily.
 

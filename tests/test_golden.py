@@ -91,3 +91,30 @@ def test_succession_story(spark):
 
 def test_validation_off(spark):
     assert run(sample_raw(spark), PipelineOptions(validate=False)).checks == {}
+
+
+def test_views_for_sql(spark):
+    result = run(sample_raw(spark))
+    assert len(result.create_views()) == 13
+    by_level = spark.sql("SELECT level_depth, count(*) AS n FROM hierarchy GROUP BY level_depth")
+    assert rows(by_level) == [(1, 4), (2, 1)]
+    segments = spark.sql("SELECT count(*), count_if(is_mapped = 1) FROM temporal_segments")
+    assert rows(segments) == [(30, 23)]
+    joined = spark.sql(
+        "SELECT count(*) FROM fact_account_hierarchy JOIN dim_accounts USING (account_id) "
+        "JOIN dim_date ON date_key = effective_start_date WHERE entity_type = 'PARTNER'"
+    )
+    assert rows(joined) == [(14,)]
+
+
+def test_command_line(spark, tmp_path):
+    from temporal_tree.__main__ import main
+
+    paths = []
+    for df, name in zip(sample_raw(spark), ("edges", "partners", "mappings")):
+        df.write.parquet(str(tmp_path / name))
+        paths += [f"--{name}", str(tmp_path / name)]
+    out = str(tmp_path / "star")
+    main([*paths, "--out", out, "--keep-unmapped", "--succession-key", "manager"])
+    fact = spark.read.parquet(out + "/fact_account_hierarchy")
+    assert fact.where("record_type = 'STANDALONE'").count() == 1
