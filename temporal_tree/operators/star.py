@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
@@ -224,6 +225,7 @@ def fact_from_spans(
     scratch: Scratch,
     *,
     total_rows: int,
+    total_spans: int,
     load_ts: datetime | None = None,
     hot_account_rows: int = 1_000_000,
     rows_per_task: int = 10_000_000,
@@ -237,20 +239,27 @@ def fact_from_spans(
     it takes as many tasks as it needs; there are at most total_rows / hot_account_rows of those.
 
     `spans` and `calendar` are read more than once: pass scans. `total_rows` is the number of
-    rows after spreading.
+    rows after spreading. Ranges are drawn by pieces, of which spread accounts have one per row
+    and others one per span, so the number of tasks is set for the latter to get `rows_per_task`.
     """
     hot = (
         spans.groupBy("account_id")
-        .agg(F.sum(F.col("hi") - F.col("lo") + 1).alias("_rows"))
+        .agg(
+            F.sum(F.col("hi") - F.col("lo") + 1).alias("_rows"),
+            F.count(F.lit(1)).alias("_spans"),
+        )
         .where(F.col("_rows") > hot_account_rows)
-        .select("account_id", F.lit(True).alias("_hot"))
     )
     placed, place = spans, ["account_id"]
-    hot_accounts = hot.count() if total_rows > hot_account_rows else 0
-    if hot_accounts:
-        placed = placed.join(if_small(hot, hot_accounts), "account_id", "left").na.fill(
-            False, ["_hot"]
+    hot_accounts, hot_rows, hot_spans = 0, 0, 0
+    if total_rows > hot_account_rows:
+        totals = [F.sum("_rows"), F.sum("_spans")]
+        hot_accounts, hot_rows, hot_spans = (
+            n or 0 for n in hot.agg(F.count(F.lit(1)), *totals).first()
         )
+    if hot_accounts:
+        listed = if_small(hot.select("account_id", F.lit(True).alias("_hot")), hot_accounts)
+        placed = placed.join(listed, "account_id", "left").na.fill(False, ["_hot"])
         one_by_one = F.transform(
             F.sequence("lo", "hi"), lambda i: F.struct(i.alias("lo"), i.alias("hi"))
         )
@@ -267,8 +276,11 @@ def fact_from_spans(
             }
         )
         place += ["_slot", "_entity", "_marketplace"]
+    whole_spans = total_spans - hot_spans
+    pieces = whole_spans + hot_rows
+    rows_per_piece = (total_rows - hot_rows) / whole_spans if whole_spans else 1
     tasks = max(
-        -(-total_rows // rows_per_task),
+        math.ceil(pieces * rows_per_piece / rows_per_task),
         int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions")),
     )
     rows = per_period(placed.repartitionByRange(tasks, *place), calendar).withColumns(

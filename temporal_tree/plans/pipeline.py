@@ -53,7 +53,8 @@ class Normalized:
 @dataclass(frozen=True)
 class Temporal:
     """Date-aware intermediates. In the literal form segments and standalone are filled, in the
-    collapsed form spans (with the number of fact rows they stand for)."""
+    collapsed form spans, with their number and the number of fact rows they stand for (before
+    deduplication)."""
 
     calendar: DataFrame
     periods: DataFrame
@@ -61,6 +62,7 @@ class Temporal:
     segments: DataFrame | None = None
     spans: DataFrame | None = None
     fact_rows: int | None = None
+    fact_spans: int | None = None
 
 
 @dataclass(frozen=True)
@@ -148,9 +150,19 @@ def temporal_stage(normalized: Normalized, hierarchy, run: Run) -> Temporal:
     )
     # always written: sampling, weighing and spreading each read it
     spans, seen = run.scratch.save_measured(
-        spans, "spans", rows=F.coalesce(F.sum(F.col("hi") - F.col("lo") + 1), F.lit(0))
+        spans,
+        "spans",
+        rows=F.coalesce(F.sum(F.col("hi") - F.col("lo") + 1), F.lit(0)),
+        spans=F.count(F.lit(1)),
+    )
+    return Temporal(
+        calendar,
+        periods,
+        standalone,
+        spans=spans,
+        fact_rows=seen["rows"],
+        fact_spans=seen["spans"],
     )
-    return Temporal(calendar, periods, standalone, spans=spans, fact_rows=seen["rows"])
 
 
 def output_stage(times: Temporal, normalized: Normalized, run: Run) -> Star:
@@ -167,6 +179,7 @@ def output_stage(times: Temporal, normalized: Normalized, run: Run) -> Star:
             times.calendar,
             run.scratch,
             total_rows=times.fact_rows,
+            total_spans=times.fact_spans,
             load_ts=options.load_ts,
             hot_account_rows=options.hot_account_rows,
             rows_per_task=options.rows_per_task,

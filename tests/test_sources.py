@@ -30,6 +30,39 @@ def test_raw_from_parquet_and_catalog(spark, tmp_path):
         load_raw(spark, paths=paths, tables={})
 
 
+def test_raw_over_jdbc_passes_the_connection(spark, monkeypatch):
+    """No database is started here: this checks what the reader is asked to do."""
+    raw = dict(zip(RAW_TABLES, sample_raw(spark)))
+    asked = []
+
+    class Reader:
+        def format(self, name):
+            assert name == "jdbc"
+            return self
+
+        def options(self, **options):
+            self.seen = options
+            return self
+
+        def load(self):
+            asked.append(self.seen)
+            return raw[self.seen["dbtable"]]
+
+    class Session:
+        read = property(lambda self: Reader())
+
+    split = {"partitionColumn": "effective_start_date", "numPartitions": "8"}
+    loaded = load_raw(
+        Session(),
+        jdbc={"url": "jdbc:example:db", "user": "u"},
+        partitioning={"raw_partner_adv_entity_mapping": split},
+    )
+    assert [a["dbtable"] for a in asked] == list(RAW_TABLES)
+    assert all(a["url"] == "jdbc:example:db" and a["user"] == "u" for a in asked)
+    assert [a.get("numPartitions") for a in asked] == [None, None, "8"]
+    assert rows(loaded.partners) == rows(raw["raw_partner_accounts"])
+
+
 def test_star_to_parquet_twice(spark, tmp_path):
     star = run(sample_raw(spark)).star.tables()
     path = str(tmp_path / "star")
