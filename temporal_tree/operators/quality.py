@@ -44,7 +44,7 @@ def mappings(clean: DataFrame) -> DataFrame:
 def hierarchy(nodes: DataFrame, edges: DataFrame, max_depth: int = 12) -> DataFrame:
     """Size, depth, roots, paths that repeat an account (`cycles`), rows whose path names the
     child (`child_on_path`: all of them, since every path ends in it) and the paths that the depth
-    limit leaves out (`beyond_max_depth`)."""
+    limit leaves out (`beyond_max_depth`: those one edge longer). Edges must be distinct."""
     shape = _report(
         nodes,
         {
@@ -55,17 +55,40 @@ def hierarchy(nodes: DataFrame, edges: DataFrame, max_depth: int = 12) -> DataFr
             "child_on_path": F.count_if(F.array_contains("path", F.col("child_account_id"))),
         },
     )
-    next_edges = edges.select(
-        F.col("parent_account_id").alias("child_account_id"),
-        F.col("child_account_id").alias("next_account_id"),
+    return shape.unionByName(
+        _report(_beyond(nodes, edges, max_depth), {"beyond_max_depth": F.sum("n")})
     )
-    beyond = (
-        nodes.where(F.col("level_depth") == max_depth)
-        .select("child_account_id", "path")
-        .join(next_edges, "child_account_id")
-        .where(~F.array_contains("path", F.col("next_account_id")))
+
+
+def _beyond(nodes: DataFrame, edges: DataFrame, max_depth: int) -> DataFrame:
+    """Terms whose sum is the number of paths one edge longer than the limit.
+
+    Every path at the limit can go on over each edge of its end, except to accounts it already
+    holds. Both are counted per account or per pair of accounts before they are joined, so that an
+    account with many paths and many edges is a product of two numbers, not of their rows.
+    """
+    deepest = nodes.where(F.col("level_depth") == max_depth)
+    n = F.count(F.lit(1))
+    onward = edges.groupBy(F.col("parent_account_id").alias("end")).agg(n.alias("edges"))
+    going_on = (
+        deepest.groupBy(F.col("child_account_id").alias("end"))
+        .agg(n.alias("paths"))
+        .join(onward, "end")
+        .select((F.col("paths") * F.col("edges")).alias("n"))
+    )
+    going_back = (
+        deepest.select(F.col("child_account_id").alias("end"), F.explode("path").alias("next"))
+        .groupBy("end", "next")
+        .agg(n.alias("paths"))
+        .join(
+            edges.select(
+                F.col("parent_account_id").alias("end"), F.col("child_account_id").alias("next")
+            ),
+            ["end", "next"],
+        )
+        .select((-F.col("paths")).alias("n"))
     )
-    return shape.unionByName(_report(beyond, {"beyond_max_depth": F.count(F.lit(1))}))
+    return going_on.unionByName(going_back)
 
 
 def levels(nodes: DataFrame) -> DataFrame:

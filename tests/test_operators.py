@@ -190,6 +190,16 @@ def test_depth_limit(spark):
     assert report["max_depth"] == 12 and report["beyond_max_depth"] == 8
 
 
+def test_paths_beyond_the_limit(spark):
+    edges = edges_of(
+        spark, ("A", "B"), ("B", "C"), ("C", "A"), ("C", "D"), ("D", "B"), ("D", "E"), ("X", "C")
+    )
+    for depth in (1, 2, 3):
+        report = dict(rows(quality.hierarchy(closure.paths(edges, depth), edges, depth)))
+        deeper = closure.paths(edges, depth + 1).where(F.col("level_depth") == depth + 1)
+        assert report["beyond_max_depth"] == deeper.count() > 0
+
+
 def test_ids_with_wildcards_and_separators(spark):
     odd = edges_of(spark, ("X", "MA_1"), ("MA_1", "MA-1"), ("MA-1", "a/MA_1"))
     assert "X/MA_1/MA-1/a/MA_1" in names(closure.paths(odd))
