@@ -149,14 +149,15 @@ def fact_spans(
     )
     if keep_unmapped:
         spans = spans.na.fill(HIERARCHY, ["source"])
+    # managers without children go first. The repartitioning is what the merge needs, stated so that
+    # the join by manager need not provide it and may split a manager with many mappings
     keys = ["manager_account_id", "entity_id", "marketplace_id", "source"]
+    owned = spans.join(
+        parents.select(F.col("parent_account_id").alias(keys[0]), "parent_is_partner"), keys[0]
+    ).repartition(*keys)
     managed = (
-        merge_spans(spans, keys)
+        merge_spans(owned, [*keys, "parent_is_partner"])
         .withColumnRenamed("manager_account_id", "account_id")
-        .join(
-            parents.select(F.col("parent_account_id").alias("account_id"), "parent_is_partner"),
-            "account_id",
-        )
         .select(
             "account_id",
             "entity_id",

@@ -338,6 +338,10 @@ def test_fact_is_built_with_one_shuffle_of_spans(spark, scratch, monkeypatch):
     plan = plans["ordered"]
     assert plan.count("rangepartitioning") == 1 and "hashpartitioning" not in plan
     assert plan.index("Generate explode") < plan.index("rangepartitioning")
+    # the merge of spans gets its partitioning from the stated shuffle, after the join by manager
+    merge = plans["spans"].split("REPARTITION_BY_COL")
+    assert len(merge) == 2 and merge[0].count("Window [") == 2
+    assert merge[0].count("Exchange") == 1 and "Join" not in merge[0]
     run(sample_raw(spark), PipelineOptions(hot_account_rows=2)).star.fact.count()
     assert plans["ordered"].count("rangepartitioning") == 1
 
