@@ -31,18 +31,18 @@ WITH words AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
 ),
 starts AS (
-  SELECT doc_id, unnest(range(1, len(w) - 11)) AS at, w FROM words WHERE len(w) >= 13
+  SELECT doc_id, unnest(range(1, len(w) - 11)) AS place, w FROM words WHERE len(w) >= 13
 ),
-windows AS (SELECT doc_id, at, array_to_string(w[at : at + 12], ' ') AS piece FROM starts),
+windows AS (SELECT doc_id, place, array_to_string(w[place : place + 12], ' ') AS piece FROM starts),
 earliest AS (SELECT piece, min(doc_id) AS least FROM windows GROUP BY piece),
 removed AS (
-  SELECT DISTINCT doc_id, unnest(range(at, at + 13)) AS at
+  SELECT DISTINCT doc_id, unnest(range(place, place + 13)) AS place
   FROM windows JOIN earliest USING (piece) WHERE least < doc_id
 ),
-placed AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS at, unnest(w) AS word FROM words),
+placed AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS place, unnest(w) AS word FROM words),
 kept AS (
-  SELECT doc_id, string_agg(word, ' ' ORDER BY at) AS text, count(*) AS n
-  FROM placed ANTI JOIN removed USING (doc_id, at) GROUP BY doc_id
+  SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS text, count(*) AS n
+  FROM placed ANTI JOIN removed USING (doc_id, place) GROUP BY doc_id
 )
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
        sha256(coalesce(text, '')) AS kept_sha256
