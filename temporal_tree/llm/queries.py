@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from temporal_tree.llm import rlz
+from temporal_tree.llm import induced, rlz
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,8 +22,16 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = induced.suffix_dedup(_table(spark, sf_dir, "documents"), size=100)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op4_substring_dedup": op4_substring_dedup}
+    return {
+        "op4_substring_dedup": op4_substring_dedup,
+        "op7_suffix_dedup": op7_suffix_dedup,
+    }
 
 
 _SUBSTRING_SQL = r"""
