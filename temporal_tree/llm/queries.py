@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from temporal_tree.llm import induced, rlz
+from temporal_tree.llm import induced, rlz, setsketch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,10 +27,15 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=5, percent=75)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op4_substring_dedup": op4_substring_dedup,
         "op7_suffix_dedup": op7_suffix_dedup,
+        "op10_near_dedup": op10_near_dedup,
     }
 
 
