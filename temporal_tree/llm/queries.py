@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from temporal_tree.llm import induced, rlz, setsketch
+from temporal_tree.llm import histogram_sort, induced, packing, rlz, setsketch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,11 +22,25 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(_table(spark, sf_dir, "documents"), size=1024, with_ids=False)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = induced.suffix_dedup(_table(spark, sf_dir, "documents"), size=100)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = histogram_sort.document_rows(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "key", "size", F.crc32(F.col("text").cast("binary")).alias("text_crc32")
+    )
+    return histogram_sort.shard_by_bytes(rows, shards=24).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=5, percent=75)
 
@@ -34,7 +48,9 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op4_substring_dedup": op4_substring_dedup,
+        "op5_best_fit_packing": op5_best_fit_packing,
         "op7_suffix_dedup": op7_suffix_dedup,
+        "op9_histogram_sort": op9_histogram_sort,
         "op10_near_dedup": op10_near_dedup,
     }
 
