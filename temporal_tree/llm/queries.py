@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from temporal_tree.llm import histogram_sort, induced, packing, rlz, setsketch
+from temporal_tree.llm import histogram_sort, induced, packing, quality_forest, rlz, setsketch, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_forest.quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"
+    )
+
+
+def op2_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted", "n_passages")
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = rlz.substring_dedup(_table(spark, sf_dir, "documents"), words=13)
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -47,6 +59,8 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_quality_forest": op1_quality_forest,
+        "op2_toxic_segments": op2_toxic_segments,
         "op4_substring_dedup": op4_substring_dedup,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op7_suffix_dedup": op7_suffix_dedup,
