@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from temporal_tree.llm import histogram_sort, induced, packing, quality_forest, rlz, setsketch, toxicity
+from temporal_tree.llm import backoff, histogram_sort, induced, licenses, packing, quality_forest, rlz, setsketch, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,10 @@ def op2_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted", "n_passages")
 
 
+def op3_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff.stupid_backoff(_table(spark, sf_dir, "documents"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = rlz.substring_dedup(_table(spark, sf_dir, "documents"), words=13)
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -39,6 +43,10 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op6_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = induced.suffix_dedup(_table(spark, sf_dir, "documents"), size=100)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -61,8 +69,10 @@ def queries() -> dict[str, Query]:
     return {
         "op1_quality_forest": op1_quality_forest,
         "op2_toxic_segments": op2_toxic_segments,
+        "op3_stupid_backoff": op3_stupid_backoff,
         "op4_substring_dedup": op4_substring_dedup,
         "op5_best_fit_packing": op5_best_fit_packing,
+        "op6_license_diagonals": op6_license_diagonals,
         "op7_suffix_dedup": op7_suffix_dedup,
         "op9_histogram_sort": op9_histogram_sort,
         "op10_near_dedup": op10_near_dedup,
