@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from temporal_tree.llm import backoff, histogram_sort, induced, licenses, packing, quality_forest, rlz, setsketch, toxicity
+from temporal_tree.llm import backoff, histogram_sort, induced, latent, licenses, packing, quality_forest, rlz, setsketch, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +52,10 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latent.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op9_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = histogram_sort.document_rows(_table(spark, sf_dir, "documents")).select(
         "doc_id", "key", "size", F.crc32(F.col("text").cast("binary")).alias("text_crc32")
@@ -74,6 +78,7 @@ def queries() -> dict[str, Query]:
         "op5_best_fit_packing": op5_best_fit_packing,
         "op6_license_diagonals": op6_license_diagonals,
         "op7_suffix_dedup": op7_suffix_dedup,
+        "op8_latent_decontamination": op8_latent_decontamination,
         "op9_histogram_sort": op9_histogram_sort,
         "op10_near_dedup": op10_near_dedup,
     }
