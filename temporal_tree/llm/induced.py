@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from temporal_tree.llm.anchored import Windows, merged, repeated_spans
 from temporal_tree.llm.documents import tables, texts_of
 
-_OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, spans array<struct<start:int,end:int>>, kept binary"
+_OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, spans array<struct<start:int,end:int>>, "
 
 
 class BucketQueue:
@@ -249,7 +249,14 @@ def suffix_spans(size: int, memory: int = 64 << 20):
     begins earlier: in a document with a smaller id, or at an earlier place of the same one."""
 
     def decide(docs: np.ndarray, starts: list, contents: list[bytes]) -> Iterator[tuple[int, int, int]]:
-        order = sorted(range(len(contents)), key=lambda r: (docs[r], starts[r][0]))
+        order, met = [], set()
+        for row in sorted(range(len(contents)), key=lambda r: (docs[r], starts[r][0])):
+            # of equal segments all but the earliest are repeated as a whole
+            if contents[row] in met:
+                yield row, 0, len(contents[row])
+            else:
+                met.add(contents[row])
+                order.append(row)
         ends = np.cumsum([len(contents[r]) for r in order])
         if not len(ends):
             return
@@ -319,32 +326,36 @@ def suffix_spans(size: int, memory: int = 64 << 20):
     return decide
 
 
-def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = batch.column("text").cast(pa.large_string()).cast(pa.large_binary()).to_pylist()
-        sizes, removed, counts, runs, kept = [], [], [], [], []
-        for text, found in zip(texts, batch.column("spans").to_pylist(), strict=True):
-            cut = merged(found)
-            sizes.append(len(text))
-            removed.append(sum(e - s for s, e in cut))
-            counts.append(len(cut))
-            runs.append([{"start": s, "end": e} for s, e in cut])
-            edges = [0, *(x for span in cut for x in span), len(text)]
-            kept.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(counts, pa.int64()),
-                pa.array(runs, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), pa.array(kept, pa.binary()),
-            ],
-            ["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept"],
-        )
-
-
-def suffix_dedup(docs: DataFrame, *, size: int = 100) -> DataFrame:
+def _remove(as_text: bool):
+    return lambda batches: (_kept(batch, as_text) for batch in batches)
+
+
+def _kept(batch: pa.RecordBatch, as_text: bool) -> pa.RecordBatch:
+    texts = batch.column("text").cast(pa.large_string()).cast(pa.large_binary()).to_pylist()
+    sizes, removed, counts, runs, kept = [], [], [], [], []
+    for text, found in zip(texts, batch.column("spans").to_pylist(), strict=True):
+        cut = merged(found)
+        sizes.append(len(text))
+        removed.append(sum(e - s for s, e in cut))
+        counts.append(len(cut))
+        runs.append([{"start": s, "end": e} for s, e in cut])
+        edges = [0, *(x for span in cut for x in span), len(text)]
+        kept.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
+    rest = pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
+    return pa.RecordBatch.from_arrays(
+        [
+            batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(counts, pa.int64()),
+            pa.array(runs, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), rest,
+        ],
+        ["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept_text" if as_text else "kept"],
+    )
+
+
+def suffix_dedup(docs: DataFrame, *, size: int = 100, as_text: bool = False) -> DataFrame:
     """Removes every byte that a string of `size` bytes covers which also begins earlier: in a document
     with a smaller `doc_id`, or at an earlier place of the same document. Returns `doc_id`, `n_bytes`,
     `n_removed`, `n_spans`, `spans` (maximal removed runs) and `kept` (the other bytes, as binary, since
-    a run may begin or end inside a character).
+    a run may begin or end inside a character; with `as_text` `kept_text`, without such characters).
 
     Segments of text whose anchor occurs elsewhere come together in shards (see `anchored`). A shard
     sorts its suffixes by induction (see `Induction`) with queues that spill to the task's disk, and
@@ -358,4 +369,6 @@ def suffix_dedup(docs: DataFrame, *, size: int = 100) -> DataFrame:
     scratch = tables(docs.sparkSession)
     windows = Windows("byte", size, k=max(1, size // 4), same_document=True)
     spans = repeated_spans(texts, windows, suffix_spans(size), scratch)
-    return texts.join(spans, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(_remove, _OUT)
+    return texts.join(spans, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(
+        _remove(as_text), _OUT + ("kept_text string" if as_text else "kept binary")
+    )
