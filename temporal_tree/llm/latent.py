@@ -224,7 +224,7 @@ class Search:
             similarity, where = self._best_part(item, region)
             if similarity < self.copied:
                 answer = item[-_ANSWER:]
-                if similarity < self.paraphrased or _common(answer, region[where : where + len(item) + _ANSWER]) < len(answer):
+                if similarity < self.paraphrased or _common(answer, region[where : where + len(item) * 3 // 2 + _ANSWER]) < len(answer):
                     continue
             if similarity > best.get((doc, number), (0.0,))[0]:
                 best[doc, number] = (similarity, start + where - low, min(start + where + len(item), high) - low)
@@ -235,11 +235,11 @@ class Search:
 
     @staticmethod
     def _best_part(item: list[int], region: list[int]) -> tuple[float, int]:
-        """The greatest part of the item that a stretch of its own length has in order."""
+        """The greatest part of the item that a stretch of a quarter more words has in order."""
         n, best, where = len(item), 0, 0
         step = max(1, n // 8)
         for start in range(0, max(1, len(region) - n + 1 + step), step):
-            length = _common(item, region[start : start + n + step])
+            length = _common(item, region[start : start + n + 2 * step])
             if length > best:
                 best, where = length, start
         return best / n, where
@@ -281,7 +281,7 @@ def decontaminate(
     3. Passages of 16 or 32 words that begin at any block are candidates for an item if their cosine in
        the latent space is at least `least_cosine`. Passages with too little weight in benchmark words
        are left out before, since that bounds the cosine.
-    4. A candidate holds an item if a stretch as long as the item has at least `copied` of its words in
+    4. A candidate holds an item if a stretch not much longer than the item has at least `copied` of its words in
        order, or `paraphrased` of them and all of its last words, which stand for the answer.
 
     The benchmark is searched in blocks of items; what a task keeps of a block does not depend on the

@@ -106,7 +106,7 @@ def _verify(phrases: list[tuple[list[str], str]], notices: list[tuple[list[str],
         for s in spans:
             notice, label = notices[s["template"] - len(phrases)]
             start, end = max(0, s["start"]), s["end"]
-            similarity = common_words(notice, words[start:end]) / max(len(notice), 1)
+            similarity = 2 * common_words(notice, words[start:end]) / (len(notice) + len(words[start:end]))
             if similarity >= least:
                 labels.add(label)
                 score = max(score, similarity)
@@ -142,7 +142,7 @@ def scan_licenses(docs: DataFrame, *, least_similarity: float = 0.8) -> DataFram
     constant of this module. A hit votes for the diagonal on which a template would begin. A phrase
     stands where all its hashes vote for one diagonal; diagonals of a notice at most two words apart
     are one span, which is a candidate from half the votes on. All candidates are verified on the
-    words themselves: phrases exactly, spans by their longest common subsequence.
+    words themselves: phrases exactly, spans by twice their longest common subsequence over both lengths.
 
     Words are runs of digits, a-z and characters beyond ASCII, with A-Z in lower case. Null and empty
     texts have no words and no labels. Rows that repeat an id are one document and rows without an id

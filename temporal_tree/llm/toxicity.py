@@ -120,13 +120,14 @@ def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def log_odds(counts: DataFrame, prior: float, floor: float, least_z: float, least_odds: float, most_tokens: int) -> DataFrame:
-    """Tokens with significantly higher odds in toxic documents, under a Dirichlet prior in proportion to
-    the tokens' overall frequency (Monroe et al., "Fightin' Words", 2008), at least `floor`."""
+    """Tokens with significantly higher odds in toxic documents, under a Dirichlet prior of `prior`
+    of the tokens' overall counts, at least `floor` (Monroe et al., "Fightin' Words", 2008)."""
     totals = counts.agg(F.sum("clean").alias("all_clean"), F.sum("toxic").alias("all_toxic"))
-    a = F.greatest(F.lit(floor), F.lit(prior) * (F.col("clean") + F.col("toxic")) / (F.col("all_clean") + F.col("all_toxic")))
+    a = F.greatest(F.lit(floor), F.lit(prior) * (F.col("clean") + F.col("toxic")))
+    whole = F.lit(prior) * (F.col("all_clean") + F.col("all_toxic")) + floor
 
     def odds(count: str, total: str):
-        return F.log((F.col(count) + a) / (F.col(total) + prior - F.col(count) - a))
+        return F.log((F.col(count) + a) / (F.col(total) + whole - F.col(count) - a))
 
     delta = odds("toxic", "all_toxic") - odds("clean", "all_clean")
     spread = F.sqrt(1 / (F.col("toxic") + a) + 1 / (F.col("clean") + a))
@@ -144,9 +145,9 @@ def fit(
     labels: DataFrame,
     *,
     most_rows: int = 20_000,
-    prior: float = 1000.0,
+    prior: float = 0.01,
     floor: float = 0.5,
-    least_z: float = 3.0,
+    least_z: float = 2.5,
     least_odds: float = 2.0,
     most_tokens: int = 50_000,
 ) -> Model:
