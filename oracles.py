@@ -228,7 +228,40 @@ _VARIANT = _consolidated(
     "after_manager",
 )
 
-_WITH = "WITH RECURSIVE" + ",".join([_RAW, _STAGES, _FINAL, _VARIANT])
+_UNMAPPED = _consolidated(
+    "unmapped",
+    """SELECT parent_account_id AS account_id, entity_id, marketplace_id,
+           period_start AS effective_start_date, period_end AS effective_end_date, level_depth,
+           root_account_id, calculated_root_flag AS is_root_manager,
+           calculated_partner_flag AS is_root_partner_manager,
+           coalesce(source, 'HIERARCHY') AS source, 'HIERARCHY' AS record_type
+    FROM flagged""",
+    "after_child",
+)
+_HALF_OPEN = """
+held_half_open AS (
+  SELECT b.manager_account_id, b.entity_id, b.marketplace_id, b.source, p.period_start,
+         p.period_end
+  FROM best b JOIN period_half_open p
+    ON p.period_start >= b.effective_start_date AND p.period_end <= b.effective_end_date
+),
+after_half_open AS (
+  SELECT n.child_account_id AS account_id, CAST(max(h.period_end) + 1 AS DATE) AS inherit_start_date,
+         DATE '2099-12-31' AS inherit_end_date, CAST(1 AS INTEGER) AS inherited_root_flag
+  FROM node n JOIN held_half_open h ON h.manager_account_id = n.parent_account_id
+  WHERE n.child_account_id IN (FROM partner)
+  GROUP BY n.child_account_id HAVING max(h.period_end) < DATE '2099-12-31'
+)""" + "," + _consolidated(
+    "half_open",
+    """SELECT h.manager_account_id AS account_id, entity_id, marketplace_id,
+           period_start AS effective_start_date, period_end AS effective_end_date, level_depth,
+           root_account_id, is_root_manager, is_root_partner_manager, source,
+           'HIERARCHY' AS record_type
+    FROM node n JOIN held_half_open h ON h.manager_account_id = n.parent_account_id""",
+    "after_half_open",
+)
+
+_WITH = "WITH RECURSIVE" + ",".join([_RAW, _STAGES, _FINAL, _VARIANT, _UNMAPPED, _HALF_OPEN])
 
 _FACT_COLUMNS = """CAST(row_number() OVER (
          ORDER BY account_id, effective_start_date, entity_id NULLS FIRST,
@@ -258,6 +291,17 @@ _SEGMENT = """SELECT parent_account_id, child_account_id, root_account_id, level
        period_end, manager_account_id, entity_id, marketplace_id, source, is_mapped"""
 _KEY = "account_id, entity_id, marketplace_id, effective_start_date, effective_end_date"
 
+# breadth first: a pair that is known already is not reached again
+_NEAREST = """, nearest(root, child, level) USING KEY (root, child) AS (
+         SELECT parent_account_id, child_account_id, 1 FROM edge
+         UNION
+         SELECT n.root, e.child_account_id, min(n.level + 1)
+         FROM nearest n JOIN edge e ON e.parent_account_id = n.child
+         LEFT JOIN recurring.nearest k ON k.root = n.root AND k.child = e.child_account_id
+         WHERE k.root IS NULL AND n.root <> e.child_account_id
+         GROUP BY n.root, e.child_account_id
+       )"""
+
 _QUERIES = {
     "extract_relationships": "SELECT * FROM rel",
     "extract_partners": "SELECT * FROM par",
@@ -288,6 +332,13 @@ _QUERIES = {
        coalesce(k.is_approved, 0) AS is_approved, coalesce(k.is_external, 0) AS is_external,
        TIMESTAMP '{LOAD_TS}' AS created_at
        FROM (SELECT DISTINCT account_id FROM final) a LEFT JOIN kind k USING (account_id)""",
+    "dim_accounts_single": f"""SELECT a.account_id, coalesce(k.entity_type, 'UNKNOWN') AS entity_type,
+       coalesce(k.is_approved, 0) AS is_approved, coalesce(k.is_external, 0) AS is_external,
+       TIMESTAMP '{LOAD_TS}' AS created_at
+       FROM (SELECT DISTINCT account_id FROM final) a LEFT JOIN (
+         SELECT DISTINCT ON (account_id) * FROM kind
+         ORDER BY account_id, entity_type <> 'PARTNER', is_approved DESC, is_external DESC
+       ) k USING (account_id)""",
     "dim_date": """SELECT d AS date_key, CAST(year(d) AS INTEGER) AS year_num,
        CAST(month(d) AS INTEGER) AS month_num, CAST(day(d) AS INTEGER) AS day_num,
        CAST(quarter(d) AS INTEGER) AS quarter_num
@@ -295,12 +346,14 @@ _QUERIES = {
              UNION SELECT effective_end_date FROM final)""",
     "star_roundtrip": _fact("final"),
     "quality_relationships": _metrics(
-        "rel",
+        "raw_rel",
         total_relationships="count(*)",
-        self_references="count(*) FILTER (parent_account_id = child_account_id)",
-        null_parents="count(*) FILTER (parent_account_id IS NULL)",
-        null_children="count(*) FILTER (child_account_id IS NULL)",
-    ),
+        self_references="count(*) FILTER (entity_id_one = entity_id_two)",
+        null_parents="count(*) FILTER (entity_id_one IS NULL)",
+        null_children="count(*) FILTER (entity_id_two IS NULL)",
+    )
+    + " UNION ALL "
+    + _metrics("edge", clean_relationships="count(*)"),
     "quality_mappings": _metrics(
         "best",
         total_mappings="count(*)",
@@ -325,19 +378,20 @@ _QUERIES = {
     ),
     "hierarchy_levels": "SELECT level_depth, count(*) AS path_count FROM walk GROUP BY level_depth",
     "quality_segments": (
-        _metrics("final", total_segments="count(*)")
+        _metrics("flagged", total_segments="count(*)")
         + " UNION ALL "
         + _metrics(
-            "(SELECT 1 FROM final GROUP BY account_id, entity_id HAVING count(*) > 1)",
+            "(SELECT 1 FROM flagged GROUP BY parent_account_id, entity_id HAVING count(*) > 1)",
             accounts_with_multiple_segments="count(*)",
         )
         + " UNION ALL "
         + _metrics(
-            """(SELECT DISTINCT account_id, entity_id, marketplace_id FROM (
-                 SELECT *, lag(effective_end_date) OVER (
-                   PARTITION BY account_id, entity_id, marketplace_id
-                   ORDER BY effective_start_date, effective_end_date) AS before
-                 FROM final) WHERE before >= effective_start_date)""",
+            """(SELECT DISTINCT manager_account_id, entity_id, marketplace_id FROM (
+                 SELECT *, max(effective_end_date) OVER (
+                   PARTITION BY manager_account_id, entity_id, marketplace_id
+                   ORDER BY effective_start_date
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+                 FROM best) WHERE before >= effective_start_date)""",
             overlapping_groups="count(*)",
         )
     ),
@@ -359,6 +413,10 @@ _QUERIES = {
     "pipeline_full": _fact("final"),
     "pipeline_literal": _fact("final"),
     "pipeline_variant": _fact("variant"),
+    "pipeline_half_open": _fact("half_open"),
+    "pipeline_unmapped_partner": _fact("unmapped"),
+    "fact_by_account": _fact("final"),
+    "star_catalog": _fact("final"),
     "components": """, tie AS (
          SELECT parent_account_id AS a, child_account_id AS b FROM edge
          UNION SELECT child_account_id, parent_account_id FROM edge
@@ -374,8 +432,14 @@ _QUERIES = {
        FROM walk w JOIN edge e
          ON e.parent_account_id = w.child_account_id AND e.child_account_id = w.root_account_id
        WHERE w.level_depth < 12 AND w.root_account_id = list_min(w.path)""",
-    "shortest_levels": """SELECT root_account_id, child_account_id,
-       min(level_depth) AS shortest_level FROM walk GROUP BY root_account_id, child_account_id""",
+    "edges_on_cycles": f"""{_NEAREST}
+       SELECT e.parent_account_id, e.child_account_id,
+              CAST(n.level + 1 AS INTEGER) AS shortest_cycle
+       FROM edge e JOIN nearest n
+         ON n.root = e.child_account_id AND n.child = e.parent_account_id""",
+    "shortest_levels": f"""{_NEAREST}
+       SELECT root AS root_account_id, child AS child_account_id,
+              CAST(level AS INTEGER) AS shortest_level FROM nearest""",
 }
 
 

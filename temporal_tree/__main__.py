@@ -5,18 +5,24 @@
 
 Without paths the raw tables are read from the catalog; with --database instead of --out the star
 goes to catalog tables. A database as source or target takes connection options, which belong in
-code: see `load_raw` and `write_star`.
+code: see `load_raw` and `write_star`. The reports of all checks are logged before the star is
+written, unless --no-validate is given.
 """
 
 from __future__ import annotations
 
 import argparse
+import logging
+from dataclasses import fields
+from datetime import datetime
 
 from pyspark.sql import SparkSession
 
 from temporal_tree import PipelineOptions, load_raw, run, write_star
 from temporal_tree.schemas import RAW_TABLES
 
+log = logging.getLogger("temporal_tree")
+
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="temporal_tree")
@@ -30,6 +36,16 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--keep-unmapped", action="store_true")
     parser.add_argument("--unmapped-flags", choices=("partner", "always"), default="partner")
     parser.add_argument("--succession-key", choices=("child", "manager"), default="child")
+    parser.add_argument("--one-row-per-account", action="store_true")
+    parser.add_argument("--partition-by-account", action="store_true")
+    parser.add_argument("--collapse", action=argparse.BooleanOptionalAction, default=True)
+    parser.add_argument("--validate", action=argparse.BooleanOptionalAction, default=True)
+    parser.add_argument("--closure-method", choices=("doubling", "cte"), default="doubling")
+    parser.add_argument("--persist", choices=("table", "cache", "none"), default="table")
+    parser.add_argument("--load-ts", type=datetime.fromisoformat, help="value of created_at")
+    for size in ("cell-rows", "hot-account-rows", "rows-per-task"):
+        default = getattr(PipelineOptions, size.replace("-", "_"))
+        parser.add_argument(f"--{size}", type=int, default=default)
     args = parser.parse_args(argv)
     if any((args.edges, args.partners, args.mappings)) and not all(
         (args.edges, args.partners, args.mappings)
@@ -46,19 +62,16 @@ def main(argv: list[str] | None = None) -> None:
         .getOrCreate()
     )
     files = dict(zip(RAW_TABLES, (args.edges, args.partners, args.mappings)))
-    result = run(
-        load_raw(spark, paths=files if args.edges else None),
-        PipelineOptions(
-            max_depth=args.max_depth,
-            half_open=args.half_open,
-            keep_unmapped=args.keep_unmapped,
-            unmapped_flags=args.unmapped_flags,
-            succession_key=args.succession_key,
-        ),
-    )
-    write_star(result.star.tables(), path=args.out, database=args.database)
-    result.close()
+    options = {f.name: getattr(args, f.name) for f in fields(PipelineOptions)}
+    with run(
+        load_raw(spark, paths=files if args.edges else None), PipelineOptions(**options)
+    ) as result:
+        for name, report in result.checks.items():
+            for row in report.collect():  # some metrics per report
+                log.info("%s %s %s", name, row["metric"], row["value"])
+        write_star(result.star.tables(), path=args.out, database=args.database)
 
 
 if __name__ == "__main__":
+    logging.basicConfig(level=logging.INFO)
     main()

@@ -185,8 +185,51 @@ def root_flags(hierarchy: DataFrame) -> DataFrame:
     )
 
 
-def shortest_levels(hierarchy: DataFrame) -> DataFrame:
-    """The least depth of every account below every root."""
-    return hierarchy.groupBy("root_account_id", "child_account_id").agg(
-        F.min("level_depth").alias("shortest_level")
+def shortest_levels(
+    edges: DataFrame, *, scratch: Scratch | None = None, cell_rows: int = 1_000_000
+) -> DataFrame:
+    """The least number of edges from every account to every account below it, without a limit.
+
+    Only pairs are kept, never paths. With the levels of all pairs up to k edges apart known, a
+    shortest way of up to 2k edges is one of exactly k and one of at most k, so each round doubles
+    the reach until no pair is that far apart: the rounds are logarithmic in the longest one.
+    """
+    scratch = scratch or Scratch(edges.sparkSession)
+    pair = ["root_account_id", "child_account_id"]
+
+    def save(part: DataFrame, reach: int) -> tuple[DataFrame, int]:
+        at_reach = F.coalesce(F.sum((F.col("shortest_level") == reach).cast("long")), F.lit(0))
+        table, seen = scratch.save_measured(part, f"levels-to-{reach}", longest=at_reach)
+        return table, seen["longest"]
+
+    known, longest = save(
+        edges.where("parent_account_id <> child_account_id")
+        .select(
+            F.col("parent_account_id").alias("root_account_id"),
+            "child_account_id",
+            F.lit(1).alias("shortest_level"),
+        )
+        .distinct(),
+        1,
     )
+    reach = 1
+    while longest:
+        heads = known.where(F.col("shortest_level") == reach).select(
+            F.col("child_account_id").alias("joint"), "root_account_id"
+        )
+        tails = known.select(
+            F.col("root_account_id").alias("joint"), "child_account_id", "shortest_level"
+        )
+        farther = (
+            grid_join(
+                heads, tails, "joint",
+                left_id=["root_account_id"], right_id=["child_account_id"], cell_rows=cell_rows,
+            )
+            .where("root_account_id <> child_account_id")
+            .groupBy(*pair)
+            .agg((F.min("shortest_level") + reach).alias("shortest_level"))
+            .join(known.select(*pair), pair, "left_anti")
+        )
+        found, longest = save(farther, 2 * reach)
+        known, reach = known.unionByName(found), 2 * reach
+    return known

@@ -5,22 +5,54 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from temporal_tree.operators import closure
 from temporal_tree.sources.scratch import Scratch
 
 
-def cycles(hierarchy: DataFrame, edges: DataFrame, max_depth: int = 12) -> DataFrame:
-    """Every simple cycle of at most `max_depth` edges, once, from its least account.
+def on_cycles(
+    edges: DataFrame, *, scratch: Scratch | None = None, cell_rows: int = 1_000_000
+) -> DataFrame:
+    """The edges that lie on a cycle, of any length, with the length of the shortest one. Those are
+    the edges whose parent can be reached from their child."""
+    levels = closure.shortest_levels(edges, scratch=scratch, cell_rows=cell_rows)
+    back = levels.select(
+        F.col("child_account_id").alias("parent_account_id"),
+        F.col("root_account_id").alias("child_account_id"),
+        (F.col("shortest_level") + 1).alias("shortest_cycle"),
+    )
+    ends = ["parent_account_id", "child_account_id"]
+    return edges.select(*ends).distinct().join(back, ends)
+
+
+def cycles(
+    edges: DataFrame,
+    max_length: int,
+    *,
+    scratch: Scratch | None = None,
+    cell_rows: int = 1_000_000,
+) -> DataFrame:
+    """Every simple cycle of at most `max_length` edges, once, from its least account.
 
-    A cycle is a path plus an edge from its end to its root. The join is on both accounts, which
-    at most one edge matches, so it neither multiplies rows nor gathers a hub in one task.
+    Their number may be exponential, hence the limit. `on_cycles` has none: an edge that it lists with
+    a longer shortest cycle is on cycles that are left out here. A cycle is a path of edges on cycles
+    plus an edge from its end to its root. That join is on both accounts, which at most one edge
+    matches, so it neither multiplies rows nor gathers a hub in one task.
     """
-    closing = edges.select(
+    scratch = scratch or Scratch(edges.sparkSession)
+    inside = on_cycles(edges, scratch=scratch, cell_rows=cell_rows)
+    inside = scratch.save(
+        inside.where(F.col("shortest_cycle") <= max_length).drop("shortest_cycle"), "on-cycles"
+    )
+    closing = inside.select(
         F.col("parent_account_id").alias("child_account_id"),
         F.col("child_account_id").alias("root_account_id"),
     )
-    open_paths = hierarchy.where(
-        (F.col("level_depth") < max_depth) & (F.col("root_account_id") == F.array_min("path"))
-    ).select("root_account_id", "child_account_id", "level_depth", "path")
+    if max_length < 2:
+        open_paths = closure.paths(inside.limit(0), 1, scratch=scratch)
+    else:
+        open_paths = closure.paths(
+            inside, max_length - 1, scratch=scratch, cell_rows=cell_rows
+        ).where(F.col("root_account_id") == F.array_min("path"))
     return open_paths.join(closing, ["child_account_id", "root_account_id"]).select(
         "root_account_id",
         (F.col("level_depth") + 1).alias("cycle_length"),

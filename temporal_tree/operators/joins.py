@@ -1,23 +1,13 @@
-"""Joins that know their sizes: a checked broadcast, and an inner join that splits keys whose output
-would be too much for one task."""
+"""An inner join that splits keys whose output would be too much for one task."""
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-# with an account id and two numbers per row, about the 10 MB that Spark itself broadcasts
-BROADCAST_ROWS = 100_000
-
-
-def if_small(df: DataFrame, rows: int) -> DataFrame:
-    """`df`, counted to have `rows` short rows, with a broadcast hint only if they are few.
-    Beyond that the join is left to the optimizer, which shuffles."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
 
 def grid_join(
     left: DataFrame,
@@ -27,6 +17,7 @@ def grid_join(
     left_id: list[str],
     right_id: list[str],
     cell_rows: int,
+    right_weight: Column | None = None,
 ) -> DataFrame:
     """Inner join on `key`, exact for any distribution.
 
@@ -37,14 +28,20 @@ def grid_join(
     `cell_rows` rows, and the copies add 2/s of the output. All other keys join unchanged.
 
     `left_id` and `right_id` name columns that tell the rows of a side apart: they choose the
-    band, so equal rows would share one. Both inputs are read several times when there are
+    band, so equal rows would share one. `right_weight` is how many rows a right row stands for, if
+    the caller multiplies it after the join; cells are then of `cell_rows` rows after that. Both inputs are read several times when there are
     hot keys: pass scans, not computations.
     """
     side = max(1, math.isqrt(cell_rows))
     hot = (
         left.groupBy(key)
         .agg(F.count(F.lit(1)).alias("_l"))
-        .join(right.groupBy(key).agg(F.count(F.lit(1)).alias("_r")), key)
+        .join(
+            right.groupBy(key).agg(
+                F.sum(F.lit(1) if right_weight is None else right_weight).alias("_r")
+            ),
+            key,
+        )
         .where(F.col("_l") * F.col("_r") > cell_rows)
         .select(
             key,
@@ -52,10 +49,8 @@ def grid_join(
             F.ceil(F.col("_r") / side).alias("_right_bands"),
         )
     )
-    hot_keys = hot.count()
-    if not hot_keys:
+    if hot.isEmpty():
         return left.join(right, key)
-    hot = if_small(hot, hot_keys)
 
     def banded(df: DataFrame, own: str, other: str, ids: list[str]) -> DataFrame:
         sized = df.join(hot, key, "left").na.fill(1, ["_left_bands", "_right_bands"])

@@ -16,10 +16,11 @@ def _report(df: DataFrame, measures: dict[str, Column]) -> DataFrame:
     return values.unpivot([], list(measures), "metric", "value")
 
 
-def relationships(edges: DataFrame) -> DataFrame:
-    """Size of the edge table, self-references and missing ends; for raw or cleaned edges."""
+def relationships(edges: DataFrame, clean: DataFrame | None = None) -> DataFrame:
+    """Size of the edge table, self-references and missing ends, best of the edges as they came in; with
+    `clean` also the number of edges that are left."""
     parent, child = F.col("parent_account_id"), F.col("child_account_id")
-    return _report(
+    report = _report(
         edges,
         {
             "total_relationships": F.count(F.lit(1)),
@@ -28,6 +29,9 @@ def relationships(edges: DataFrame) -> DataFrame:
             "null_children": F.count_if(child.isNull()),
         },
     )
+    if clean is None:
+        return report
+    return report.unionByName(_report(clean, {"clean_relationships": F.count(F.lit(1))}))
 
 
 def mappings(clean: DataFrame) -> DataFrame:
@@ -96,36 +100,36 @@ def levels(nodes: DataFrame) -> DataFrame:
     return nodes.groupBy("level_depth").agg(F.count(F.lit(1)).alias("path_count"))
 
 
-def segments(rows: DataFrame) -> DataFrame:
-    """Segments; (account, entity) pairs with more than one; and (account, entity, marketplace)
-    groups in which two different segments overlap in time.
+def segments(hierarchy: DataFrame, managed: DataFrame, mappings: DataFrame) -> DataFrame:
+    """Segments (`total_segments`), pairs of parent and entity with more than one, and mappings' groups of
+    manager, entity and marketplace of which two date ranges overlap.
 
-    `rows` has the columns of the fact. Equal date ranges are combined before their group is
-    brought together, so a group's size is bounded by the ranges of the calendar.
+    A segment is a path in a period of a span of its parent (`temporal.managed_spans`), so segments are
+    counted as products of paths per parent and periods per parent and entity, without making them.
     """
-    total = _report(rows, {"total_segments": F.count(F.lit(1))})
-    several = (
-        rows.groupBy("account_id", "entity_id")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-    )
-    group = ["account_id", "entity_id", "marketplace_id"]
-    ranges = rows.groupBy(*group, "effective_start_date", "effective_end_date").agg(
-        F.count(F.lit(1)).alias("copies")
+    paths = hierarchy.groupBy("parent_account_id").agg(F.count(F.lit(1)).alias("paths"))
+    counts = (
+        managed.groupBy("parent_account_id", "entity_id")
+        .agg(F.sum((F.col("hi") - F.col("lo") + 1).cast("long")).alias("periods"))
+        .join(paths, "parent_account_id")
+        .select((F.col("paths") * F.col("periods")).alias("n"))
     )
+    group = ["manager_account_id", "entity_id", "marketplace_id"]
+    # starts of a group are distinct, so its size is bounded by the days of the calendar
     earlier = (
         Window.partitionBy(*group)
-        .orderBy("effective_start_date", "effective_end_date")
+        .orderBy("effective_start_date")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    overlap = (F.col("copies") > 1) | (
-        F.max("effective_end_date").over(earlier) >= F.col("effective_start_date")
-    )
-    overlapping = ranges.select(*group, overlap.alias("overlaps")).where("overlaps").select(*group)
-    return (
-        total.unionByName(_report(several, {"accounts_with_multiple_segments": F.count(F.lit(1))}))
-        .unionByName(_report(overlapping.distinct(), {"overlapping_groups": F.count(F.lit(1))}))
-    )
+    overlap = F.max("effective_end_date").over(earlier) >= F.col("effective_start_date")
+    overlapping = mappings.select(*group, overlap.alias("overlaps")).where("overlaps").select(*group)
+    return _report(
+        counts,
+        {
+            "total_segments": F.sum("n"),
+            "accounts_with_multiple_segments": F.count_if(F.col("n") > 1),
+        },
+    ).unionByName(_report(overlapping.distinct(), {"overlapping_groups": F.count(F.lit(1))}))
 
 
 def fact(rows: DataFrame) -> DataFrame:

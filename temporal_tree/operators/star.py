@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from temporal_tree.functions import fact_source_rank, moment
-from temporal_tree.operators.joins import if_small
 from temporal_tree.operators.normalize import first_per
 from temporal_tree.operators.numbering import dense_keys, number_in_place
 from temporal_tree.operators.temporal import (
@@ -240,35 +239,31 @@ def fact_from_spans(
     it takes as many tasks as it needs; there are at most total_rows / hot_account_rows of those.
 
     `spans` and `calendar` are read more than once: pass scans. `total_rows` is the number of
-    rows after spreading. Ranges are drawn by pieces, of which spread accounts have one per row
-    and others one per span, so the number of tasks is set for the latter to get `rows_per_task`.
+    rows after spreading. Ranges are drawn by pieces: spans are cut into ones of at most the mean
+    number of rows, which at most doubles them, so that a range of pieces is a range of rows wherever
+    the long spans are. Spread accounts have a piece per row.
     """
     hot = (
         spans.groupBy("account_id")
-        .agg(
-            F.sum(F.col("hi") - F.col("lo") + 1).alias("_rows"),
-            F.count(F.lit(1)).alias("_spans"),
-        )
+        .agg(F.sum(F.col("hi") - F.col("lo") + 1).alias("_rows"))
         .where(F.col("_rows") > hot_account_rows)
     )
-    placed, place = spans, ["account_id"]
-    hot_accounts, hot_rows, hot_spans = 0, 0, 0
-    if total_rows > hot_account_rows:
-        totals = [F.sum("_rows"), F.sum("_spans")]
-        hot_accounts, hot_rows, hot_spans = (
-            n or 0 for n in hot.agg(F.count(F.lit(1)), *totals).first()
-        )
-    if hot_accounts:
-        listed = if_small(hot.select("account_id", F.lit(True).alias("_hot")), hot_accounts)
-        placed = placed.join(listed, "account_id", "left").na.fill(False, ["_hot"])
-        one_by_one = F.transform(
-            F.sequence("lo", "hi"), lambda i: F.struct(i.alias("lo"), i.alias("hi"))
-        )
-        whole = F.array(F.struct("lo", "hi"))
-        placed = placed.select(
-            *[c for c in placed.columns if c not in ("lo", "hi")],
-            F.inline(F.when(F.col("_hot"), one_by_one).otherwise(whole)),
-        )
+    longest = max(1, math.ceil(total_rows / max(1, total_spans)))
+    placed, place, step = spans, ["account_id"], F.lit(longest)
+    if total_rows > hot_account_rows and not hot.isEmpty():
+        placed = placed.join(
+            hot.select("account_id", F.lit(True).alias("_hot")), "account_id", "left"
+        ).na.fill(False, ["_hot"])
+        step = F.when(F.col("_hot"), 1).otherwise(longest)
+        place += ["_slot", "_entity", "_marketplace"]
+    pieces = F.transform(
+        F.sequence("lo", "hi", step.cast("int")),
+        lambda i: F.struct(i.alias("lo"), F.least(i + step.cast("int") - 1, F.col("hi")).alias("hi")),
+    )
+    placed = placed.select(
+        *[c for c in placed.columns if c not in ("lo", "hi")], F.inline(pieces)
+    )
+    if len(place) > 1:
         placed = placed.withColumns(
             {
                 "_slot": F.when(F.col("_hot"), F.col("lo")),
@@ -276,12 +271,8 @@ def fact_from_spans(
                 "_marketplace": F.when(F.col("_hot"), F.col("marketplace_id")),
             }
         )
-        place += ["_slot", "_entity", "_marketplace"]
-    whole_spans = total_spans - hot_spans
-    pieces = whole_spans + hot_rows
-    rows_per_piece = (total_rows - hot_rows) / whole_spans if whole_spans else 1
     tasks = max(
-        math.ceil(pieces * rows_per_piece / rows_per_task),
+        math.ceil((total_rows + total_spans * longest) / rows_per_task),
         int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions")),
     )
     rows = per_period(placed.repartitionByRange(tasks, *place), calendar).withColumns(

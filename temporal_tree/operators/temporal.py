@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from temporal_tree.operators.joins import grid_join
 from temporal_tree.operators.normalize import partner_ids
 from temporal_tree.schemas import open_end
+from temporal_tree.sources.scratch import Scratch
 
 MAPPED = ["manager_account_id", "entity_id", "marketplace_id", "source"]
 
@@ -223,44 +224,56 @@ def segments(
     *,
     keep_unmapped: bool = True,
     cell_rows: int = 100_000,
+    days: DataFrame | None = None,
+    scratch: Scratch | None = None,
 ) -> DataFrame:
     """Every hierarchy row in every period, with each mapping of its parent that spans the period.
 
     Periods in which the parent manages nothing appear once with NULL mapping columns, unless
-    `keep_unmapped` is off.
+    `keep_unmapped` is off. What a parent manages and its gaps are one table of spans, which is written
+    and joined once; a cell of that join gets `cell_rows` rows after its spans are spread over periods.
+    Pass the calendar as `days` if there is a saved one.
     """
-    days = calendar(periods)
-    spans = coverage(mappings, days)
+    scratch = scratch or Scratch(hierarchy.sparkSession)
+    if days is None:
+        days = scratch.save(calendar(periods), "calendar")
+    managed = managed_spans(hierarchy, mappings, days, keep_unmapped=keep_unmapped)
+    managed = scratch.save(managed, "managed")
     rows = hierarchy.select(*_SEGMENT, *[c for c in ("path",) if c in hierarchy.columns])
     identity = ["path"] if "path" in rows.columns else ["parent_account_id", "child_account_id"]
-    mapped = grid_join(
+    joined = grid_join(
         rows,
-        spans.withColumn("parent_account_id", F.col("manager_account_id")),
+        managed,
         "parent_account_id",
         left_id=identity,
         right_id=["entity_id", "marketplace_id", "lo"],
         cell_rows=cell_rows,
-    ).withColumn("is_mapped", F.lit(1))
-    if keep_unmapped:
-        gaps = uncovered(hierarchy, spans, days)
-        nothing = {
-            name: F.lit(None).cast("int" if name == "marketplace_id" else "string")
-            for name in MAPPED
-        }
-        unmapped = grid_join(
-            rows,
-            gaps,
-            "parent_account_id",
-            left_id=identity,
-            right_id=["lo"],
-            cell_rows=cell_rows,
-        ).withColumns({**nothing, "is_mapped": F.lit(0)})
-        mapped = mapped.unionByName(unmapped)
-    return per_period(mapped, days).select(
+        right_weight=F.col("hi") - F.col("lo") + 1,
+    )
+    return per_period(joined, days).select(
         *_SEGMENT, "period_start", "period_end", *MAPPED, "is_mapped"
     )
 
 
+def managed_spans(
+    hierarchy: DataFrame, mappings: DataFrame, days: DataFrame, *, keep_unmapped: bool = True
+) -> DataFrame:
+    """The spans of periods of what each manager manages and, unless `keep_unmapped` is off, of the gaps
+    in which a parent of the hierarchy manages nothing."""
+    spans = coverage(mappings, days)
+    mapped = spans.withColumns(
+        {"parent_account_id": F.col("manager_account_id"), "is_mapped": F.lit(1)}
+    )
+    if not keep_unmapped:
+        return mapped
+    # every parent has an edge, which is the part of the hierarchy at level 1
+    gaps = uncovered(hierarchy.where("level_depth = 1"), spans, days)
+    nothing = {
+        name: F.lit(None).cast("int" if name == "marketplace_id" else "string") for name in MAPPED
+    }
+    return mapped.unionByName(gaps.withColumns({**nothing, "is_mapped": F.lit(0)}))
+
+
 def inherit(segments: DataFrame, unmapped_flags: str = "partner") -> DataFrame:
     """Segments with final flags: mapped rows keep theirs. Where nothing is mapped a partner parent
     becomes its own root, and a partner root if the child is one too ('partner'), or every row is

@@ -25,7 +25,8 @@ class PipelineOptions:
     collapse         build the fact from edges and date spans; False walks every path and segment
     closure_method   'doubling' (default) or 'cte' (recursive SQL, bounded by Spark's row limit)
     one_row_per_account  account dimension keeps only PARTNER where an account is both kinds
-    validate         build the check reports
+    partition_by_account  keep the fact gathered by account, for repeated joins
+    validate         build the check reports; a batch writes them to its log
     persist          how intermediate results that are read more than once are kept:
                      'table' (written, lineage cut), 'cache' or 'none'
     load_ts          value of created_at; taken once per run when None
@@ -42,6 +43,7 @@ class PipelineOptions:
     collapse: bool = True
     closure_method: str = "doubling"
     one_row_per_account: bool = False
+    partition_by_account: bool = False
     validate: bool = True
     persist: str = "table"
     load_ts: datetime | None = None

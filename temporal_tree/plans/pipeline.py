@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
@@ -43,33 +44,175 @@ class Run:
             return list(pool.map(keep, named.values(), named))
 
 
-@dataclass(frozen=True)
 class Normalized:
-    edges: DataFrame  # newest edges, with the partner status of both ends
-    entity_types: DataFrame
-    mappings: DataFrame  # best mappings
+    """Edges, kinds and best mappings. Each table is made, and written, when it is first used."""
+
+    def __init__(self, extracted: RawInputs, run: Run):
+        self._extracted, self._run = extracted, run
+
+    @cached_property
+    def entity_types(self) -> DataFrame:
+        # not kept: most uses want partners only, for which Catalyst drops the scan of mappings
+        return normalize.entity_types(self._extracted.partners, self._extracted.mappings)
+
+    def _new_edges(self) -> DataFrame:
+        newest = normalize.latest_relationships(self._extracted.relationships)
+        return closure.flag_edges(newest, self.entity_types)
+
+    def _new_mappings(self) -> DataFrame:
+        return normalize.best_mappings(self._extracted.mappings)
+
+    @cached_property
+    def edges(self) -> DataFrame:
+        """The newest edges, with the partner status of both ends."""
+        return self._run.keep(self._new_edges(), "edges")
+
+    @cached_property
+    def mappings(self) -> DataFrame:
+        """The best mappings."""
+        return self._run.keep(self._new_mappings(), "best_mappings")
+
+    def both(self) -> tuple[DataFrame, DataFrame]:
+        """Edges and mappings for those who need both: their jobs share the cluster."""
+        if not {"edges", "mappings"} & self.__dict__.keys():
+            self.edges, self.mappings = self._run.keep_all(
+                edges=self._new_edges(), best_mappings=self._new_mappings()
+            )
+        return self.edges, self.mappings
 
 
-@dataclass(frozen=True)
 class Temporal:
-    """Date-aware intermediates. In the literal form segments and standalone are filled, in the
-    collapsed form spans, with their number and the number of fact rows they stand for (before
-    deduplication)."""
+    """Date-aware intermediates, each made when it is first used. `hierarchy` is a function that builds
+    it: only segments need one. In the literal form the fact comes from segments, in the collapsed
+    form from spans."""
 
-    calendar: DataFrame
-    periods: DataFrame
-    standalone: DataFrame
-    segments: DataFrame | None = None
-    spans: DataFrame | None = None
-    fact_rows: int | None = None
-    fact_spans: int | None = None
+    def __init__(self, normalized: Normalized, hierarchy: Callable[[], DataFrame], run: Run):
+        self._normalized, self._hierarchy, self._run = normalized, hierarchy, run
+
+    @cached_property
+    def calendar(self) -> DataFrame:
+        edges, mappings = self._normalized.both()
+        cuts = temporal.periods(mappings, edges, self._run.options.half_open)
+        return self._run.keep(temporal.calendar(cuts), "calendar")
+
+    @cached_property
+    def periods(self) -> DataFrame:
+        return temporal.numbered_periods(self.calendar).select("period_start", "period_end")
+
+    @cached_property
+    def covered(self) -> DataFrame:
+        # not kept: two broadcast lookups cost less than writing the spans of every mapping
+        return temporal.coverage(self._normalized.mappings, self.calendar)
+
+    def _segments(self, keep_unmapped: bool) -> DataFrame:
+        options = self._run.options
+        rows = temporal.segments(
+            self._hierarchy(),
+            self.periods,
+            self._normalized.mappings,
+            keep_unmapped=keep_unmapped,
+            cell_rows=options.cell_rows,
+            days=self.calendar,
+            scratch=self._run.scratch,
+        )
+        return temporal.inherit(rows, options.unmapped_flags)
+
+    @cached_property
+    def segments(self) -> DataFrame:
+        """What the literal fact is made of."""
+        return self._run.keep(self._segments(self._run.options.keep_unmapped), "segments")
+
+    @cached_property
+    def all_segments(self) -> DataFrame:
+        """Every path in every period, mapped or not, whatever the form of the fact."""
+        if not self._run.options.collapse and self._run.options.keep_unmapped:
+            return self.segments
+        return self._segments(True)
+
+    @cached_property
+    def standalone(self) -> DataFrame:
+        kinds, key = self._normalized.entity_types, self._run.options.succession_key
+        if not self._run.options.collapse:
+            return temporal.succession(self.segments, kinds, key)
+        return temporal.succession_from_spans(
+            self._normalized.edges, self.covered, self.calendar, kinds, key
+        )
+
+    @cached_property
+    def measured_spans(self) -> tuple[DataFrame, int, int]:
+        """Spans, the fact rows they stand for (before deduplication) and their number."""
+        options = self._run.options
+        spans = star.fact_spans(
+            self._normalized.edges,
+            self.covered,
+            self.calendar,
+            self.standalone,
+            keep_unmapped=options.keep_unmapped,
+            unmapped_flags=options.unmapped_flags,
+        )
+        # always written: sampling, weighing and spreading each read it
+        spans, seen = self._run.scratch.save_measured(
+            spans,
+            "spans",
+            rows=F.coalesce(F.sum(F.col("hi") - F.col("lo") + 1), F.lit(0)),
+            spans=F.count(F.lit(1)),
+        )
+        return spans, seen["rows"], seen["spans"]
 
 
-@dataclass(frozen=True)
 class Star:
-    fact: DataFrame
-    dim_accounts: DataFrame
-    dim_date: DataFrame
+    """The fact and its dimensions, each made when it is first used. Dimensions of the collapsed form
+    come from spans and need no fact."""
+
+    def __init__(self, times: Temporal, normalized: Normalized, run: Run):
+        self._times, self._normalized, self._run = times, normalized, run
+
+    @cached_property
+    def _consolidated(self) -> DataFrame:
+        return star.consolidate(
+            self._times.segments,
+            self._times.standalone,
+            keep_unmapped=self._run.options.keep_unmapped,
+        )
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        options, scratch = self._run.options, self._run.scratch
+        if not options.collapse:
+            rows = star.fact(self._consolidated, scratch, options.load_ts)
+        else:
+            spans, total_rows, total_spans = self._times.measured_spans
+            rows = star.fact_from_spans(
+                spans,
+                self._times.calendar,
+                scratch,
+                total_rows=total_rows,
+                total_spans=total_spans,
+                load_ts=options.load_ts,
+                hot_account_rows=options.hot_account_rows,
+                rows_per_task=options.rows_per_task,
+            )
+        if options.partition_by_account:
+            rows = star.by_account(rows)
+            self._run.cached.append(rows)
+        return rows
+
+    @cached_property
+    def dim_accounts(self) -> DataFrame:
+        options = self._run.options
+        accounts = self._times.measured_spans[0] if options.collapse else self.fact
+        return star.dim_accounts(
+            accounts,
+            self._normalized.entity_types,
+            options.load_ts,
+            one_row_per_account=options.one_row_per_account,
+        )
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        if not self._run.options.collapse:
+            return star.dim_date(self.fact)
+        return star.dim_date_from_spans(self._times.measured_spans[0], self._times.calendar)
 
     def tables(self) -> dict[str, DataFrame]:
         """By the names they are written under."""
@@ -81,7 +224,6 @@ class Star:
 
 
 def extract_stage(raw: RawInputs) -> RawInputs:
-    raw = raw.conformed()
     return RawInputs(
         extract.relationships(raw.relationships),
         extract.partners(raw.partners),
@@ -89,17 +231,6 @@ def extract_stage(raw: RawInputs) -> RawInputs:
     )
 
 
-def normalize_stage(extracted: RawInputs, run: Run) -> Normalized:
-    # not kept: most uses want partners only, for which Catalyst drops the scan of mappings
-    kinds = normalize.entity_types(extracted.partners, extracted.mappings)
-    newest = normalize.latest_relationships(extracted.relationships)
-    edges, mappings = run.keep_all(
-        edges=closure.flag_edges(newest, kinds),
-        best_mappings=normalize.best_mappings(extracted.mappings),
-    )
-    return Normalized(edges, kinds, mappings)
-
-
 def hierarchy_stage(normalized: Normalized, run: Run) -> DataFrame:
     nodes = closure.paths(
         normalized.edges,
@@ -111,102 +242,19 @@ def hierarchy_stage(normalized: Normalized, run: Run) -> DataFrame:
     return closure.root_flags(nodes)
 
 
-def temporal_stage(normalized: Normalized, hierarchy, run: Run) -> Temporal:
-    """`hierarchy` is a function that builds it: only the literal form needs one."""
-    options = run.options
-    edges, mappings = normalized.edges, normalized.mappings
-    cuts = temporal.periods(mappings, edges, options.half_open)
-    calendar = run.keep(temporal.calendar(cuts), "calendar")
-    periods = temporal.numbered_periods(calendar).select("period_start", "period_end")
-    if not options.collapse:
-        segments = temporal.inherit(
-            temporal.segments(
-                hierarchy(),
-                periods,
-                mappings,
-                keep_unmapped=options.keep_unmapped,
-                cell_rows=options.cell_rows,
-            ),
-            options.unmapped_flags,
-        )
-        segments = run.keep(segments, "segments")
-        standalone = temporal.succession(
-            segments, normalized.entity_types, options.succession_key
-        )
-        return Temporal(calendar, periods, standalone, segments=segments)
-
-    # not kept: two broadcast lookups cost less than writing the spans of every mapping
-    covered = temporal.coverage(mappings, calendar)
-    standalone = temporal.succession_from_spans(
-        edges, covered, calendar, normalized.entity_types, options.succession_key
-    )
-    spans = star.fact_spans(
-        edges,
-        covered,
-        calendar,
-        standalone,
-        keep_unmapped=options.keep_unmapped,
-        unmapped_flags=options.unmapped_flags,
-    )
-    # always written: sampling, weighing and spreading each read it
-    spans, seen = run.scratch.save_measured(
-        spans,
-        "spans",
-        rows=F.coalesce(F.sum(F.col("hi") - F.col("lo") + 1), F.lit(0)),
-        spans=F.count(F.lit(1)),
-    )
-    return Temporal(
-        calendar,
-        periods,
-        standalone,
-        spans=spans,
-        fact_rows=seen["rows"],
-        fact_spans=seen["spans"],
-    )
-
-
-def output_stage(times: Temporal, normalized: Normalized, run: Run) -> Star:
-    options = run.options
-    if times.spans is None:
-        rows = star.consolidate(
-            times.segments, times.standalone, keep_unmapped=options.keep_unmapped
-        )
-        fact = star.fact(rows, run.scratch, options.load_ts)
-        accounts, dates = fact, star.dim_date(fact)
-    else:
-        fact = star.fact_from_spans(
-            times.spans,
-            times.calendar,
-            run.scratch,
-            total_rows=times.fact_rows,
-            total_spans=times.fact_spans,
-            load_ts=options.load_ts,
-            hot_account_rows=options.hot_account_rows,
-            rows_per_task=options.rows_per_task,
-        )
-        accounts, dates = times.spans, star.dim_date_from_spans(times.spans, times.calendar)
-    return Star(
-        fact=fact,
-        dim_accounts=star.dim_accounts(
-            accounts,
-            normalized.entity_types,
-            options.load_ts,
-            one_row_per_account=options.one_row_per_account,
-        ),
-        dim_date=dates,
-    )
-
-
 @dataclass(frozen=True)
 class Result:
-    """The stages of a run. Each is computed when it, or a later one, is first used."""
+    """The stages of a run. A table is computed when it, or one made from it, is first used. That
+    starts jobs of its own: tables that are read more than once are written then, not by the action
+    that follows. In a `with` block the run's tables are deleted at the end."""
 
     run: Run
+    raw: RawInputs
     extracted: RawInputs
 
     @cached_property
     def normalized(self) -> Normalized:
-        return normalize_stage(self.extracted, self.run)
+        return Normalized(self.extracted, self.run)
 
     @cached_property
     def hierarchy(self) -> DataFrame:
@@ -215,11 +263,11 @@ class Result:
 
     @cached_property
     def temporal(self) -> Temporal:
-        return temporal_stage(self.normalized, lambda: self.hierarchy, self.run)
+        return Temporal(self.normalized, lambda: self.hierarchy, self.run)
 
     @cached_property
     def star(self) -> Star:
-        return output_stage(self.temporal, self.normalized, self.run)
+        return Star(self.temporal, self.normalized, self.run)
 
     def check(self, name: str) -> DataFrame:
         """The report of one stage: relationships, mappings, hierarchy, segments or fact."""
@@ -245,31 +293,39 @@ class Result:
             df.unpersist()
         self.run.scratch.drop()
 
+    def __enter__(self) -> Result:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+
+def _raw_edges(result: Result) -> DataFrame:
+    """The edges as they came in, under the names of the clean ones."""
+    return result.raw.relationships.select(
+        F.col("entity_id_one").alias("parent_account_id"),
+        F.col("entity_id_two").alias("child_account_id"),
+    )
+
+
+def _check_segments(result: Result) -> DataFrame:
+    managed = temporal.managed_spans(
+        result.hierarchy, result.normalized.mappings, result.temporal.calendar
+    )
+    return quality.segments(result.hierarchy, managed, result.normalized.mappings)
+
 
 _CHECKS = {
-    "relationships": lambda r: quality.relationships(r.extracted.relationships),
+    "relationships": lambda r: quality.relationships(_raw_edges(r), r.normalized.edges),
     "mappings": lambda r: quality.mappings(r.normalized.mappings),
     "hierarchy": lambda r: quality.hierarchy(
         r.hierarchy, r.normalized.edges, r.run.options.max_depth
     ),
-    "segments": lambda r: quality.segments(r.star.fact),
+    "segments": _check_segments,
     "fact": lambda r: quality.fact(r.star.fact),
 }
 
 
-def _segments(result: Result) -> DataFrame:
-    if result.temporal.segments is not None:
-        return result.temporal.segments
-    options = result.run.options
-    segments = temporal.segments(
-        result.hierarchy,
-        result.temporal.periods,
-        result.normalized.mappings,
-        cell_rows=options.cell_rows,
-    )
-    return temporal.inherit(segments, options.unmapped_flags)
-
-
 _VIEWS = {
     "account_relationships": lambda r: r.extracted.relationships,
     "partner_accounts": lambda r: r.extracted.partners,
@@ -279,7 +335,7 @@ _VIEWS = {
     "clean_mappings": lambda r: r.normalized.mappings,
     "hierarchy": lambda r: r.hierarchy.withColumn("path_trace", trace()),
     "date_breakpoints": lambda r: r.temporal.periods,
-    "temporal_segments": _segments,
+    "temporal_segments": lambda r: r.temporal.all_segments,
     "post_hierarchy": lambda r: r.temporal.standalone,
     "fact_account_hierarchy": lambda r: r.star.fact,
     "dim_accounts": lambda r: r.star.dim_accounts,
@@ -288,7 +344,7 @@ _VIEWS = {
 
 
 def run(raw: RawInputs, options: PipelineOptions | None = None) -> Result:
-    """All five stages, lazily.
+    """All five stages. Nothing is computed before a table of the result is used.
 
     Scratch tables go to the session's spark.checkpoint.dir; `Result.close` deletes them.
     """
@@ -297,4 +353,5 @@ def run(raw: RawInputs, options: PipelineOptions | None = None) -> Result:
         now = datetime.now(timezone.utc).replace(tzinfo=None)
         options = replace(options, load_ts=now)
     state = Run(options, Scratch(raw.relationships.sparkSession))
-    return Result(state, extract_stage(raw))
+    raw = raw.conformed()
+    return Result(state, raw, extract_stage(raw))

@@ -93,4 +93,17 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     missing = [f.name for f in schema if f.name not in df.columns]
     if missing:
         raise ValueError(f"missing columns {missing}; got {df.columns}")
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    return df.select(
+        *[_typed(df, f.name, f.dataType).alias(f.name) for f in schema]
+    )
+
+
+def _typed(df: DataFrame, name: str, kind: T.DataType) -> Column:
+    """The column in a type. A moment becomes the wall time of UTC, whatever the session's zone."""
+    column, given = F.col(name), df.schema[name].dataType
+    if isinstance(given, T.TimestampType) and isinstance(kind, (T.TimestampNTZType, T.DateType)):
+        micros = F.unix_micros(column).cast("decimal(20,0)")
+        seconds = (micros / F.lit(1_000_000)).cast("decimal(18,6)")
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        column = epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+    return column.cast(kind)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 from typing import NamedTuple
 
@@ -47,6 +48,8 @@ def load_raw(
             return spark.read.parquet(paths[name])
         if jdbc is not None:
             extra = (partitioning or {}).get(name, {})
+            if not extra and name != "raw_partner_accounts":
+                warnings.warn(f"{name} has no partitioning: one task reads all of it", stacklevel=3)
             return spark.read.format("jdbc").options(**jdbc, dbtable=name, **extra).load()
         return spark.table((tables or {}).get(name, name))
 

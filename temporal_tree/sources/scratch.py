@@ -7,7 +7,9 @@ keeps pushdown and column pruning for whoever reads it.
 
 from __future__ import annotations
 
+import atexit
 import itertools
+import shutil
 import tempfile
 import uuid
 
@@ -17,17 +19,25 @@ _local_root: str | None = None
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one only for a local master without one."""
+    """The folder in spark.checkpoint.dir, or the one set on the context; for a local master without
+    either a temporary one, which goes with the driver."""
     global _local_root
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if hasattr(spark, "sparkContext"):
+        on_context = spark.sparkContext.getCheckpointDir()
+        if on_context:
+            return on_context
+    # local-cluster has executors of its own
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError(
             "set spark.checkpoint.dir to a folder that the driver and all executors share"
         )
     if _local_root is None:
         _local_root = tempfile.mkdtemp(prefix="temporal-tree-")
+        atexit.register(shutil.rmtree, _local_root, ignore_errors=True)
     return _local_root
 
 

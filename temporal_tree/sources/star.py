@@ -37,8 +37,14 @@ def write_star(
             writer.jdbc(jdbc_url, name, properties=dict(jdbc_properties or {}))
 
 
-def read_star(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """The star tables that `write_star(path=...)` wrote."""
+def read_star(
+    spark: SparkSession, path: str | None = None, *, database: str | None = None
+) -> dict[str, DataFrame]:
+    """The star tables that `write_star` wrote below a path or into a catalog database."""
+    if (path is None) == (database is None):
+        raise ValueError("give exactly one of path, database")
+    if database is not None:
+        return {name: conform(spark.table(f"{database}.{name}"), s) for name, s in STAR_TABLES.items()}
     return {
         name: spark.read.schema(schema).parquet(f"{path}/{name}")
         for name, schema in STAR_TABLES.items()

@@ -69,6 +69,10 @@ def test_stages_of_the_default_run(spark):
     checks = {n: dict(rows(df)) for n, df in result.checks.items()}
     assert checks["relationships"] == {
         "total_relationships": 4, "self_references": 0, "null_parents": 0, "null_children": 0,
+        "clean_relationships": 4,
+    }
+    assert checks["segments"] == {
+        "total_segments": 30, "accounts_with_multiple_segments": 5, "overlapping_groups": 0,
     }
     assert checks["hierarchy"] == {
         "total_nodes": 5, "max_depth": 2, "root_managers": 4, "cycles": 0, "child_on_path": 5,

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -230,16 +231,34 @@ def test_partner_flags_do_not_multiply_rows(spark):
 
 
 def test_shortest_levels(spark):
-    nodes = closure.paths(edges_of(spark, ("A", "B"), ("B", "C"), ("A", "C")))
-    assert ("A", "C", 1) in rows(closure.shortest_levels(nodes))
+    edges = edges_of(spark, ("A", "B"), ("B", "C"), ("A", "C"), ("C", "A"))
+    levels = rows(closure.shortest_levels(edges))
+    assert levels == [("A", "B", 1), ("A", "C", 1), ("B", "A", 2), ("B", "C", 1), ("C", "A", 1), ("C", "B", 2)]
+    chain = edges_of(spark, *[(f"n{i:02}", f"n{i + 1:02}") for i in range(40)])
+    assert rows(closure.shortest_levels(chain)) == [
+        (f"n{i:02}", f"n{j:02}", j - i) for i in range(41) for j in range(i + 1, 41)
+    ]
+
+
+def ring(name, n):
+    return [(f"{name}{i:02}", f"{name}{(i + 1) % n:02}") for i in range(n)]
 
 
 def test_cycles_once_each(spark):
     edges = edges_of(
         spark, ("B", "C"), ("C", "A"), ("A", "B"), ("B", "A"), ("X", "A"), ("C", "Y")
     )
-    assert names(graph.cycles(closure.paths(edges), edges)) == ["A/B/A", "A/B/C/A"]
-    assert names(graph.cycles(closure.paths(edges), edges, max_depth=2)) == ["A/B/A"]
+    assert names(graph.cycles(edges, 12)) == ["A/B/A", "A/B/C/A"]
+    assert names(graph.cycles(edges, 2)) == ["A/B/A"]
+    assert names(graph.cycles(edges, 1)) == []
+
+
+def test_cycles_of_any_length(spark):
+    pairs = ring("r", 13) + ring("s", 40) + [("r00", "x"), ("x", "s00"), ("y", "r00"), ("x", "x")]
+    found = rows(graph.on_cycles(edges_of(spark, *pairs)))
+    assert found == ordered([(*e, 13) for e in ring("r", 13)] + [(*e, 40) for e in ring("s", 40)])
+    lengths = graph.cycles(edges_of(spark, *pairs), 13).select("cycle_length")
+    assert rows(lengths) == [(13,)]
 
 
 def test_components(spark):
@@ -264,11 +283,79 @@ def test_grid_join_equals_plain_join(spark):
 
 
 def test_grid_join_bounds_every_cell(spark):
+    """Output rows per cell, counted from the cells themselves, with and without weights."""
     hub = spark.range(1000).selectExpr("'hot' AS k", "id AS l")
-    other = spark.range(500).selectExpr("'hot' AS k", "id AS r")
-    with_cells = grid_join(hub, other, "k", left_id=["l"], right_id=["r"], cell_rows=10_000)
-    text = with_cells._jdf.queryExecution().analyzed().toString()
-    assert "_left" in text and with_cells.count() == 500_000
+    other = spark.range(500).selectExpr("'hot' AS k", "id AS r", "1 + id % 7 AS w")
+    for weight in (None, F.col("w")):
+        joined = grid_join(
+            hub, other, "k", left_id=["l"], right_id=["r"], cell_rows=10_000, right_weight=weight
+        )
+        per_row = F.lit(1) if weight is None else weight
+        joins = [n for n in plan_lines(joined) if "Join" in n and "_left" in n and "_right" in n]
+        assert joins, "the join is on the cell"
+        bands = joined.sparkSession.createDataFrame(
+            [(i,) for i in range(1000)], "l long"
+        ).select("l", F.pmod(F.xxhash64("l"), F.lit(10)).alias("band"))
+        largest = (
+            joined.join(bands, "l").groupBy("band").agg(F.sum(per_row).alias("n")).agg(F.max("n"))
+        ).first()[0]
+        total = joined.agg(F.sum(per_row)).first()[0]
+        assert joined.count() == 500_000 and largest < 1.5 * total / 10
+
+
+def plan_lines(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+
+
+def test_segment_cells_count_spread_rows(spark, scratch):
+    """A parent with long spans is cut by the rows after spreading, and the rows stay the same."""
+    days = [(date(2020, 1, 1) + timedelta(days=i), date(2020, 1, 1) + timedelta(days=i)) for i in range(300)]
+    periods = spark.createDataFrame(days, "period_start date, period_end date")
+    nodes = spark.createDataFrame(
+        [("P", f"c{i}", "P", 1, 0, 0, 1, 0) for i in range(50)],
+        "parent_account_id string, child_account_id string, root_account_id string, level_depth int, "
+        "parent_is_partner int, child_is_partner int, is_root_manager int, is_root_partner_manager int",
+    )
+    held = spark.createDataFrame(
+        [("P", f"e{i}", 1, date(2020, 1, 1), date(2020, 10, 26), "API", "x", 1) for i in range(40)], MAPPINGS
+    )
+    whole = temporal.segments(nodes, periods, held, cell_rows=10**9, scratch=scratch)
+    cut = temporal.segments(nodes, periods, held, cell_rows=10_000, scratch=scratch)
+    assert any("_left" in line for line in plan_lines(cut))
+    assert not any("_left" in line for line in plan_lines(whole))
+    shown = ["child_account_id", "entity_id", "period_start", "is_mapped"]
+    assert cut.count() == whole.count() > 500_000
+    assert cut.select(shown).exceptAll(whole.select(shown)).isEmpty()
+
+
+def test_fact_ranges_hold_where_long_spans_are_neighbours(spark, scratch):
+    """Open-ended spans of neighbouring accounts do not make tasks larger than asked for."""
+    starts = [date(2020, 1, 1) + timedelta(days=i) for i in range(200)]
+    days = scratch.save(
+        temporal.calendar(
+            spark.createDataFrame(
+                [(d, e - timedelta(days=1)) for d, e in zip(starts, [*starts[1:], date(2099, 12, 31)])],
+                "period_start date, period_end date",
+            )
+        ),
+        "days",
+    )
+    spans = scratch.save(
+        spark.range(10_000).selectExpr(
+            "format_string('a%06d', id) AS account_id", "'e' AS entity_id", "1 AS marketplace_id", "0 AS lo",
+            "if(id < 500, 199, 0) AS hi", "false AS open_tail", "1 AS level_depth", "1 AS is_root_manager",
+            "0 AS is_root_partner_manager", "'API' AS source",
+        ),
+        "spans",
+    )
+    total = 500 * 200 + 9_500
+    fact = star.fact_from_spans(
+        spans, days, scratch, total_rows=total, total_spans=10_000, rows_per_task=10_000
+    )
+    assert fact.count() == total
+    written = scratch.spark.read.parquet(f"{scratch.path}/*-ordered")
+    largest = written.groupBy(F.shiftright("_id", 33)).count().agg(F.max("count")).first()[0]
+    assert largest <= 20_000
 
 
 # time
@@ -359,11 +446,59 @@ def test_dim_accounts_grain(spark):
     assert [r[:2] for r in rows(single)] == [("A", "PARTNER"), ("B", "MANAGER"), ("C", "UNKNOWN")]
 
 
-def test_by_account_keeps_rows(spark):
-    fact = run(sample_raw(spark)).star.fact
-    gathered = star.by_account(fact)
-    assert gathered.is_cached and rows(gathered) == rows(fact)
-    gathered.unpersist()
+def test_fact_gathered_by_account(spark):
+    plain = run(sample_raw(spark)).star.fact
+    with run(sample_raw(spark), PipelineOptions(partition_by_account=True)) as result:
+        gathered = result.star.fact
+        assert gathered.is_cached and rows(gathered.drop("created_at")) == rows(plain.drop("created_at"))
+
+
+def test_tables_are_made_when_they_are_used(spark):
+    """The scratch tables that each use leaves, by name."""
+
+    def tables(use):
+        with run(sample_raw(spark)) as result:
+            use(result)
+            folder = Path(result.run.scratch.path.removeprefix("file:"))
+            return {p.name.partition("-")[2].rstrip("-0123456789") for p in folder.glob("*")}
+
+    assert tables(lambda r: r.normalized.entity_types) == set()
+    assert tables(lambda r: r.hierarchy) == {"edges", "paths-to"}
+    assert tables(lambda r: graph.components(r.normalized.edges, scratch=r.run.scratch)) == {"edges", "links"}
+    assert tables(lambda r: r.temporal.periods) == {"edges", "best_mappings", "calendar"}
+    assert tables(lambda r: (r.star.dim_accounts, r.star.dim_date)) == {"edges", "best_mappings", "calendar", "spans"}
+
+
+def test_moments_are_read_in_utc(spark):
+    """TIMESTAMP columns mean the same days in every session time zone."""
+    raw = sample_raw(spark)
+    late = raw.relationships.selectExpr(
+        "entity_id_one", "entity_id_two", "timestamp_seconds(1704074400) AS created_at",
+        "timestamp_micros(1704074400123456) AS updated_at", "delete_flag",
+    )
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    seen = []
+    try:
+        for name in ("UTC", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            result = run(raw._replace(relationships=late), PipelineOptions(load_ts=D1))
+            first = result.extracted.relationships.select(F.col("updated_at").cast("string")).first()[0]
+            assert first == "2024-01-01 02:00:00.123456"
+            seen.append((rows(result.temporal.periods), rows(result.star.fact)))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert seen[0] == seen[1]
+
+
+def test_one_definition_of_the_segment_view(spark):
+    counts = set()
+    for collapse in (True, False):
+        for keep in (True, False):
+            options = PipelineOptions(collapse=collapse, keep_unmapped=keep, load_ts=D1)
+            with run(sample_raw(spark), options) as result:
+                result.create_views("temporal_segments")
+                counts.add(spark.table("temporal_segments").count())
+    assert len(counts) == 1
 
 
 # checks
@@ -398,13 +533,22 @@ def test_quality_counts_dirty_rows(spark):
         "total_records": 8, "inverted_ranges": 1, "duplicates": 1,
         "duplicates_ignoring_marketplace": 1,
     }
-    assert dict(rows(quality.segments(facts))) == {
-        "total_segments": 8, "accounts_with_multiple_segments": 3, "overlapping_groups": 2,
-    }
     late = spark.createDataFrame(
         [("m", "e", 1, day(1), date(2100, 1, 1), "API", "x", 1)], MAPPINGS
     )
     assert dict(rows(quality.mappings(late)))["dates_after_open_end"] == 1
+    held = [("m", "e", 1, 1, 3), ("m", "e", 1, 3, 5), ("m", "f", 1, 1, 3), ("m", "f", 1, 4, 5), ("n", "e", 1, 1, 3)]
+    mapped = spark.createDataFrame(
+        [(m, e, p, day(a), day(b), "API", "x", 1) for m, e, p, a, b in held], MAPPINGS
+    )
+    managed = spark.createDataFrame(
+        [("m", "e", 0, 1), ("m", "f", 2, 2), ("n", "e", 0, 0), ("n", None, 1, 2)],
+        "parent_account_id string, entity_id string, lo int, hi int",
+    )
+    nodes = edges_of(spark, ("m", "x"), ("m", "y"), ("n", "z"))
+    assert dict(rows(quality.segments(nodes, managed, mapped))) == {
+        "total_segments": 2 * 2 + 2 + 1 + 2, "accounts_with_multiple_segments": 3, "overlapping_groups": 1,
+    }
     nothing = facts.where(F.lit(False))
     assert set(dict(rows(quality.fact(nothing))).values()) == {0}
 
