@@ -166,6 +166,9 @@ def _pack(size: int, limit: int):
         sequence, offset = np.zeros(len(shard), np.int64), np.zeros(len(shard), np.int64)
         for one in np.unique(shard):
             at = np.flatnonzero(shard == one)
+            # as many pieces as there are open bins come in together, the longest first
+            blocks = [at[k : k + limit] for k in range(0, len(at), limit)]
+            at = np.concatenate([b[np.argsort(-length[b], kind="stable")] for b in blocks])
             bins = OpenBins(size, limit)
             placed = np.array([bins.place(n) for n in length[at].tolist()], np.int64).reshape(-1, 2)
             # what is still open in the end goes together where it fits, as a whole
@@ -209,7 +212,8 @@ def pack(
 
     Pieces are dealt by a hash of their document to shards of about `shard_tokens` tokens, which are
     packed on their own, so that the number of tasks grows with the corpus. In a shard pieces come
-    in order of document and are placed at once; `open_bins` bounds the bins that can still be filled.
+    in order of document, in blocks of `open_bins` with the longest first, and are placed at once;
+    `open_bins` bounds the bins that can still be filled.
 
     A null or empty text is a document of id 2 alone. Rows that repeat an id are one document and
     rows without an id are left out (see `texts_of`); other columns are ignored. An empty table gives
