@@ -48,7 +48,7 @@ _SPAN_ROWS = pa.schema(_SEGMENT_ROWS.field(n) for n in ("doc_id", "starts", "end
 # live anchors per shard: some megabytes of segments
 _ANCHORS_PER_SHARD = 40_000
 # most bytes of text that are handled at once
-_SLICE_BYTES = 4 << 20
+_SLICE_BYTES = 2 << 20
 
 # documents, starts of segments and their contents in order -> (row, start, end) of repeated text,
 # counted in units from the segment's start

@@ -86,12 +86,16 @@ class Words:
         if not len(self):
             return np.zeros(0, np.uint64)
         size = self.end - self.start
-        inside = np.repeat(np.arange(len(self)), size)
-        place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-        letters = self.raw[place + self.start[inside]].astype(np.uint64) + np.uint64(1)
+        first = np.cumsum(size) - size
+        place = np.arange(size.sum(), dtype=np.int32)
+        at = place + np.repeat((self.start - first).astype(np.int32), size)
+        place -= np.repeat(first.astype(np.int32), size)
+        letters = self.raw[at].astype(np.uint64)
+        del at
         with np.errstate(over="ignore"):
+            letters += np.uint64(1)
             letters *= _powers(int(size.max()))[place]
-            total = np.add.reduceat(letters, np.cumsum(size) - size)
+            total = np.add.reduceat(letters, first)
         return mix(total ^ (size.astype(np.uint64) << np.uint64(48)))
 
 
