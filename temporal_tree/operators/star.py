@@ -245,12 +245,19 @@ def fact_from_spans(
     """
     hot = (
         spans.groupBy("account_id")
-        .agg(F.sum(F.col("hi") - F.col("lo") + 1).alias("_rows"))
+        .agg(
+            F.sum(F.col("hi") - F.col("lo") + 1).alias("_rows"),
+            F.count(F.lit(1)).alias("_spans"),
+        )
         .where(F.col("_rows") > hot_account_rows)
     )
-    longest = max(1, math.ceil(total_rows / max(1, total_spans)))
+    hot_rows = hot_spans = 0
+    if total_rows > hot_account_rows:
+        hot_rows, hot_spans = (n or 0 for n in hot.agg(F.sum("_rows"), F.sum("_spans")).first())
+    other_rows, other_spans = total_rows - hot_rows, total_spans - hot_spans
+    longest = max(1, math.ceil(other_rows / max(1, other_spans)))
     placed, place, step = spans, ["account_id"], F.lit(longest)
-    if total_rows > hot_account_rows and not hot.isEmpty():
+    if hot_rows:
         placed = placed.join(
             hot.select("account_id", F.lit(True).alias("_hot")), "account_id", "left"
         ).na.fill(False, ["_hot"])
@@ -272,7 +279,8 @@ def fact_from_spans(
             }
         )
     tasks = max(
-        math.ceil((total_rows + total_spans * longest) / rows_per_task),
+        # no piece has more than `longest` rows, also where those of one row are the most
+        math.ceil((other_rows + (other_spans + hot_rows) * longest) / rows_per_task),
         int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions")),
     )
     rows = per_period(placed.repartitionByRange(tasks, *place), calendar).withColumns(
