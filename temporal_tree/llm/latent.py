@@ -20,13 +20,21 @@ _SHORT, _LONG = 2, 4  # blocks of a passage, for items of fewer than 24 words an
 _BUCKETS = 1 << 16  # hashed words, for document frequencies
 _PART = 1 << 10  # rows of a matrix that are summed in one group
 _ITEMS = 20_000  # benchmark items that are searched at once
+_STOP = 3e-4  # words that are a greater part of all words have no weight
+_OWN = 0.36  # least part of a passage's squared weights that is in benchmark words
+_HELD = 0.4  # least part of an item's weights that the surroundings of a candidate have
 _ANSWER = 5  # words at the end of an item that count as its answer
 _OUT = "doc_id long, n_words long, contaminated boolean, item_id long, similarity double, start int, end int, n_items int"
 
 
 def words_in(column: pa.Array) -> tuple[Words, np.ndarray]:
     raw, bounds = text_bytes(column)
-    words = Words(LOWER[raw], bounds, _SEPARATOR)
+    raw = LOWER[raw]
+    # the second bytes of the Latin capitals with accents, of which U+00D7 is none
+    accented = np.flatnonzero(raw[:-1] == 0xC3) + 1
+    accented = accented[(raw[accented] >= 0x80) & (raw[accented] <= 0x9E) & (raw[accented] != 0x97)]
+    raw[accented] += 0x20
+    words = Words(raw, bounds, _SEPARATOR)
     return words, words.hashes()
 
 
@@ -72,16 +80,13 @@ def _emit(matrix: np.ndarray) -> pa.RecordBatch:
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """In how many blocks each bucket occurs; the last row has the number of blocks."""
+    """How often each bucket occurs; the row after the last has the number of words."""
     total = np.zeros((_BUCKETS + _PART, 1), np.int64)
     for whole in batches:
         for batch in slices(whole):
-            words, hashes = words_in(batch.column("text"))
-            blocks = _Blocks(words)
-            bucket = (hashes >> np.uint64(48)).astype(np.int64)
-            pair = np.unique(blocks.of_word * _BUCKETS + bucket)
-            total[:_BUCKETS, 0] += np.bincount(pair % _BUCKETS, minlength=_BUCKETS)
-            total[_BUCKETS, 0] += len(blocks)
+            _, hashes = words_in(batch.column("text"))
+            total[:_BUCKETS, 0] += np.bincount((hashes >> np.uint64(48)).astype(np.int32), minlength=_BUCKETS)
+            total[_BUCKETS, 0] += len(hashes)
     yield _emit(total)
 
 
@@ -111,30 +116,33 @@ def _group_sums(group: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.nda
     return group[heads], np.add.reduceat(rows, heads, axis=0) if len(heads) else rows[:0]
 
 
-def _range_rows(vocabulary: Vocabulary, probe: np.ndarray):
-    """A'(A probe) of the rows of A that a task has: its passages' weights of benchmark words."""
+def _add_image(total: np.ndarray, column: pa.Array, vocabulary: Vocabulary, probe: np.ndarray) -> None:
+    """Adds A'(A probe), where the rows of A are the weights of benchmark words in the texts' passages."""
+    words, hashes = words_in(column)
+    blocks = _Blocks(words)
+    at, number = vocabulary.look_up(hashes)
+    weight = vocabulary.weights(hashes[at]).astype(np.float32)
+    heavy = weight > 0
+    at, number, weight = at[heavy], number[heavy], weight[heavy]
+    # passages of `_LONG` blocks that do not overlap
+    block = blocks.of_word[at]
+    doc_first = blocks.first[blocks.doc[block]] if len(block) else block
+    passage = doc_first + (block - doc_first) // _LONG
+    for k in range(0, len(at), 1 << 17):
+        part = slice(k, k + (1 << 17))
+        group, image = _group_sums(passage[part], weight[part, None] * probe[number[part]])
+        back = weight[part, None] * image[np.searchsorted(group, passage[part])]
+        order = np.argsort(number[part], kind="stable")
+        found, sums = _group_sums(number[part][order], back[order])
+        total[found] += sums
+
 
+def _range_rows(vocabulary: Vocabulary, probe: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros_like(probe)
         for whole in batches:
             for batch in slices(whole):
-                words, hashes = words_in(batch.column("text"))
-                blocks = _Blocks(words)
-                at, number = vocabulary.look_up(hashes)
-                weight = vocabulary.weights(hashes[at]).astype(np.float32)
-                heavy = weight > 0
-                at, number, weight = at[heavy], number[heavy], weight[heavy]
-                # passages of `_LONG` blocks that do not overlap
-                block = blocks.of_word[at]
-                doc_first = blocks.first[blocks.doc[block]] if len(block) else block
-                passage = doc_first + (block - doc_first) // _LONG
-                for k in range(0, len(at), 1 << 17):
-                    part = slice(k, k + (1 << 17))
-                    group, image = _group_sums(passage[part], weight[part, None] * probe[number[part]])
-                    back = weight[part, None] * image[np.searchsorted(group, passage[part])]
-                    order = np.argsort(number[part], kind="stable")
-                    found, sums = _group_sums(number[part][order], back[order])
-                    total[found] += sums
+                _add_image(total, batch.column("text"), vocabulary, probe)
         yield _emit(total)
 
     return run
@@ -153,6 +161,17 @@ def _common(item: list[int], region: list[int]) -> int:
     return len(item) - row.bit_count()
 
 
+def _basis(image: np.ndarray, own: np.ndarray, dimensions: int) -> np.ndarray:
+    """The first left singular vectors, of documents' and items' passages to equal parts: else words of
+    items that documents rarely have would be missing from the space."""
+    if not len(image):
+        return image
+    sizes = [max(float(np.linalg.norm(m)), 1e-9) for m in (image, own)]
+    both = image.astype(np.float64) / sizes[0] + own / sizes[1]
+    left, _, _ = np.linalg.svd(both, full_matrices=False)
+    return np.ascontiguousarray(left[:, :dimensions], np.float32)
+
+
 class Search:
     """A block of benchmark items in the latent space, and the check of what is near them."""
 
@@ -162,6 +181,10 @@ class Search:
         words, hashes = words_in(pa.array(texts, pa.string()))
         self.ids = ids
         self.items = [hashes[a:b].tolist() for a, b in zip(words.first[:-1], words.first[1:], strict=True)]
+        weight = vocabulary.weights(hashes).tolist()
+        self.weight_of = [
+            dict(zip(item, weight[a:b], strict=True)) for item, a, b in zip(self.items, words.first[:-1], words.first[1:], strict=True)
+        ]
         at, number = vocabulary.look_up(hashes)
         vectors = np.zeros((len(ids), basis.shape[1]), np.float32)
         group, sums = _group_sums(words.doc[at], vocabulary.weights(hashes[at])[:, None].astype(np.float32) * basis[number])
@@ -190,16 +213,16 @@ class Search:
             if not len(items):
                 continue
             end = np.minimum(np.arange(n) + size, last)
-            # a cosine is at most the part of a passage's weight that is in benchmark words
-            part = own_energy[end] - own_energy[:n]
-            fits = np.flatnonzero(part >= self.least_cosine**2 * (all_energy[end] - all_energy[:n]) - 1e-9)
+            # a cosine is at most the root of the part that is in benchmark words
+            part, whole = own_energy[end] - own_energy[:n], all_energy[end] - all_energy[:n]
+            fits = np.flatnonzero((part >= _OWN * whole - 1e-6) & (part > 0))
             for k in range(0, len(fits), 8192):
                 start = fits[k : k + 8192]
                 passage = np.zeros((len(start), latent.shape[1]), np.float32)
                 for step in range(size):
                     inside = start + step < last[start]
                     passage[inside] += latent[start[inside] + step]
-                passage /= np.maximum(np.linalg.norm(passage, axis=1, keepdims=True), 1e-9)
+                passage /= np.maximum(np.sqrt(np.einsum("ij,ij->i", passage, passage)), 1e-9)[:, None]
                 rows, columns = np.nonzero(passage @ self.vectors[items].T >= self.least_cosine)
                 for b, i in zip(start[rows].tolist(), items[columns].tolist(), strict=True):
                     doc = int(blocks.doc[b])
@@ -209,6 +232,7 @@ class Search:
     def matches(self, words: Words, hashes: np.ndarray) -> dict[int, list[tuple[float, int, int, int]]]:
         """Per document row (similarity, item id, start, end) of the verified passages."""
         best: dict[tuple[int, int], tuple[float, int, int]] = {}
+        weight_of = self.weight_of
         for doc, number, at in sorted(self.candidates(words, hashes)):
             item = self.items[number]
             if not item or best.get((doc, number), (0.0,))[0] == 1.0:
@@ -217,9 +241,7 @@ class Search:
             # the passage lies somewhere in the item, or the other way round
             start, end = max(low, at - len(item)), min(high, at + _LONG * _BLOCK + len(item))
             region = hashes[start:end].tolist()
-            known = set(item)
-            hits = [k for k, w in enumerate(region) if w in known]
-            if len(hits) < self.paraphrased * len(item):
+            if sum(map(weight_of[number].get, weight_of[number].keys() & set(region))) < _HELD * sum(weight_of[number].values()):
                 continue
             similarity, where = self._best_part(item, region)
             if similarity < self.copied:
@@ -266,7 +288,7 @@ def decontaminate(
     docs: DataFrame,
     benchmark: DataFrame,
     *,
-    dimensions: int = 64,
+    dimensions: int = 128,
     least_cosine: float = 0.5,
     copied: float = 0.75,
     paraphrased: float = 0.6,
@@ -274,19 +296,19 @@ def decontaminate(
     """Per document `n_words`, `contaminated`, the most similar benchmark item (`item_id`, `similarity`,
     `start` and `end` of its place in words) and `n_items`, how many items it holds.
 
-    1. Words are weighted by their inverse frequency in blocks of eight words of all documents.
+    1. Words are weighted by their inverse frequency in all documents; very frequent ones have no weight.
     2. The passages' matrix of the weights of benchmark words is multiplied with a random one and back
-       in each task (a randomised SVD with one power step); the left singular vectors of the sum are
-       the basis of the latent space.
+       in each task (a randomised SVD with one power step); the left singular vectors of the sum
+       are the basis of the latent space.
     3. Passages of 16 or 32 words that begin at any block are candidates for an item if their cosine in
        the latent space is at least `least_cosine`. Passages with too little weight in benchmark words
        are left out before, since that bounds the cosine.
-    4. A candidate holds an item if a stretch not much longer than the item has at least `copied` of its words in
+    4. Candidates whose surroundings have too little of the item's weight are left out. A candidate holds an item if a stretch not much longer than the item has at least `copied` of its words in
        order, or `paraphrased` of them and all of its last words, which stand for the answer.
 
     The benchmark is searched in blocks of items; what a task keeps of a block does not depend on the
-    documents. Words are runs of digits, letters and characters beyond ASCII, with A-Z in lower case.
-    Null and empty texts hold nothing, items without words are held by nothing, and items without an id
+    documents. Words are runs of digits, letters and characters beyond ASCII, with A-Z and Latin letters
+    with accents in lower case. Null and empty texts hold nothing, items without words are held by nothing, and items without an id
     are left out. Rows that repeat an id are one document and rows without an id are left out (see
     `texts_of`); other columns are ignored. An empty table gives an empty result, an empty benchmark
     one without contaminated documents.
@@ -301,7 +323,9 @@ def decontaminate(
     blocks = max(1, -(-items.count() // _ITEMS))
     counts = _summed(texts.mapInArrow(_frequencies, "part int, data binary"), (_BUCKETS + _PART, 1), np.int64)
     total = max(1, int(counts[_BUCKETS, 0]))
-    weight = np.log((total + 1) / (counts[:_BUCKETS, 0] + 1))
+    frequency = counts[:_BUCKETS, 0]
+    # a benchmark of few words or a small corpus would have nothing but stop words
+    weight = np.where(frequency > max(_STOP * total, 50), 0.0, np.log((total + 1) / (frequency + 1)))
     out = None
     for k in range(blocks):
         some = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text").toPandas()
@@ -310,7 +334,9 @@ def decontaminate(
         size = (len(vocabulary.items), dimensions + 8)
         probe = np.random.default_rng(k).standard_normal(size, dtype=np.float32)
         image = _summed(texts.mapInArrow(_range_rows(vocabulary, probe), "part int, data binary"), size, np.float32) if size[0] else probe
-        basis = np.linalg.svd(image.astype(np.float64), full_matrices=False)[0][:, :dimensions].astype(np.float32) if size[0] else probe
+        own = np.zeros_like(probe)
+        _add_image(own, pa.array(some["text"].tolist(), pa.string()), vocabulary, probe)
+        basis = _basis(image, own, dimensions)
         search = Search(some["item_id"].tolist(), some["text"].tolist(), vocabulary, np.ascontiguousarray(basis), least_cosine, copied, paraphrased)
         found = texts.mapInArrow(search.rows, _OUT)
         out = found if out is None else out.unionByName(found)
