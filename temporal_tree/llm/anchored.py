@@ -47,8 +47,9 @@ _SPANS = "doc_id long, starts array<int>, ends array<int>"
 _SPAN_ROWS = pa.schema(_SEGMENT_ROWS.field(n) for n in ("doc_id", "starts", "ends"))
 # live anchors per shard: some megabytes of segments
 _ANCHORS_PER_SHARD = 40_000
-# most bytes of text that are handled at once
+# most bytes of text that are handled at once; where equal segments are sent once, some more
 _SLICE_BYTES = 2 << 20
+_SEGMENT_BYTES = 4 << 20
 
 # documents, starts of segments and their contents in order -> (row, start, end) of repeated text,
 # counted in units from the segment's start
@@ -118,14 +119,14 @@ class _WordList(Flat):
         return b" ".join(self._data[self._start[start] : self._end[end - 1]].split())
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, most: int = _SLICE_BYTES, column: str = "text") -> Iterator[pa.RecordBatch]:
     """The batch in parts of a bounded number of text bytes, or of one document."""
     sizes = pc.binary_length(batch.column(column).cast(pa.large_string())).fill_null(0)
     total = np.cumsum(sizes.to_numpy(zero_copy_only=False))
     at = 0
     while at < len(batch):
         base = total[at - 1] if at else 0
-        end = max(at + 1, int(np.searchsorted(total, base + _SLICE_BYTES, side="right")))
+        end = max(at + 1, int(np.searchsorted(total, base + most, side="right")))
         yield batch.slice(at, end - at)
         at = end
 
@@ -180,7 +181,7 @@ def _segment_rows(windows: Windows):
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole):
+            for batch in slices(whole, _SEGMENT_BYTES):
                 yield from segments(batch)
 
     def segments(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

@@ -82,8 +82,8 @@ def test_suffix_dedup(frame, corpus, size):
 
 def test_hot_anchors_are_divided(frame, corpus, scratch, monkeypatch):
     """All anchors count as hot, and slices hold one document: the same result."""
-    monkeypatch.setattr(anchored, "_SLICE_BYTES", 1)
-    texts = anchored.slices and frame(corpus).selectExpr("doc_id", "coalesce(text, '') AS text")
+    monkeypatch.setattr(anchored, "_SEGMENT_BYTES", 1)
+    texts = frame(corpus).selectExpr("doc_id", "coalesce(text, '') AS text")
     for windows, decide, want in (
         (anchored.Windows("word", 13, 6, False), rlz.factor_spans(13, block_seeds=50), substrings(corpus, 13)),
         (anchored.Windows("byte", 100, 25, True), induced.suffix_spans(100, memory=10_000), byte_strings(corpus, 100)),
