@@ -21,7 +21,6 @@ from temporal_tree.llm.anchored import slices
 from temporal_tree.llm.batches import LOWER, Words, grams, mix, text_bytes
 from temporal_tree.llm.documents import tables, texts_of
 from temporal_tree.operators.graph import components
-from temporal_tree.operators.joins import grid_join
 from temporal_tree.sources.scratch import Scratch
 
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1
@@ -29,7 +28,9 @@ BANDS, BAND_REGISTERS = 40, 4
 REGISTERS = BANDS * BAND_REGISTERS
 # a pair goes on to the exact check unless its registers are e^LOG_ODDS times likelier under a lower
 # similarity than under the threshold
-LOG_ODDS = 18.0
+LOG_ODDS = 14.0
+# documents of a side that one task compares with those of another side
+CELL = 512
 
 _SKETCH = "doc_id long, n_shingles long, digest long, digest_2 long, registers binary"
 
@@ -147,41 +148,110 @@ def _plausible(threshold: float):
     return plausible
 
 
-def _linked(threshold_percent: int):
-    @F.pandas_udf("boolean")
-    def linked(a: pd.Series, b: pd.Series) -> pd.Series:
-        out = []
+def _overlap():
+    @F.pandas_udf("struct<both:long,either:long>")
+    def overlap(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        """Sizes of the intersection and the union of two full sets."""
+        both, either = [], []
         for x, y in zip(a, b, strict=True):
             p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = len(np.intersect1d(p, q, assume_unique=True))
-            out.append(100 * both >= threshold_percent * (len(p) + len(q) - both))
-        return pd.Series(out, dtype=bool)
+            n = len(np.intersect1d(p, q, assume_unique=True))
+            both.append(n)
+            either.append(len(p) + len(q) - n)
+        return pd.DataFrame({"both": both, "either": either}, dtype="int64")
 
-    return linked
+    return overlap
 
 
-def _verified(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, n: int, percent: int, scratch: Scratch) -> DataFrame:
-    """Of distinct pairs (`a`, `b`) those whose full sets are similar enough."""
+class _Comparison:
+    """Exact comparison of documents that share a bucket with another one."""
 
-    def side(name: str) -> DataFrame:
-        return sketches.select(F.col("doc_id").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("registers").alias(f"r_{name}"))
+    def __init__(self, sketches: DataFrame, sets: DataFrame, percent: int, scratch: Scratch):
+        self.sketches, self.sets, self.percent, self.scratch = sketches, sets, percent, scratch
 
-    likely = scratch.save(
-        pairs.join(side("a"), "a")
-        .join(side("b"), "b")
-        .where(_plausible(percent / 100)("r_a", "r_b", "n_a", "n_b"))
-        .select("a", "b"),
-        "likely",
-    )
-    needed = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = scratch.save(texts.join(needed, "doc_id").mapInArrow(_sets(n), "doc_id long, shingles binary"), "sets")
-    checked = (
-        likely.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("s_b")), "b")
-        .join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("s_a")), "a")
-        .where(_linked(percent)("s_a", "s_b"))
-        .select("a", "b")
+    def overlaps(self, pairs: DataFrame) -> DataFrame:
+        """Pairs (`a`, `b`) with `both` and `either`, from their full sets."""
+        side = {n: self.sets.select(F.col("doc_id").alias(n), F.col("shingles").alias(f"s_{n}")) for n in "ab"}
+        return (
+            pairs.join(side["b"], "b").join(side["a"], "a").select("a", "b", _overlap()("s_a", "s_b").alias("o")).select("a", "b", "o.*")
+        )
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """Of distinct pairs those whose sets are similar enough: registers rule out most others."""
+
+        def side(name: str) -> DataFrame:
+            return self.sketches.select(
+                F.col("doc_id").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("registers").alias(f"r_{name}")
+            )
+
+        likely = self.scratch.save(
+            pairs.join(side("a"), "a")
+            .join(side("b"), "b")
+            .where(_plausible(self.percent / 100)("r_a", "r_b", "n_a", "n_b"))
+            .select("a", "b"),
+            "likely",
+        )
+        enough = 100 * F.col("both") >= self.percent * F.col("either")
+        return self.scratch.save(self.overlaps(likely).where(enough).select("a", "b"), "links")
+
+    def components(self, links: DataFrame) -> DataFrame:
+        edges = links.select(F.col("a").alias("parent_account_id"), F.col("b").alias("child_account_id"))
+        joined = components(edges, scratch=self.scratch)
+        return self.scratch.save(joined.select(F.col("account_id").alias("doc_id"), F.col("component_id").alias("component")), "components")
+
+
+def _pair(x: str, y: str) -> list:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def _links_in_cells(found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All links between documents that are outside and documents of other components in their cluster.
+
+    A cluster of over `CELL` documents is cut into a grid: outside documents in rows, all in columns.
+    Smaller clusters share cells. A cell counts the intersections of its sets by an index of their
+    shingles and gives only links, so that pairs which are none, of which a cluster may have many,
+    are never rows.
+    """
+    sizes = found.groupBy("cluster").agg(F.count("doc_id").alias("n"), F.sum("outside").alias("m"))
+    small = F.ceil(sizes.agg(F.sum("n")).first()[0] / F.lit(CELL))
+    sizes = sizes.select(
+        "cluster",
+        F.when(F.col("n") > CELL, F.col("cluster")).otherwise(-1 - F.pmod(F.xxhash64("cluster"), small)).alias("cell"),
+        F.when(F.col("n") > CELL, F.ceil(F.col("m") / CELL)).otherwise(1).alias("rows"),
+        F.when(F.col("n") > CELL, F.ceil(F.col("n") / CELL)).otherwise(1).alias("columns"),
     )
-    return scratch.save(checked, "links")
+    placed = found.join(sizes, "cluster").join(sets, "doc_id")
+    key = ["cell", "row", "column"]
+
+    def side(df: DataFrame, own: str, other: str) -> DataFrame:
+        bands = {"row": "rows", "column": "columns"}
+        return df.select(
+            *[F.col(c).alias(c) for c in ("cell", "doc_id", "component", "shingles")],
+            F.pmod(F.xxhash64("doc_id"), F.col(bands[own])).alias(own),
+            F.explode(F.sequence(F.lit(0).cast("long"), F.col(bands[other]) - 1)).alias(other),
+        ).groupBy(*key)
+
+    def meet(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        pairs: list[np.ndarray] = []
+        if len(x) and len(y):
+            others = [np.frombuffer(v, np.uint64) for v in y["shingles"]]
+            sizes_ = np.array([len(v) for v in others])
+            flat, owner = np.concatenate(others), np.repeat(np.arange(len(others)), sizes_)
+            order = np.argsort(flat, kind="stable")
+            flat, owner = flat[order], owner[order]
+            component, ids = y["component"].to_numpy(), y["doc_id"].to_numpy()
+            for doc, own, raw in zip(x["doc_id"], x["component"], x["shingles"], strict=True):
+                values = np.frombuffer(raw, np.uint64)
+                lo, n = np.searchsorted(flat, values), np.searchsorted(flat, values, side="right")
+                n -= lo
+                at = np.arange(n.sum()) + np.repeat(lo - (np.cumsum(n) - n), n)
+                both = np.bincount(owner[at], minlength=len(others))
+                near = np.flatnonzero((100 * both >= percent * (len(values) + sizes_ - both)) & (component != own))
+                pairs += [np.array([min(doc, ids[k]), max(doc, ids[k])]) for k in near]
+        return pd.DataFrame(np.array(pairs, np.int64).reshape(-1, 2), columns=["a", "b"])
+
+    outside = side(placed.where("outside = 1"), "row", "column")
+    return outside.cogroup(side(placed, "column", "row")).applyInPandas(meet, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, *, shingle_words: int = 5, percent: int = 75) -> DataFrame:
@@ -197,9 +267,9 @@ def near_duplicates(docs: DataFrame, *, shingle_words: int = 5, percent: int = 7
        2.5e-7.
     3. In each bucket every document is paired with the least one. Pairs that are plausible by their
        registers' likelihood are confirmed on full sets.
-    4. Links give components. Pairs in a bucket that are still in different components are checked
-       too, so no link between components is lost, while members of one component, as in a bucket
-       full of near copies, are never paired.
+    4. Links give components. Documents that share buckets across components, as heavily edited copies
+       or those around a common passage do, are compared in cells of bounded size, which give links only. So no link is
+       lost, and members of one component, as in a bucket full of near copies, are never paired.
 
     Words are runs of anything but space, tab and line ends, with A-Z in lower case. A document with
     fewer words is one shingle; null, empty and blank texts have none and are linked with nothing.
@@ -220,32 +290,33 @@ def near_duplicates(docs: DataFrame, *, shingle_words: int = 5, percent: int = 7
     entries = scratch.save(leaders.select("doc_id", F.explode(band).alias("bucket")), "bands")
     centers = entries.groupBy("bucket").agg(F.min("doc_id").alias("center"), F.count("doc_id").alias("n")).where("n > 1").select("bucket", "center")
     placed = scratch.save(entries.join(centers, "bucket"), "buckets")
-    star = placed.where("doc_id > center").select(F.col("center").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = _verified(scratch.save(star, "star"), sketches, texts, shingle_words, percent, scratch)
-
-    def classes_of(found: DataFrame) -> DataFrame:
-        edges = found.select(F.col("a").alias("parent_account_id"), F.col("b").alias("child_account_id"))
-        joined = components(edges, scratch=scratch)
-        return scratch.save(joined.select(F.col("account_id").alias("doc_id"), F.col("component_id").alias("component")), "components")
-
-    parts = classes_of(links)
-    members = placed.join(parts, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    center_parts = parts.select(F.col("doc_id").alias("center"), F.col("component").alias("center_component"))
-    members = scratch.save(
-        members.join(center_parts, "center", "left").withColumn("center_component", F.coalesce("center_component", "center")), "members"
+    needed = placed.select("doc_id").distinct()
+    sets = scratch.save(texts.join(needed, "doc_id").mapInArrow(_sets(shingle_words), "doc_id long, shingles binary"), "sets")
+    compare = _Comparison(sketches, sets, percent, scratch)
+    star = placed.where("doc_id > center").select(*_pair("center", "doc_id")).distinct()
+    links = compare.links(scratch.save(star, "star"))
+    parts = compare.components(links)
+
+    # buckets with members of several components, and the component most members are in
+    inside = placed.join(parts, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    several = (
+        inside.groupBy("bucket", "component")
+        .agg(F.count("doc_id").alias("n"))
+        .groupBy("bucket")
+        .agg(F.count("component").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("main"))
+        .where("parts > 1")
+        .drop("parts")
     )
-    apart = members.where("component <> center_component")
-    # within such buckets only; the center has met everyone
-    mixed = members.join(apart.select("bucket").distinct(), "bucket", "left_semi").where("doc_id <> center")
-    others = grid_join(
-        scratch.save(apart.select("bucket", F.col("doc_id").alias("x"), F.col("component").alias("cx")), "apart"),
-        scratch.save(mixed.select("bucket", F.col("doc_id").alias("y"), F.col("component").alias("cy")), "mixed"),
-        "bucket", left_id=["x"], right_id=["y"], cell_rows=1_000_000,
-    ).where("cx <> cy")
-    rest = scratch.save(others.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "others")
-    if not rest.isEmpty():
-        more = _verified(rest, sketches, texts, shingle_words, percent, scratch)
-        parts = classes_of(links.unionByName(more))
+    members = scratch.save(inside.join(several, "bucket"), "mixed")
+    if not members.isEmpty():
+        # a document counts as outside if it is so in any of its buckets
+        found = members.groupBy("doc_id").agg(
+            F.max("component").alias("component"), F.max((F.col("component") != F.col("main")).cast("int")).alias("outside")
+        )
+        clusters = compare.components(members.select(*_pair("center", "doc_id")).distinct()).withColumnRenamed("component", "cluster")
+        found = scratch.save(found.join(clusters, "doc_id"), "outside")
+        more = scratch.save(_links_in_cells(found, sets, percent), "links")
+        parts = compare.components(links.unionByName(more))
     return (
         sketches.select("doc_id", "n_shingles", "digest", "digest_2")
         .join(classes, ["digest", "digest_2", "n_shingles"], "left")
