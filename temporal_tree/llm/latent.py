@@ -17,6 +17,7 @@ _SEPARATOR = np.ones(256, bool)
 _SEPARATOR[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 _BLOCK = 8  # words; passages are some blocks and begin at any block
 _SHORT, _LONG = 2, 4  # blocks of a passage, for items of fewer than 24 words and for others
+_WHOLE = 48  # words; longer items are searched by parts of a long passage's length that overlap by half
 _BUCKETS = 1 << 16  # hashed words, for document frequencies
 _PART = 1 << 10  # rows of a matrix that are summed in one group
 _ITEMS = 20_000  # benchmark items that are searched at once
@@ -172,6 +173,15 @@ def _basis(image: np.ndarray, own: np.ndarray, dimensions: int) -> np.ndarray:
     return np.ascontiguousarray(left[:, :dimensions], np.float32)
 
 
+def _parts(n: int) -> list[tuple[int, int]]:
+    """The parts by which an item of `n` words is searched: a cosine with more words than a passage has
+    would fall with the item's length. The last part ends with the item."""
+    size = _LONG * _BLOCK
+    if n <= _WHOLE:
+        return [(0, n)]
+    return [(a, a + size) for a in [*range(0, n - size, size // 2), n - size]]
+
+
 class Search:
     """A block of benchmark items in the latent space, and the check of what is near them."""
 
@@ -185,12 +195,15 @@ class Search:
         self.weight_of = [
             dict(zip(item, weight[a:b], strict=True)) for item, a, b in zip(self.items, words.first[:-1], words.first[1:], strict=True)
         ]
-        at, number = vocabulary.look_up(hashes)
-        vectors = np.zeros((len(ids), basis.shape[1]), np.float32)
-        group, sums = _group_sums(words.doc[at], vocabulary.weights(hashes[at])[:, None].astype(np.float32) * basis[number])
-        vectors[group] = sums
+        parts = [(k, a, b) for k, item in enumerate(self.items) for a, b in _parts(len(item))]
+        self.item_of = np.array([k for k, _, _ in parts], np.int64)
+        vectors = np.zeros((len(parts), basis.shape[1]), np.float32)
+        for row, (k, a, b) in enumerate(parts):
+            own = hashes[int(words.first[k]) + a : int(words.first[k]) + b]
+            at, number = vocabulary.look_up(own)
+            vectors[row] = vocabulary.weights(own[at]).astype(np.float32) @ basis[number]
         self.vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
-        short = np.array([len(i) < 24 for i in self.items], bool)
+        short = np.array([len(self.items[k]) < 24 for k, _, _ in parts], bool)
         self.scales = [(_SHORT, np.flatnonzero(short)), (_LONG, np.flatnonzero(~short))]
 
     def candidates(self, words: Words, hashes: np.ndarray) -> set[tuple[int, int, int]]:
@@ -209,8 +222,8 @@ class Search:
         last = blocks.first[1:][blocks.doc]
         all_energy, own_energy = np.append(0, np.cumsum(energy)), np.append(0, np.cumsum(own))
         found = set()
-        for size, items in self.scales:
-            if not len(items):
+        for size, parts in self.scales:
+            if not len(parts):
                 continue
             end = np.minimum(np.arange(n) + size, last)
             # a cosine is at most the root of the part that is in benchmark words
@@ -223,8 +236,8 @@ class Search:
                     inside = start + step < last[start]
                     passage[inside] += latent[start[inside] + step]
                 passage /= np.maximum(np.sqrt(np.einsum("ij,ij->i", passage, passage)), 1e-9)[:, None]
-                rows, columns = np.nonzero(passage @ self.vectors[items].T >= self.least_cosine)
-                for b, i in zip(start[rows].tolist(), items[columns].tolist(), strict=True):
+                rows, columns = np.nonzero(passage @ self.vectors[parts].T >= self.least_cosine)
+                for b, i in zip(start[rows].tolist(), self.item_of[parts[columns]].tolist(), strict=True):
                     doc = int(blocks.doc[b])
                     found.add((doc, i, int(words.first[doc]) + (b - int(blocks.first[doc])) * _BLOCK))
         return found
@@ -301,7 +314,8 @@ def decontaminate(
        in each task (a randomised SVD with one power step); the left singular vectors of the sum
        are the basis of the latent space.
     3. Passages of 16 or 32 words that begin at any block are candidates for an item if their cosine in
-       the latent space is at least `least_cosine`. Passages with too little weight in benchmark words
+       the latent space is at least `least_cosine`, with the item or, if it is longer than 48 words, with
+       any of its parts of 32 words. Passages with too little weight in benchmark words
        are left out before, since that bounds the cosine.
     4. Candidates whose surroundings have too little of the item's weight are left out. A candidate holds an item if a stretch not much longer than the item has at least `copied` of its words in
        order, or `paraphrased` of them and all of its last words, which stand for the answer.

@@ -266,6 +266,28 @@ def test_decontamination(spark, frame, corpus):
     assert len(none) == len(texts) and not any(r["contaminated"] for r in none.values())
 
 
+def test_long_items_are_found(spark, frame):
+    """Copies of items that are many times as long as a searched passage, against brute force."""
+    rng = random.Random(12)
+    items = {k: some_words(rng, n, 100_000) for k, n in enumerate((49, 64, 130, 200, 500))}
+    benchmark = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
+    texts = {k: " ".join(some_words(rng, 300, 100_000)) for k in range(30)}
+    for k, item in items.items():
+        body = some_words(rng, 300, 100_000)
+        at = rng.randrange(300)
+        texts[100 + k] = " ".join(body[:at] + item + body[at:])
+        texts[200 + k] = " ".join(body[:at] + item[: len(item) // 2] + body[at:])  # too little of it
+    want = {}
+    for i, text in texts.items():
+        words = text.split()
+        for k, item in items.items():
+            if any(words[a : a + len(item)] == item for a in range(len(words))):
+                want[i] = k
+    got = by_id(latent.decontaminate(frame(texts), benchmark))
+    assert {i: r["item_id"] for i, r in got.items() if r["contaminated"]} == want
+    assert all(got[i]["similarity"] == 1 for i in want)
+
+
 # pipeline
 
 
