@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,9 +22,7 @@ _WHOLE = 48  # words; longer items are searched by parts of a long passage's len
 _BUCKETS = 1 << 16  # hashed words, for document frequencies
 _PART = 1 << 10  # rows of a matrix that are summed in one group
 _ITEMS = 20_000  # benchmark items that are searched at once
-_STOP = 3e-4  # words that are a greater part of all words have no weight
-_OWN = 0.36  # least part of a passage's squared weights that is in benchmark words
-_HELD = 0.4  # least part of an item's weights that the surroundings of a candidate have
+_FLOOR = 1 / 3  # least weight of a word, as a part of the greatest
 _ANSWER = 5  # words at the end of an item that count as its answer
 _OUT = "doc_id long, n_words long, contaminated boolean, item_id long, similarity double, start int, end int, n_items int"
 
@@ -111,6 +110,13 @@ class Vocabulary:
         return self.weight[(hashes >> np.uint64(48)).astype(np.int64)]
 
 
+def word_weights(frequency: np.ndarray, total: int) -> np.ndarray:
+    """Inverse frequencies of the buckets, of which none is less than a third of the greatest: so three
+    quarters of a passage are enough of its weights for a cosine of 0.5, whatever words they are."""
+    weight = np.log((total + 1) / (frequency + 1))
+    return np.maximum(weight, _FLOOR * np.log(total + 1))
+
+
 def _group_sums(group: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sums of rows of equal, ascending groups."""
     heads = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, int)
@@ -123,8 +129,6 @@ def _add_image(total: np.ndarray, column: pa.Array, vocabulary: Vocabulary, prob
     blocks = _Blocks(words)
     at, number = vocabulary.look_up(hashes)
     weight = vocabulary.weights(hashes[at]).astype(np.float32)
-    heavy = weight > 0
-    at, number, weight = at[heavy], number[heavy], weight[heavy]
     # passages of `_LONG` blocks that do not overlap
     block = blocks.of_word[at]
     doc_first = blocks.first[blocks.doc[block]] if len(block) else block
@@ -191,10 +195,8 @@ class Search:
         words, hashes = words_in(pa.array(texts, pa.string()))
         self.ids = ids
         self.items = [hashes[a:b].tolist() for a, b in zip(words.first[:-1], words.first[1:], strict=True)]
-        weight = vocabulary.weights(hashes).tolist()
-        self.weight_of = [
-            dict(zip(item, weight[a:b], strict=True)) for item, a, b in zip(self.items, words.first[:-1], words.first[1:], strict=True)
-        ]
+        self.counts = [Counter(item) for item in self.items]
+        self.numbers = [np.searchsorted(vocabulary.items, np.array(list(c), np.uint64)).tolist() for c in self.counts]
         parts = [(k, a, b) for k, item in enumerate(self.items) for a, b in _parts(len(item))]
         self.item_of = np.array([k for k, _, _ in parts], np.int64)
         vectors = np.zeros((len(parts), basis.shape[1]), np.float32)
@@ -216,9 +218,13 @@ class Search:
         at, number = self.vocabulary.look_up(hashes)
         energy = np.bincount(blocks.of_word, weight**2, n)
         own = np.bincount(blocks.of_word[at], weight[at] ** 2, n)
-        block, sums = _group_sums(blocks.of_word[at], weight[at, None] * self.basis[number])
         latent = np.zeros((n + 1, self.basis.shape[1]), np.float32)
-        latent[block] = sums
+        for k in range(0, len(at), 1 << 17):
+            part = slice(k, k + (1 << 17))
+            block, sums = _group_sums(blocks.of_word[at[part]], weight[at[part], None] * self.basis[number[part]])
+            latent[block] += sums
+        order = np.argsort(number, kind="stable")
+        held = blocks.of_word[at[order]], np.searchsorted(number[order], np.arange(len(self.vocabulary.items) + 1))
         last = blocks.first[1:][blocks.doc]
         all_energy, own_energy = np.append(0, np.cumsum(energy)), np.append(0, np.cumsum(own))
         found = set()
@@ -228,24 +234,45 @@ class Search:
             end = np.minimum(np.arange(n) + size, last)
             # a cosine is at most the root of the part that is in benchmark words
             part, whole = own_energy[end] - own_energy[:n], all_energy[end] - all_energy[:n]
-            fits = np.flatnonzero((part >= _OWN * whole - 1e-6) & (part > 0))
-            for k in range(0, len(fits), 8192):
-                start = fits[k : k + 8192]
-                passage = np.zeros((len(start), latent.shape[1]), np.float32)
-                for step in range(size):
-                    inside = start + step < last[start]
-                    passage[inside] += latent[start[inside] + step]
-                passage /= np.maximum(np.sqrt(np.einsum("ij,ij->i", passage, passage)), 1e-9)[:, None]
-                rows, columns = np.nonzero(passage @ self.vectors[parts].T >= self.least_cosine)
-                for b, i in zip(start[rows].tolist(), self.item_of[parts[columns]].tolist(), strict=True):
-                    doc = int(blocks.doc[b])
-                    found.add((doc, i, int(words.first[doc]) + (b - int(blocks.first[doc])) * _BLOCK))
+            start = np.flatnonzero((part >= self.least_cosine**2 * whole - 1e-6) & (part > 0))
+            passage = np.zeros((len(start), latent.shape[1]), np.float32)
+            for step in range(size):
+                inside = start + step < last[start]
+                passage[inside] += latent[start[inside] + step]
+            passage /= np.maximum(np.sqrt(np.einsum("ij,ij->i", passage, passage)), 1e-9)[:, None]
+            for g in range(0, len(parts), 256):
+                some, near = parts[g : g + 256], []
+                for k in range(0, len(start), 8192):
+                    rows, columns = np.nonzero(passage[k : k + 8192] @ self.vectors[some].T >= self.least_cosine)
+                    near.append(np.column_stack([self.item_of[some[columns]], start[k + rows]]))
+                pairs = np.concatenate(near) if near else np.zeros((0, 2), int)
+                pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
+                items, heads = np.unique(pairs[:, 0], return_index=True)
+                for i, of_item in zip(items.tolist(), np.split(pairs[:, 1], heads[1:]), strict=False):
+                    for b in of_item[self._enough(i, of_item, n, *held)].tolist():
+                        doc = int(blocks.doc[b])
+                        found.add((doc, i, int(words.first[doc]) + (b - int(blocks.first[doc])) * _BLOCK))
         return found
 
+    def _enough(self, item: int, at: np.ndarray, n: int, block: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Whether the surroundings of the passages that begin at the blocks `at` have a stretch with as many
+        words of the item as a match needs. `block` has the places of the benchmark words by number."""
+        size = len(self.items[item])
+        if not size:
+            return np.zeros(len(at), bool)
+        places = np.concatenate([block[bounds[w] : bounds[w + 1]] for w in self.numbers[item]])
+        count = np.append(0, np.cumsum(np.bincount(places, minlength=n)))
+        wide = (size + 2 * max(1, size // 8) + _BLOCK - 2) // _BLOCK + 1
+        first = np.arange(n)
+        enough = (count[np.minimum(first + wide, n)] - count[:n]) / size >= min(self.copied, self.paraphrased)
+        total = np.append(0, np.cumsum(enough))
+        beside = -(-size // _BLOCK)
+        return total[np.minimum(at + beside + _LONG + 1, n)] > total[np.maximum(at - beside, 0)]
+
     def matches(self, words: Words, hashes: np.ndarray) -> dict[int, list[tuple[float, int, int, int]]]:
         """Per document row (similarity, item id, start, end) of the verified passages."""
         best: dict[tuple[int, int], tuple[float, int, int]] = {}
-        weight_of = self.weight_of
+        least = min(self.copied, self.paraphrased)
         for doc, number, at in sorted(self.candidates(words, hashes)):
             item = self.items[number]
             if not item or best.get((doc, number), (0.0,))[0] == 1.0:
@@ -254,7 +281,9 @@ class Search:
             # the passage lies somewhere in the item, or the other way round
             start, end = max(low, at - len(item)), min(high, at + _LONG * _BLOCK + len(item))
             region = hashes[start:end].tolist()
-            if sum(map(weight_of[number].get, weight_of[number].keys() & set(region))) < _HELD * sum(weight_of[number].values()):
+            # a common subsequence has no more words than the item has of the region's
+            counts = self.counts[number]
+            if sum(map(counts.__getitem__, counts.keys() & set(region))) / len(item) < least:
                 continue
             similarity, where = self._best_part(item, region)
             if similarity < self.copied:
@@ -309,16 +338,19 @@ def decontaminate(
     """Per document `n_words`, `contaminated`, the most similar benchmark item (`item_id`, `similarity`,
     `start` and `end` of its place in words) and `n_items`, how many items it holds.
 
-    1. Words are weighted by their inverse frequency in all documents; very frequent ones have no weight.
+    1. Words are weighted by their inverse frequency in all documents; very frequent ones keep a third of
+       the greatest weight.
     2. The passages' matrix of the weights of benchmark words is multiplied with a random one and back
        in each task (a randomised SVD with one power step); the left singular vectors of the sum
        are the basis of the latent space.
     3. Passages of 16 or 32 words that begin at any block are candidates for an item if their cosine in
        the latent space is at least `least_cosine`, with the item or, if it is longer than 48 words, with
-       any of its parts of 32 words. Passages with too little weight in benchmark words
-       are left out before, since that bounds the cosine.
-    4. Candidates whose surroundings have too little of the item's weight are left out. A candidate holds an item if a stretch not much longer than the item has at least `copied` of its words in
-       order, or `paraphrased` of them and all of its last words, which stand for the answer.
+       any of its parts of 32 words. Passages with less than the square of
+       `least_cosine` of their squared weights in benchmark words are left out before, since no cosine of
+       all their words can be high enough.
+    4. Candidates whose surroundings have too few of the item's words for `copied` or `paraphrased` are left
+       out. A candidate holds an item if a stretch not much longer than the item has at least `copied` of
+       its words in order, or `paraphrased` of them and all of its last words, which stand for the answer.
 
     The benchmark is searched in blocks of items; what a task keeps of a block does not depend on the
     documents. Words are runs of digits, letters and characters beyond ASCII, with A-Z and Latin letters
@@ -338,8 +370,7 @@ def decontaminate(
     counts = _summed(texts.mapInArrow(_frequencies, "part int, data binary"), (_BUCKETS + _PART, 1), np.int64)
     total = max(1, int(counts[_BUCKETS, 0]))
     frequency = counts[:_BUCKETS, 0]
-    # a benchmark of few words or a small corpus would have nothing but stop words
-    weight = np.where(frequency > max(_STOP * total, 50), 0.0, np.log((total + 1) / (frequency + 1)))
+    weight = word_weights(frequency, total)
     out = None
     for k in range(blocks):
         some = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text").toPandas()

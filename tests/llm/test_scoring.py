@@ -288,6 +288,32 @@ def test_long_items_are_found(spark, frame):
     assert all(got[i]["similarity"] == 1 for i in want)
 
 
+def test_frequent_words_and_paraphrases_are_found(spark, frame):
+    """Items of frequent words only, and paraphrases that keep 62 to 75 % of the words with rare words in
+    place of the others, against the longest common subsequence."""
+    rng = random.Random(13)
+    common = [w for w in some_words(rng, 40, 10**5) for _ in range(2)]
+    rare = (f"q{k}z" for k in range(10**6))
+    texts = {k: " ".join(rng.choice(common) if rng.random() < 0.5 else next(rare) for _ in range(200)) for k in range(100)}
+    items, want = {}, {}
+    for k in range(24):
+        n = (16, 30, 60)[k % 3]
+        item = [rng.choice(common) if k < 6 or rng.random() < 0.4 else next(rare) for _ in range(n)]
+        items[k] = item
+        part = 1 if k < 6 else (0.62, 0.68, 0.75)[k // 3 % 3]
+        kept = set(rng.sample(range(n - 5), math.ceil(part * n) - 5)) | set(range(n - 5, n))
+        passage = [w if j in kept else next(rare) for j, w in enumerate(item)]
+        body = texts[k].split()
+        at = rng.randrange(200)
+        texts[1000 + k] = " ".join(body[:at] + passage + body[at:])
+        assert licenses.common_words(item, passage) >= 0.6 * n
+        want[1000 + k] = k
+    benchmark = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
+    got = by_id(latent.decontaminate(frame(texts), benchmark))
+    assert all(got[i]["contaminated"] for i in want)
+    assert all(got[1000 + k]["similarity"] == 1 for k in range(6))
+
+
 # pipeline
 
 
