@@ -76,12 +76,12 @@ class Model:
         segments."""
         words = tokens(text)
         heads, odds = self.heads, self.odds
-        places, scores, met = [], [], set()
+        places, scores, met = [], [], {}
         for place, word in enumerate(words):
-            # odds are of documents that have a token, so a token counts where it first stands
-            if word[:_HEAD] in heads and word not in met:
-                met.add(word)
-                best = max(odds.get(p, 0.0) for p in parts(word))
+            if word[:_HEAD] in heads:
+                best = met.get(word)
+                if best is None:
+                    best = met[word] = max(odds.get(p, 0.0) for p in parts(word))
                 if best > 0:
                     places.append(place)
                     scores.append(best)
@@ -104,39 +104,46 @@ class Model:
 
 
 def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents of each class that have a token, summed over the batch."""
+    """Documents of each class that have a token, and its occurrences in them, summed over the batch."""
     for batch in batches:
-        counts = (Counter(), Counter())
-        n = [0, 0]
+        counts, places = (Counter(), Counter()), (Counter(), Counter())
         for text, toxic in zip(batch.column("text"), batch.column("toxic").to_pylist(), strict=True):
             words = tokens(text.as_py())
-            n[toxic] += len(words)
             counts[toxic].update({p for w in set(words) for p in parts(w)})
+            for w, k in Counter(words).items():
+                for p in parts(w):
+                    places[toxic][p] += k
         names = list(counts[0] | counts[1])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), pa.array([counts[0][t] for t in names], pa.int64()), pa.array([counts[1][t] for t in names], pa.int64())],
-            ["token", "clean", "toxic"],
+            [pa.array(names, pa.string()), *(pa.array([c[t] for t in names], pa.int64()) for c in (*counts, *places))],
+            ["token", "clean", "toxic", "clean_places", "toxic_places"],
         )
 
 
 def log_odds(counts: DataFrame, prior: float, floor: float, least_z: float, least_odds: float, most_tokens: int) -> DataFrame:
-    """Tokens with significantly higher odds in toxic documents, under a Dirichlet prior of `prior`
-    of the tokens' overall counts, at least `floor` (Monroe et al., "Fightin' Words", 2008)."""
-    totals = counts.agg(F.sum("clean").alias("all_clean"), F.sum("toxic").alias("all_toxic"))
-    a = F.greatest(F.lit(floor), F.lit(prior) * (F.col("clean") + F.col("toxic")))
-    whole = F.lit(prior) * (F.col("all_clean") + F.col("all_toxic")) + floor
+    """Tokens that significantly more toxic documents have, with the odds of their occurrences, both under
+    a Dirichlet prior of `prior` of the tokens' overall counts, at least `floor` (Monroe et al.,
+    "Fightin' Words", 2008). Significance is of documents: one that repeats a word is one witness."""
+    columns = ("clean", "toxic", "clean_places", "toxic_places")
+    totals = counts.agg(*(F.sum(c).alias(f"all_{c}") for c in columns))
 
-    def odds(count: str, total: str):
-        return F.log((F.col(count) + a) / (F.col(total) + whole - F.col(count) - a))
+    def delta(clean: str, toxic: str):
+        a = F.greatest(F.lit(floor), F.lit(prior) * (F.col(clean) + F.col(toxic)))
+        whole = F.lit(prior) * (F.col(f"all_{clean}") + F.col(f"all_{toxic}")) + floor
 
-    delta = odds("toxic", "all_toxic") - odds("clean", "all_clean")
-    spread = F.sqrt(1 / (F.col("toxic") + a) + 1 / (F.col("clean") + a))
+        def odds(count: str):
+            return F.log((F.col(count) + a) / (F.col(f"all_{count}") + whole - F.col(count) - a))
+
+        return odds(toxic) - odds(clean), F.sqrt(1 / (F.col(toxic) + a) + 1 / (F.col(clean) + a))
+
+    (of_documents, spread), (of_places, _) = delta("clean", "toxic"), delta("clean_places", "toxic_places")
     return (
         counts.crossJoin(F.broadcast(totals))  # one row of totals
-        .select("token", delta.alias("odds"), (delta / spread).alias("z"))
-        .where((F.col("z") >= least_z) & (F.col("odds") >= least_odds))
+        .select("token", of_places.alias("odds"), of_documents.alias("document_odds"), (of_documents / spread).alias("z"))
+        .where((F.col("z") >= least_z) & (F.col("document_odds") >= least_odds) & (F.col("odds") > 0))
         .orderBy(F.desc("z"), "token")
         .limit(most_tokens)
+        .select("token", "odds", "z")
     )
 
 
@@ -162,8 +169,8 @@ def fit(
     )
     train = scratch.save(texts_of(docs).join(F.broadcast(chosen), "doc_id"), "train")
     counts = (
-        train.mapInArrow(_token_counts, "token string, clean long, toxic long")
-        .groupBy("token").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+        train.mapInArrow(_token_counts, "token string, clean long, toxic long, clean_places long, toxic_places long")
+        .groupBy("token").agg(*(F.sum(c).alias(c) for c in ("clean", "toxic", "clean_places", "toxic_places")))
     )
     rows = log_odds(scratch.save(counts, "counts"), prior, floor, least_z, least_odds, most_tokens).collect()
     if not rows:
@@ -291,8 +298,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, **fitting) -> DataFrame:
     """`score_toxicity` of all documents by a model of the labels that are not held out, with `held_out`
     and `predicted` (1 if the score is at least 0.5).
 
-    A token's odds come from class-conditional document counts under a Dirichlet prior, for tokens and
-    their beginnings. Tokens with significant odds score, all others count slightly against; every
+    A token's odds come from class-conditional counts of its occurrences under a Dirichlet prior, for tokens
+    and their beginnings, if significantly more toxic documents have it. Every occurrence of such a token
+    scores, also a repeated one; all others count slightly against; every
     maximal scoring segment that is beyond what clean texts of the same length show by chance is a
     passage. Without labels of both classes no text is toxic. An empty table gives an empty result.
     """

@@ -121,6 +121,19 @@ def test_toxicity_on_held_out_rows(spark, frame):
     assert not any(r["predicted"] for r in none.values())
 
 
+def test_repeated_words_score_again():
+    model = toxicity.Model(odds={"foul": 3.0, "nasty": 3.0, "ugly": 3.0}, gap=-0.3, decay=1.0, rate=0.01)
+    passage = ["foul", "nasty", "ugly"]
+    two = ["w"] * 50 + passage + ["w"] * 200 + passage + ["w"] * 50
+    assert [(a, b) for a, b, _ in model.passages(" ".join(two))[1]] == [(50, 53), (253, 256)]
+    # strays far apart, then the passage, in a very long text
+    strays = [w for p in passage for w in [p] + ["w"] * 10_000]
+    long = toxicity.Model(odds=model.odds, gap=-0.3, decay=1.0, rate=1e-4)
+    assert [(a, b) for a, b, _ in long.passages(" ".join(strays + passage + ["w"] * 100))[1]] == [(30_003, 30_006)]
+    # one word again and again is more than one hit
+    assert [(a, b) for a, b, _ in model.passages(" ".join(["w"] * 50 + ["foul"] * 4 + ["w"] * 50))[1]] == [(50, 54)]
+
+
 # language model
 
 
