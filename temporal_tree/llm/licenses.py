@@ -32,7 +32,7 @@ NOTICES = {
     "licensed under a creative commons attribution sharealike 4 0 international license": "cc-by-sa-4",
     "all rights reserved": "all-rights-reserved",
 }
-_K = 3
+_K = 2
 _SLACK = 2  # words by which neighbouring diagonals of one span may differ
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _UPPER = {c: c + 32 for c in range(65, 91)}
@@ -90,6 +90,38 @@ def common_words(a: list[str], b: list[str]) -> int:
     return len(a) - row.bit_count()
 
 
+def least_votes(n: int, least: float) -> int:
+    """The fewest grams of a notice of `n` words, at least 1, that stand unbroken in a span with a similarity
+    of `least`: a changed word breaks `_K`, an added one `_K - 1`, one that the text's end cuts off 1."""
+    broken = [
+        _K * changed + (_K - 1) * added + cut
+        for changed in range(n)
+        for cut in range(n - changed)
+        for added in range(2 * n + 1)
+        if 2 * (n - changed - cut) >= least * (2 * n - cut + added) - 1e-9
+    ]
+    return max(1, n - _K + 1 - max(broken, default=0))
+
+
+def similar_spans(notice: list[str], words: list[str], start: int, end: int, least: float) -> list[tuple[int, int, float]]:
+    """The span if it is similar enough; else what is, of its stretches of the notice's length, the most similar
+    first: words beside a notice that look like parts of it make a span longer."""
+    n, end = len(notice), min(end, len(words))
+
+    def similarity(a: int, b: int) -> float:
+        return 2 * common_words(notice, words[a:b]) / (n + b - a)
+
+    whole = similarity(start, end)
+    if whole >= least:
+        return [(start, end, whole)]
+    found: list[tuple[int, int, float]] = []
+    inside = [(a, a + n, similarity(a, a + n)) for a in range(start, end - n + 1)]
+    for a, b, value in sorted((w for w in inside if w[2] >= least), key=lambda w: (-w[2], w[0])):
+        if all(b <= c or d <= a for c, d, _ in found):
+            found.append((a, b, value))
+    return found
+
+
 def _verify(phrases: list[tuple[list[str], str]], notices: list[tuple[list[str], str]], least: float):
     def one(text: str, places: list[dict], spans: list[dict]) -> tuple:
         if not places and not spans:
@@ -105,12 +137,10 @@ def _verify(phrases: list[tuple[list[str], str]], notices: list[tuple[list[str],
         base = ",".join(sorted(labels))
         for s in spans:
             notice, label = notices[s["template"] - len(phrases)]
-            start, end = max(0, s["start"]), s["end"]
-            similarity = 2 * common_words(notice, words[start:end]) / (len(notice) + len(words[start:end]))
-            if similarity >= least:
+            for start, end, similarity in similar_spans(notice, words, max(0, s["start"]), s["end"], least):
                 labels.add(label)
                 score = max(score, similarity)
-                found.append({"label": label, "start": start, "end": min(end, len(words)), "similarity": similarity})
+                found.append({"label": label, "start": start, "end": end, "similarity": similarity})
         return len(starts), min(starts, default=None), max(starts, default=None), base, ",".join(sorted(labels)), score, found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,10 +168,10 @@ def scan_licenses(docs: DataFrame, *, least_similarity: float = 0.8) -> DataFram
     `base_labels`), all `labels`, the best `score` (similarity of a span, 1 for a base phrase) and the
     verified `spans`.
 
-    The hashes of all rolling three words are joined to their places in the templates, which are a
+    The hashes of all rolling two words are joined to their places in the templates, which are a
     constant of this module. A hit votes for the diagonal on which a template would begin. A phrase
     stands where all its hashes vote for one diagonal; diagonals of a notice at most two words apart
-    are one span, which is a candidate from half the votes on. All candidates are verified on the
+    are one span, which is a candidate from as many votes on as `least_similarity` leaves (see `least_votes`). All candidates are verified on the
     words themselves: phrases exactly, spans by twice their longest common subsequence over both lengths.
 
     Words are runs of digits, a-z and characters beyond ASCII, with A-Z in lower case. Null and empty
@@ -156,6 +186,7 @@ def scan_licenses(docs: DataFrame, *, least_similarity: float = 0.8) -> DataFram
     sizes = [len(w) - _K + 1 for w, _ in phrases + notices]
     templates = spark.createDataFrame(_template_rows([*PHRASES, *NOTICES]), "gram long, template int, place int")
     needed = F.element_at(F.array(*[F.lit(n) for n in sizes]), F.col("template") + 1)
+    enough = F.element_at(F.array(*[F.lit(least_votes(n + _K - 1, least_similarity)) for n in sizes]), F.col("template") + 1)
     votes = (
         texts.mapInArrow(_gram_rows, "doc_id long, grams array<long>")
         .select("doc_id", F.posexplode("grams").alias("pos", "gram"))
@@ -179,7 +210,7 @@ def scan_licenses(docs: DataFrame, *, least_similarity: float = 0.8) -> DataFram
     )
     phrase = F.col("template") < len(phrases)
     candidates = scratch.save(
-        spans.where(F.when(phrase, F.size("whole") > 0).otherwise(2 * F.col("votes") >= F.col("needed")))
+        spans.where(F.when(phrase, F.size("whole") > 0).otherwise(F.col("votes") >= enough))
         .groupBy("doc_id")
         .agg(
             F.flatten(

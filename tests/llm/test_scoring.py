@@ -249,6 +249,30 @@ def test_licenses(frame, corpus):
     assert (got[83]["labels"], got[84]["labels"], got[83]["score"]) == ("", "", 0)
 
 
+def test_notices_with_words_changed_at_every_place(frame):
+    """Every choice of one or two places whose words are changed, as far as the similarity stays."""
+    texts, want = {}, {}
+    for notice, label in licenses.NOTICES.items():
+        words = notice.split()
+        n = len(words)
+        for a in range(n):
+            for b in range(a, n):
+                changed = [f"x{j}" if j in (a, b) else w for j, w in enumerate(words)]
+                similarity = 1 - len({a, b}) / n
+                if similarity >= 0.8:
+                    want[len(texts)] = (label, similarity)
+                    texts[len(texts)] = " ".join(["some", "text", *changed, "and", "more"])
+    got = by_id(licenses.scan_licenses(frame(texts)))
+    for i, (label, similarity) in want.items():
+        assert any(s["label"] == label and abs(s["similarity"] - similarity) < 1e-9 for s in got[i]["spans"]), texts[i]
+
+
+def test_words_beside_a_notice_do_not_hide_it():
+    notice = "released under the mit license".split()
+    words = "the mit released under x mit license the mit".split()
+    assert licenses.similar_spans(notice, words, 0, 9, 0.8) == [(2, 7, 0.8)]
+
+
 # decontamination
 
 
