@@ -8,7 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from temporal_tree.llm import backoff, histogram_sort, induced, latent, licenses, packing, quality_forest, rlz, setsketch, toxicity
+from temporal_tree.llm import (
+    backoff,
+    histogram_sort,
+    induced,
+    latent,
+    licenses,
+    merkle,
+    packing,
+    personal_data,
+    quality_forest,
+    rlz,
+    setsketch,
+    toxicity,
+)
+from temporal_tree.llm import statements as sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +83,24 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=5, percent=75)
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.personal_data(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_email",
+        "n_ip",
+        "n_card",
+        "n_phone",
+        F.sha2(personal_data.listed(personal_data.base_spans(F.col("found"))), 256).alias("base_sha256"),
+        personal_data.listed(F.col("found")).alias("spans"),
+    )
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = merkle.document_leaves(_table(spark, sf_dir, "documents"))
+    return merkle.manifest(rows).verify()
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_forest": op1_quality_forest,
@@ -81,6 +113,8 @@ def queries() -> dict[str, Query]:
         "op8_latent_decontamination": op8_latent_decontamination,
         "op9_histogram_sort": op9_histogram_sort,
         "op10_near_dedup": op10_near_dedup,
+        "op11_personal_data": op11_personal_data,
+        "op12_merkle_manifest": op12_merkle_manifest,
     }
 
 
@@ -109,4 +143,8 @@ FROM words LEFT JOIN kept USING (doc_id)
 
 
 def statements() -> dict[str, str]:
-    return {"op4_substring_dedup": _SUBSTRING_SQL}
+    return {
+        "op4_substring_dedup": _SUBSTRING_SQL,
+        "op11_personal_data": sql.PERSONAL_DATA,
+        "op12_merkle_manifest": sql.MERKLE,
+    }
