@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from temporal_tree.llm import (
     backoff,
+    conversations,
     histogram_sort,
     induced,
     latent,
@@ -23,6 +24,7 @@ from temporal_tree.llm import (
     toxicity,
 )
 from temporal_tree.llm import statements as sql
+from temporal_tree.llm.documents import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -101,6 +103,27 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(rows).verify()
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    scratch = tables(spark)
+    rows = scratch.save(conversations.repair(conversations.damaged(turns), scratch=scratch), "repair")
+    counted = conversations.report(rows).withColumnRenamed("conv_id", "_counted")
+    digests = conversations.digest(rows).withColumnRenamed("conv_id", "_hashed")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return (
+        turns.select("conv_id")
+        .distinct()
+        .join(counted, F.col("conv_id").eqNullSafe(F.col("_counted")), "left")
+        .join(digests, F.col("conv_id").eqNullSafe(F.col("_hashed")), "left")
+        .select(
+            "conv_id",
+            *[F.coalesce(c, F.lit(0)).alias(c) for c in counts],
+            F.coalesce("audit", F.lit("")).alias("audit"),
+            F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+        )
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_forest": op1_quality_forest,
@@ -115,6 +138,7 @@ def queries() -> dict[str, Query]:
         "op10_near_dedup": op10_near_dedup,
         "op11_personal_data": op11_personal_data,
         "op12_merkle_manifest": op12_merkle_manifest,
+        "op13_conversation_repair": op13_conversation_repair,
     }
 
 
@@ -147,4 +171,5 @@ def statements() -> dict[str, str]:
         "op4_substring_dedup": _SUBSTRING_SQL,
         "op11_personal_data": sql.PERSONAL_DATA,
         "op12_merkle_manifest": sql.MERKLE,
+        "op13_conversation_repair": sql.CONVERSATIONS,
     }

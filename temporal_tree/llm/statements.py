@@ -125,3 +125,74 @@ SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0)::BIGINT AS n_{k}" for k, _ in _KI
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM documents LEFT JOIN listed USING (doc_id)
 """
+
+# states: 0 nothing kept yet, 1 system, 2 user, 3 assistant
+CONVERSATIONS = rf"""
+WITH RECURSIVE inserted(state, middle, cost, edits, more) AS (
+  VALUES (0, 0, 0, '', []::VARCHAR[]), (0, 2, 5, 'I', ['user:']), (0, 3, 10, 'II', ['user:', 'assistant:']),
+         (1, 1, 0, '', []), (1, 2, 5, 'I', ['user:']), (1, 3, 10, 'II', ['user:', 'assistant:']),
+         (2, 2, 0, '', []), (2, 3, 5, 'I', ['assistant:']),
+         (3, 3, 0, '', []), (3, 2, 5, 'I', ['user:'])
+),
+become(middle, state, role) AS (VALUES (0, 1, 's'), (0, 2, 'u'), (1, 2, 'u'), (3, 2, 'u'), (2, 3, 'a')),
+filled AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS harm
+  FROM conversations
+),
+harmed AS (
+  SELECT conv_id, turn, CASE harm WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE harm WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE harm WHEN 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM filled WHERE harm <> 0
+),
+placed AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(strlen(role)::VARCHAR || ':' || role || text), copy) AS k
+  FROM harmed
+),
+faulty AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1
+                 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 THEN 2
+                 WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 3 ELSE 0 END AS fault,
+         coalesce(lag(role[1]) OVER (PARTITION BY conv_id ORDER BY k) || role[1] NOT IN ('su', 'ua', 'au'), false) AS illegal
+  FROM placed
+),
+ids AS (SELECT DISTINCT conv_id FROM conversations),
+ways AS (
+  SELECT conv_id, 0::BIGINT AS k, 0 AS state, {{'cost': 0, 'audit': '', 'left': []::VARCHAR[]}} AS best FROM ids
+  UNION ALL
+  SELECT conv_id, k, state, min(best) FROM (
+    SELECT r.conv_id, r.k, i.middle AS state,
+           {{'cost': w.best.cost + i.cost + 2, 'audit': w.best.audit || i.edits || 'D', 'left': w.best.left || i.more}} AS best
+    FROM ways w JOIN faulty r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.k = w.k + 1
+    JOIN inserted i ON i.state = w.state
+    UNION ALL
+    SELECT r.conv_id, r.k, b.state,
+           {{'cost': w.best.cost + i.cost + CASE WHEN b.role = r.role[1] THEN 0 ELSE 1 END + CASE r.fault WHEN 3 THEN 5 ELSE 0 END,
+             'audit': w.best.audit || i.edits || CASE WHEN b.role = r.role[1] THEN 'K' ELSE 'R' END,
+             'left': w.best.left || i.more
+               || [CASE WHEN b.role = r.role[1] THEN r.role WHEN b.role = 'u' THEN 'user' ELSE 'assistant' END || ':' || r.text]}}
+    FROM ways w JOIN faulty r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.k = w.k + 1
+    JOIN inserted i ON i.state = w.state JOIN become b ON b.middle = i.middle
+    WHERE r.fault IN (0, 3) AND (b.role <> 's' OR r.role[1] = 's')
+  ) GROUP BY conv_id, k, state
+),
+counted AS (
+  SELECT conv_id, max(k) AS k, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+         count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+         count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (illegal) AS illegal
+  FROM faulty GROUP BY conv_id
+),
+ended AS (
+  SELECT w.conv_id, min({{'cost': w.best.cost + i.cost, 'audit': w.best.audit || i.edits, 'left': w.best.left || i.more}}) AS best
+  FROM ways w JOIN counted c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.k = w.k
+  JOIN inserted i ON i.state = w.state AND i.middle IN (0, 3)
+  GROUP BY w.conv_id
+)
+SELECT d.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0)::BIGINT AS cost,
+       coalesce(best.audit, '') AS audit, sha256(coalesce(array_to_string(best.left, chr(10)), '')) AS repaired_sha256
+FROM ids d LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM d.conv_id
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM d.conv_id
+"""
