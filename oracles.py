@@ -361,13 +361,19 @@ _QUERIES = {
           effective_start_date > DATE '2099-12-31' OR effective_end_date > DATE '2099-12-31')""",
     ),
     "quality_hierarchy": (
-        _metrics(
+        _NEAREST
+        + " "
+        + _metrics(
             "walk",
             total_nodes="count(*)",
             max_depth="max(level_depth)",
             root_managers="count(*) FILTER (parent_account_id = root_account_id)",
-            cycles="count(*) FILTER (len(list_distinct(path)) < len(path))",
-            child_on_path="count(*) FILTER (list_contains(path, child_account_id))",
+        )
+        + " UNION ALL "
+        + _metrics(
+            """(SELECT 1 FROM edge e JOIN nearest n
+                ON n.root = e.child_account_id AND n.child = e.parent_account_id)""",
+            edges_on_cycles="count(*)",
         )
         + " UNION ALL "
         + _metrics(
@@ -440,6 +446,21 @@ _QUERIES = {
     "shortest_levels": f"""{_NEAREST}
        SELECT root AS root_account_id, child AS child_account_id,
               CAST(level AS INTEGER) AS shortest_level FROM nearest""",
+    "cycle_parts": f"""{_NEAREST}
+       SELECT a.root AS account_id, greatest(a.root, max(a.child)) AS part_id
+       FROM nearest a JOIN nearest b ON b.root = a.child AND b.child = a.root
+       GROUP BY a.root""",
+    "root_levels": """, root_level(account_id, level) USING KEY (account_id) AS (
+         SELECT DISTINCT parent_account_id, 0 FROM edge
+         WHERE parent_account_id NOT IN (SELECT child_account_id FROM edge)
+         UNION
+         SELECT e.child_account_id, min(r.level + 1)
+         FROM root_level r JOIN edge e ON e.parent_account_id = r.account_id
+         LEFT JOIN recurring.root_level k ON k.account_id = e.child_account_id
+         WHERE k.account_id IS NULL
+         GROUP BY e.child_account_id
+       )
+       SELECT account_id, CAST(level AS INTEGER) AS level FROM root_level""",
 }
 
 

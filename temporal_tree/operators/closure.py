@@ -38,8 +38,9 @@ def paths(
     *,
     scratch: Scratch | None = None,
     cell_rows: int = 1_000_000,
+    name: str = "paths",
 ) -> DataFrame:
-    """All acyclic paths of 1..max_depth edges, one row per path.
+    """All acyclic paths of 1..max_depth edges, one row per path. Tables written on the way are named `name`.
 
     `path` is the array of accounts from the root down. Flags on the edges (`flag_edges`) carry
     over, plus `root_is_partner`.
@@ -49,7 +50,7 @@ def paths(
     if method != "doubling":
         raise ValueError("method must be 'doubling' or 'cte'")
     scratch = scratch or Scratch(edges.sparkSession)
-    return _paths_by_doubling(edges, max_depth, scratch, cell_rows)
+    return _paths_by_doubling(edges, max_depth, scratch, cell_rows, name)
 
 
 def _single_edges(edges: DataFrame) -> DataFrame:
@@ -67,7 +68,7 @@ def _single_edges(edges: DataFrame) -> DataFrame:
 
 
 def _paths_by_doubling(
-    edges: DataFrame, max_depth: int, scratch: Scratch, cell_rows: int
+    edges: DataFrame, max_depth: int, scratch: Scratch, cell_rows: int, name: str
 ) -> DataFrame:
     """A path longer than k edges is, in exactly one way, a path of k edges followed by a shorter
     or equal one. With all paths up to k known, one join therefore gives all up to 2k: four
@@ -75,7 +76,7 @@ def _paths_by_doubling(
 
     def save(part: DataFrame, reach: int) -> tuple[DataFrame, int]:
         at_reach = F.coalesce(F.sum((F.col("level_depth") == reach).cast("long")), F.lit(0))
-        table, seen = scratch.save_measured(part, f"paths-to-{reach}", longest=at_reach)
+        table, seen = scratch.save_measured(part, f"{name}-to-{reach}", longest=at_reach)
         return table, seen["longest"]
 
     part, longest = save(_single_edges(edges), 1)
@@ -233,3 +234,37 @@ def shortest_levels(
         found, longest = save(farther, 2 * reach)
         known, reach = known.unionByName(found), 2 * reach
     return known
+
+
+def root_levels(edges: DataFrame, *, scratch: Scratch | None = None) -> DataFrame:
+    """`account_id`, `level`: the least number of edges from any root, an account without a parent, to each account
+    below one. Roots are at level 0; accounts that no root leads to, which takes a cycle, are left out.
+
+    A search from all roots at once: a round takes the edges of the accounts found last and keeps those of
+    their children that are not settled. All rounds together write a row per account and look up each
+    edge once, whatever the number of pairs or paths.
+    """
+    scratch = scratch or Scratch(edges.sparkSession)
+    pairs = edges.where("parent_account_id <> child_account_id").select("parent_account_id", "child_account_id")
+    children = pairs.select(F.col("child_account_id").alias("account_id"))
+    roots = pairs.select(F.col("parent_account_id").alias("account_id")).distinct().join(children, "account_id", "left_anti")
+
+    def save(accounts: DataFrame, level: int) -> tuple[DataFrame, int]:
+        table, seen = scratch.save_measured(
+            accounts.withColumn("level", F.lit(level)), f"level-{level}", n=F.count(F.lit(1))
+        )
+        return table, seen["n"]
+
+    found, n = save(roots, 0)
+    levels = [found]
+    while n:
+        settled = reduce(DataFrame.unionByName, levels).select("account_id")
+        below = (
+            pairs.join(found.select(F.col("account_id").alias("parent_account_id")), "parent_account_id", "left_semi")
+            .select(F.col("child_account_id").alias("account_id"))
+            .distinct()
+            .join(settled, "account_id", "left_anti")
+        )
+        found, n = save(below, len(levels))
+        levels.append(found)
+    return reduce(DataFrame.unionByName, levels)

@@ -5,23 +5,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from temporal_tree.operators import closure
+from temporal_tree.operators import closure, parts
 from temporal_tree.sources.scratch import Scratch
 
 
 def on_cycles(
     edges: DataFrame, *, scratch: Scratch | None = None, cell_rows: int = 1_000_000
 ) -> DataFrame:
-    """The edges that lie on a cycle, of any length, with the length of the shortest one. Those are
-    the edges whose parent can be reached from their child."""
-    levels = closure.shortest_levels(edges, scratch=scratch, cell_rows=cell_rows)
+    """The edges that lie on a cycle, of any length, with the length of the shortest one.
+
+    Those are the edges inside strongly connected parts (`parts.cycle_parts`, linear in accounts and edges).
+    Where a part is one ring its size is the length; only inside the others is it asked how far each
+    edge's child is from its parent.
+    """
+    scratch = scratch or Scratch(edges.sparkSession)
+    members = parts.cycle_parts(edges, scratch=scratch)
+    inside = scratch.save(parts.inside_parts(edges, members), "inside")
+    sizes = members.groupBy("part_id").agg(F.count(F.lit(1)).alias("accounts"))
+    rings = (
+        inside.groupBy("part_id")
+        .agg(F.count(F.lit(1)).alias("edges"))
+        .join(sizes, "part_id")
+        .where("edges = accounts")
+        .select("part_id", F.col("edges").cast("int").alias("shortest_cycle"))
+    )
+    rings = scratch.save(rings, "rings")
+    ends = ["parent_account_id", "child_account_id"]
+    on_rings = inside.join(rings, "part_id").select(*ends, "shortest_cycle")
+    knotted = inside.join(rings, "part_id", "left_anti").select(*ends)
+    levels = closure.shortest_levels(knotted, scratch=scratch, cell_rows=cell_rows)
     back = levels.select(
         F.col("child_account_id").alias("parent_account_id"),
         F.col("root_account_id").alias("child_account_id"),
         (F.col("shortest_level") + 1).alias("shortest_cycle"),
     )
-    ends = ["parent_account_id", "child_account_id"]
-    return edges.select(*ends).distinct().join(back, ends)
+    return on_rings.unionByName(knotted.join(back, ends).select(*ends, "shortest_cycle"))
 
 
 def cycles(

@@ -45,69 +45,47 @@ def mappings(clean: DataFrame) -> DataFrame:
     )
 
 
-def hierarchy(nodes: DataFrame, edges: DataFrame, max_depth: int = 12) -> DataFrame:
-    """Size, depth, roots, paths that repeat an account (`cycles`), rows whose path names the
-    child (`child_on_path`: all of them, since every path ends in it) and the paths that the depth
-    limit leaves out (`beyond_max_depth`: those one edge longer). Edges must be distinct."""
+def hierarchy(counts: DataFrame, on_cycles: DataFrame, max_depth: int = 12) -> DataFrame:
+    """Size, depth and roots of the hierarchy, edges on cycles, and the paths that the depth limit leaves out
+    (`beyond_max_depth`: those one edge longer), from counts of paths (`parts.path_counts`) and the
+    edges inside strongly connected parts: no path is made."""
+    within = F.col("level_depth") <= max_depth
     shape = _report(
-        nodes,
+        counts,
         {
-            "total_nodes": F.count(F.lit(1)),
-            "max_depth": F.max("level_depth"),
-            "root_managers": F.count_if(F.col("parent_account_id") == F.col("root_account_id")),
-            "cycles": F.count_if(F.size(F.array_distinct("path")) < F.size("path")),
-            "child_on_path": F.count_if(F.array_contains("path", F.col("child_account_id"))),
+            "total_nodes": F.sum(F.when(within, F.col("paths"))),
+            "max_depth": F.max(F.when(within, F.col("level_depth"))),
+            # a path repeats no account, so its last parent is its root at level 1 only
+            "root_managers": F.sum(F.when(F.col("level_depth") == 1, F.col("paths"))),
+            "beyond_max_depth": F.sum(F.when(~within, F.col("paths"))),
         },
     )
-    return shape.unionByName(
-        _report(_beyond(nodes, edges, max_depth), {"beyond_max_depth": F.sum("n")})
-    )
-
+    return shape.unionByName(_report(on_cycles, {"edges_on_cycles": F.count(F.lit(1))}))
 
-def _beyond(nodes: DataFrame, edges: DataFrame, max_depth: int) -> DataFrame:
-    """Terms whose sum is the number of paths one edge longer than the limit.
 
-    Every path at the limit can go on over each edge of its end, except to accounts it already
-    holds. Both are counted per account or per pair of accounts before they are joined, so that an
-    account with many paths and many edges is a product of two numbers, not of their rows.
-    """
-    deepest = nodes.where(F.col("level_depth") == max_depth)
-    n = F.count(F.lit(1))
-    onward = edges.groupBy(F.col("parent_account_id").alias("end")).agg(n.alias("edges"))
-    going_on = (
-        deepest.groupBy(F.col("child_account_id").alias("end"))
-        .agg(n.alias("paths"))
-        .join(onward, "end")
-        .select((F.col("paths") * F.col("edges")).alias("n"))
-    )
-    going_back = (
-        deepest.select(F.col("child_account_id").alias("end"), F.explode("path").alias("next"))
-        .groupBy("end", "next")
-        .agg(n.alias("paths"))
-        .join(
-            edges.select(
-                F.col("parent_account_id").alias("end"), F.col("child_account_id").alias("next")
-            ),
-            ["end", "next"],
-        )
-        .select((-F.col("paths")).alias("n"))
+def levels(counts: DataFrame, max_depth: int = 12) -> DataFrame:
+    """Paths per level, from counts: how fast the closure would grow."""
+    return (
+        counts.where(F.col("level_depth") <= max_depth)
+        .groupBy("level_depth")
+        .agg(F.sum("paths").cast("long").alias("path_count"))
     )
-    return going_on.unionByName(going_back)
-
 
-def levels(nodes: DataFrame) -> DataFrame:
-    """Rows per level: how fast the closure grows."""
-    return nodes.groupBy("level_depth").agg(F.count(F.lit(1)).alias("path_count"))
 
-
-def segments(hierarchy: DataFrame, managed: DataFrame, mappings: DataFrame) -> DataFrame:
+def segments(
+    counts: DataFrame, managed: DataFrame, mappings: DataFrame, max_depth: int = 12
+) -> DataFrame:
     """Segments (`total_segments`), pairs of parent and entity with more than one, and mappings' groups of
     manager, entity and marketplace of which two date ranges overlap.
 
     A segment is a path in a period of a span of its parent (`temporal.managed_spans`), so segments are
     counted as products of paths per parent and periods per parent and entity, without making them.
     """
-    paths = hierarchy.groupBy("parent_account_id").agg(F.count(F.lit(1)).alias("paths"))
+    paths = (
+        counts.where(F.col("level_depth") <= max_depth)
+        .groupBy("parent_account_id")
+        .agg(F.sum("paths").cast("decimal(38,0)").alias("paths"))
+    )
     counts = (
         managed.groupBy("parent_account_id", "entity_id")
         .agg(F.sum((F.col("hi") - F.col("lo") + 1).cast("long")).alias("periods"))

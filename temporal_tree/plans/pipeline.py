@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from temporal_tree.functions import trace
-from temporal_tree.operators import closure, extract, normalize, quality, star, temporal
+from temporal_tree.operators import closure, extract, normalize, parts, quality, star, temporal
 from temporal_tree.options import PipelineOptions
 from temporal_tree.sources.raw import RawInputs
 from temporal_tree.sources.scratch import Scratch
@@ -261,6 +261,28 @@ class Result:
         """Every path with its flags. The collapsed fact does not depend on it."""
         return hierarchy_stage(self.normalized, self.run)
 
+    @cached_property
+    def cycle_parts(self) -> DataFrame:
+        """Accounts on cycles by strongly connected part."""
+        return parts.cycle_parts(self.normalized.edges, scratch=self.run.scratch)
+
+    @cached_property
+    def edges_on_cycles(self) -> DataFrame:
+        return parts.inside_parts(self.normalized.edges, self.cycle_parts)
+
+    @cached_property
+    def path_counts(self) -> DataFrame:
+        """How many paths the hierarchy has per parent and level, without the hierarchy."""
+        options = self.run.options
+        counts = parts.path_counts(
+            self.normalized.edges,
+            options.max_depth,
+            members=self.cycle_parts,
+            scratch=self.run.scratch,
+            cell_rows=options.cell_rows,
+        )
+        return self.run.keep(counts, "path-counts")
+
     @cached_property
     def temporal(self) -> Temporal:
         return Temporal(self.normalized, lambda: self.hierarchy, self.run)
@@ -309,17 +331,20 @@ def _raw_edges(result: Result) -> DataFrame:
 
 
 def _check_segments(result: Result) -> DataFrame:
+    first_level = result.normalized.edges.withColumn("level_depth", F.lit(1))
     managed = temporal.managed_spans(
-        result.hierarchy, result.normalized.mappings, result.temporal.calendar
+        first_level, result.normalized.mappings, result.temporal.calendar
+    )
+    return quality.segments(
+        result.path_counts, managed, result.normalized.mappings, result.run.options.max_depth
     )
-    return quality.segments(result.hierarchy, managed, result.normalized.mappings)
 
 
 _CHECKS = {
     "relationships": lambda r: quality.relationships(_raw_edges(r), r.normalized.edges),
     "mappings": lambda r: quality.mappings(r.normalized.mappings),
     "hierarchy": lambda r: quality.hierarchy(
-        r.hierarchy, r.normalized.edges, r.run.options.max_depth
+        r.path_counts, r.edges_on_cycles, r.run.options.max_depth
     ),
     "segments": _check_segments,
     "fact": lambda r: quality.fact(r.star.fact),

@@ -75,7 +75,7 @@ def test_stages_of_the_default_run(spark):
         "total_segments": 30, "accounts_with_multiple_segments": 5, "overlapping_groups": 0,
     }
     assert checks["hierarchy"] == {
-        "total_nodes": 5, "max_depth": 2, "root_managers": 4, "cycles": 0, "child_on_path": 5,
+        "total_nodes": 5, "max_depth": 2, "root_managers": 4, "edges_on_cycles": 0,
         "beyond_max_depth": 0,
     }
     assert checks["fact"]["total_records"] == 14 and checks["fact"]["duplicates"] == 0

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from datetime import date, datetime, timedelta
 from pathlib import Path
 
@@ -9,9 +10,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from model import ordered, rows
-from temporal_tree import PipelineOptions, RawInputs, run
+from temporal_tree import PipelineOptions, RawInputs, Scratch, run
 from temporal_tree.fixtures import raw_from_star, sample_raw
-from temporal_tree.operators import closure, extract, graph, normalize, quality, star, temporal
+from temporal_tree.operators import closure, extract, graph, normalize, parts, quality, star, temporal
 from temporal_tree.operators.joins import grid_join
 from temporal_tree.operators.numbering import dense_keys
 from temporal_tree.schemas import (
@@ -185,9 +186,9 @@ def test_cycle_and_diamond(spark, form):
 
 def test_depth_limit(spark):
     chain = edges_of(spark, *[(f"L{i:02}", f"L{i + 1:02}") for i in range(20)])
-    levels = quality.levels(closure.paths(chain))
-    assert rows(levels) == [(level, 21 - level) for level in range(1, 13)]
-    report = dict(rows(quality.hierarchy(closure.paths(chain), chain)))
+    counts = parts.path_counts(chain, 12)
+    assert rows(quality.levels(counts)) == [(level, 21 - level) for level in range(1, 13)]
+    report = dict(rows(quality.hierarchy(counts, chain.limit(0))))
     assert report["max_depth"] == 12 and report["beyond_max_depth"] == 8
 
 
@@ -195,12 +196,85 @@ def test_paths_beyond_the_limit(spark):
     edges = edges_of(
         spark, ("A", "B"), ("B", "C"), ("C", "A"), ("C", "D"), ("D", "B"), ("D", "E"), ("X", "C")
     )
-    for depth in (1, 2, 3):
-        report = dict(rows(quality.hierarchy(closure.paths(edges, depth), edges, depth)))
+    for depth in (1, 3):
+        report = dict(rows(quality.hierarchy(parts.path_counts(edges, depth), edges, depth)))
         deeper = closure.paths(edges, depth + 1).where(F.col("level_depth") == depth + 1)
         assert report["beyond_max_depth"] == deeper.count() > 0
 
 
+def random_pairs(seed, n, m):
+    rng = random.Random(seed)
+    return {(f"v{rng.randrange(n):02}", f"v{rng.randrange(n):02}") for _ in range(m)}
+
+
+def parts_of(pairs):
+    """Strongly connected parts of two accounts or more, from who reaches whom."""
+    accounts = {v for pair in pairs for v in pair}
+    reach = {v: {b for a, b in pairs if a == v} for v in accounts}
+    for k in accounts:
+        for v in accounts:
+            if k in reach[v]:
+                reach[v] |= reach[k]
+    with_ = {v: {w for w in reach[v] if v in reach[w]} - {v} for v in accounts}
+    return sorted((v, max(ws | {v})) for v, ws in with_.items() if ws)
+
+
+@pytest.mark.parametrize("seed, n, m", [(2, 40, 60)])
+def test_cycle_parts_and_path_counts(spark, seed, n, m):
+    pairs = random_pairs(seed, n, m)
+    edges = edges_of(spark, *pairs)
+    assert rows(parts.cycle_parts(edges)) == parts_of(pairs)
+    clean = edges.where("parent_account_id <> child_account_id")
+    counted = {tuple(r) for r in parts.path_counts(clean, 3).select("parent_account_id", "level_depth", F.col("paths").cast("long")).collect()}
+    listed = closure.paths(clean, 4).groupBy("parent_account_id", "level_depth").count()
+    assert {r for r in counted if r[2]} == {tuple(r) for r in listed.collect()}
+
+
+def test_parts_that_hang_together(spark):
+    """Rings of all sizes, in each other's way, on long stems, and knotted."""
+    pairs = ring("r", 2) + ring("s", 17) + ring("t", 5) + [("r01", "s03"), ("s09", "t00"), ("t02", "end"), ("x", "r00")]
+    pairs += ring("k", 6) + [("k00", "k03"), ("k04", "k01"), ("s00", "k00"), ("q", "q")] + ring("alone", 9)
+    assert rows(parts.cycle_parts(edges_of(spark, *pairs))) == parts_of(pairs)
+
+
+class Counted(Scratch):
+    """Scratch tables whose rows are counted while they are written."""
+
+    @property
+    def rows(self):
+        return self.spark.read.option("recursiveFileLookup", "true").schema("_none int").parquet(self.path).count()
+
+
+def test_long_graphs_without_cycles_write_linear_rows(spark):
+    n = 3_000
+    chain = spark.range(n).selectExpr("format_string('a%06d', id) AS parent_account_id", "format_string('a%06d', id + 1) AS child_account_id")
+    other = chain.select(*(F.regexp_replace(c, "a", "b").alias(c) for c in chain.columns))
+    rungs = chain.selectExpr("parent_account_id", "replace(parent_account_id, 'a', 'b') AS child_account_id")
+    for edges, m in ((chain, n), (chain.unionByName(other).unionByName(rungs), 3 * n)):
+        scratch = Counted(spark)
+        assert graph.on_cycles(edges, scratch=scratch).count() == 0
+        assert scratch.rows < 12 * m
+    ring_ = chain.unionByName(spark.createDataFrame([(f"a{n:06}", "a000000")], chain.schema))
+    assert graph.on_cycles(ring_).agg(F.count("*"), F.min("shortest_cycle"), F.max("shortest_cycle")).first()[:] == (n + 1,) * 3
+
+
+def test_root_levels(spark):
+    pairs = [("A", "B"), ("B", "C"), ("A", "C"), ("C", "D"), ("R", "D"), ("D", "C"), ("x", "y"), ("y", "x"), ("z", "z")]
+    scratch = Counted(spark)
+    levels = closure.root_levels(edges_of(spark, *pairs), scratch=scratch)
+    assert rows(levels) == [("A", 0), ("B", 1), ("C", 1), ("D", 1), ("R", 0)]
+    assert scratch.rows == 5
+
+
+def test_checks_make_no_paths(spark, tmp_path):
+    result = run(raw_from_star(spark, "/root/testdata/sf0.001"), PipelineOptions())
+    with result:
+        for report in result.checks.values():
+            report.collect()
+        written = [p.name for p in Path(result.run.scratch.path.removeprefix("file:")).iterdir()]
+    assert written and not [name for name in written if "paths-to-" in name]
+
+
 def test_ids_with_wildcards_and_separators(spark):
     odd = edges_of(spark, ("X", "MA_1"), ("MA_1", "MA-1"), ("MA-1", "a/MA_1"))
     assert "X/MA_1/MA-1/a/MA_1" in names(closure.paths(odd))
@@ -546,7 +620,7 @@ def test_quality_counts_dirty_rows(spark):
         "parent_account_id string, entity_id string, lo int, hi int",
     )
     nodes = edges_of(spark, ("m", "x"), ("m", "y"), ("n", "z"))
-    assert dict(rows(quality.segments(nodes, managed, mapped))) == {
+    assert dict(rows(quality.segments(parts.path_counts(nodes, 12), managed, mapped))) == {
         "total_segments": 2 * 2 + 2 + 1 + 2, "accounts_with_multiple_segments": 3, "overlapping_groups": 1,
     }
     nothing = facts.where(F.lit(False))
