@@ -12,14 +12,14 @@ brings all equal windows together.
    are sent once: a passage in a third of all documents costs a row per batch, not per document.
 4. A shard decides which windows are repeated; the method is the caller's.
 
-An anchor with over `hot` documents would still bring all its different surroundings to one shard.
-Its windows are divided by the text on the side of the anchor that they cover more of, which is
-again the same for equal windows, so the group is split without separating equal windows.
+An anchor with over `hot` documents would still bring all its different surroundings to one shard. Its
+windows go another way, one by one: the earliest place of each is a grouped minimum of 128-bit hashes,
+combined in map tasks, so that no task ever gets what such an anchor has gathered.
 """
 
 from __future__ import annotations
 
-import zlib
+import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -48,8 +48,9 @@ _SPAN_ROWS = pa.schema(_SEGMENT_ROWS.field(n) for n in ("doc_id", "starts", "end
 # live anchors per shard: some megabytes of segments
 _ANCHORS_PER_SHARD = 40_000
 # most bytes of text that are handled at once; where equal segments are sent once, some more
-_SLICE_BYTES = 2 << 20
-_SEGMENT_BYTES = 4 << 20
+_SLICE_BYTES = 1 << 20
+# most bytes of different segments that wait for equal ones
+_SEGMENT_BYTES = 8 << 20
 
 # documents, starts of segments and their contents in order -> (row, start, end) of repeated text,
 # counted in units from the segment's start
@@ -81,7 +82,7 @@ class Flat:
         chosen = anchors(self.values, w.size - w.k + 1)
         row = np.repeat(np.arange(len(first) - 1, dtype=np.int32), np.diff(first))
         inside = row[: len(chosen)] == row[w.size - 1 :][: len(chosen)] if len(chosen) else np.zeros(0, bool)
-        at = np.flatnonzero(inside)
+        at = np.flatnonzero(inside).astype(np.int32)
         chosen, row = chosen[at], row[at]
         # a run: neighbouring windows of one document with one anchor
         head = np.ones(len(at), bool)
@@ -154,9 +155,9 @@ def _anchor_rows(windows: Windows):
     return emit
 
 
-def live_anchors(texts: DataFrame, windows: Windows, scratch: Scratch) -> tuple[DataFrame, int]:
+def live_anchors(texts: DataFrame, windows: Windows, scratch: Scratch) -> tuple[DataFrame, int, int]:
     """Per document with any the anchors that occur elsewhere (times two, plus one if hot), and how
-    many there are."""
+    many there are, and how many of them are hot."""
     found = scratch.save(
         texts.mapInArrow(_anchor_rows(windows), "anchor long, doc_id long, twice boolean"), "anchors"
     )
@@ -170,88 +171,118 @@ def live_anchors(texts: DataFrame, windows: Windows, scratch: Scratch) -> tuple[
         found.join(live, "anchor").groupBy("doc_id").agg(F.collect_list("mark").alias("marks")),
         "live",
         total=F.sum(F.size("marks")),
+        hot=F.sum(F.size(F.filter("marks", lambda mark: mark % 2 != 0))),
     )
-    return marks, measured["total"] or 0
+    return marks, measured["total"] or 0, measured["hot"] or 0
 
 
-def _segment_rows(windows: Windows):
-    size = windows.size
-    left = (size - windows.k) // 2
-    right = size - windows.k - left + 1
+class _Sent:
+    """Pieces of text to send, equal ones once: documents come in order of their ids, so what was met before
+    is repeated, or stands in the same document."""
 
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in slices(whole, _SEGMENT_BYTES):
-                yield from segments(batch)
+    def __init__(self, windows: Windows):
+        self._windows = windows
+        self._first: dict[bytes, list] = {}  # content -> key, document, starts
+        self._again: dict[int, tuple[list, list]] = {}  # document -> starts, ends
+        self._bytes = 0
+
+    def put(self, key: int, doc: int, content: bytes, start: int, end: int) -> None:
+        seen = self._first.get(content)
+        if seen is None:
+            self._first[content] = [key, doc, [start]]
+            self._bytes += len(content) + 200
+        elif seen[1] == doc and not self._windows.same_document:
+            seen[2].append(start)
+        else:
+            spans = self._again.setdefault(doc, ([], []))
+            spans[0].append(start)
+            spans[1].append(end)
 
-    def segments(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        batch = batch.take(pc.sort_indices(batch.column("doc_id")))
-        ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-        marks = np.unique(batch.column("marks").flatten().to_numpy(zero_copy_only=False))
-        live, hot = marks >> 1, set((marks[(marks & 1) == 1] >> 1).tolist())
-        flat = windows.flat(*text_bytes(batch.column("text")))
-        spot = np.searchsorted(live, flat.run_anchor)
-        spot[spot == len(live)] = 0
-        chosen = np.flatnonzero(live[spot] == flat.run_anchor) if len(live) else np.zeros(0, int)
-        first: dict[bytes, list] = {}  # content -> key, row, starts
-        again: dict[int, tuple[list, list]] = {}  # row -> starts, ends
-
-        def put(key: int, row: int, start: int, windows_: int) -> None:
-            end = start + windows_ - 1 + size
-            content = flat.content(start, end)
-            at = start - int(flat.first[row])
-            seen = first.get(content)
-            if seen is None:
-                first[content] = [key, row, [at]]
-            elif seen[1] == row and not windows.same_document:
-                seen[2].append(at)
-            else:
-                spans = again.setdefault(row, ([], []))
-                spans[0].append(at)
-                spans[1].append(at + end - start)
-
-        for row, start, n, place, anchor in zip(
-            flat.run_row[chosen].tolist(), flat.run_start[chosen].tolist(), flat.run_windows[chosen].tolist(),
-            flat.run_place[chosen].tolist(), flat.run_anchor[chosen].tolist(), strict=True,
-        ):
-            if anchor not in hot:
-                put(anchor, row, start, n)
-                continue
-            # windows that begin `left` units before the anchor or earlier, then the others
-            early = min(n, max(0, place - left - start + 1))
-            if early:
-                put(_sub(anchor, flat.content(place - left, place), 1), row, start, early)
-            if early < n:
-                after = place + windows.k
-                put(_sub(anchor, flat.content(after, after + right), 2), row, start + early, n - early)
+    @property
+    def full(self) -> bool:
+        return self._bytes > _SEGMENT_BYTES
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        first, again = self._first, self._again
+        ids = np.array(list(again), np.int64)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([x[0] for x in first.values()], pa.int64()),
-                pa.array([int(ids[x[1]]) for x in first.values()], pa.int64()),
+                pa.array([x[1] for x in first.values()], pa.int64()),
                 pa.array([x[2] for x in first.values()], pa.list_(pa.int32())),
                 pa.nulls(len(first), pa.list_(pa.int32())),
                 pa.array(first.keys(), pa.binary()),
             ],
             schema=_SEGMENT_ROWS,
         )
-        rows = list(again)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(mix(ids[rows].astype(np.uint64)).astype(np.int64) if rows else [], pa.int64()),
-                pa.array(ids[rows] if rows else [], pa.int64()),
-                pa.array([again[r][0] for r in rows], pa.list_(pa.int32())),
-                pa.array([again[r][1] for r in rows], pa.list_(pa.int32())),
-                pa.nulls(len(rows), pa.binary()),
+                pa.array(mix(ids.astype(np.uint64)).astype(np.int64), pa.int64()),
+                pa.array(ids, pa.int64()),
+                pa.array([x[0] for x in again.values()], pa.list_(pa.int32())),
+                pa.array([x[1] for x in again.values()], pa.list_(pa.int32())),
+                pa.nulls(len(again), pa.binary()),
             ],
             schema=_SEGMENT_ROWS,
         )
+        self.__init__(self._windows)
+
+
+def _live_rows(windows: Windows, hot: bool):
+    """Segments of live anchors that are not hot, or the single windows of those that are."""
+    size = windows.size
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            sent = _Sent(windows)
+            for batch in slices(whole.take(pc.sort_indices(whole.column("doc_id")))):
+                collect(batch, sent)
+                if sent.full:
+                    yield from sent.rows()
+            yield from sent.rows()
+
+    def collect(batch: pa.RecordBatch, sent: _Sent) -> None:
+        ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+        marks = np.unique(batch.column("marks").flatten().to_numpy(zero_copy_only=False))
+        live = marks[(marks & 1) == hot] >> 1
+        if not len(live):
+            return
+        flat = windows.flat(*text_bytes(batch.column("text")))
+        spot = np.searchsorted(live, flat.run_anchor)
+        spot[spot == len(live)] = 0
+        chosen = np.flatnonzero(live[spot] == flat.run_anchor)
+        runs = zip(
+            flat.run_row[chosen].tolist(), flat.run_start[chosen].tolist(), flat.run_windows[chosen].tolist(),
+            flat.run_anchor[chosen].tolist(), strict=True,
+        )
+        for row, start, n, anchor in runs:
+            doc, at = int(ids[row]), start - int(flat.first[row])
+            if not hot:
+                sent.put(anchor, doc, flat.content(start, start + n - 1 + size), at, at + n - 1 + size)
+                continue
+            for i in range(n):
+                digest = hashlib.blake2b(flat.content(start + i, start + i + size), digest_size=16).digest()
+                sent.put(0, doc, digest, at + i, at + i + size)
 
     return emit
 
 
-def _sub(anchor: int, side: bytes, which: int) -> int:
-    word = np.array([anchor * 4 + which], np.int64).astype(np.uint64) ^ np.uint64(zlib.crc32(side) << 20)
-    return int(mix(word).astype(np.int64)[0])
+def _hot_spans(texts: DataFrame, marks: DataFrame, windows: Windows, scratch: Scratch) -> DataFrame:
+    """Repeated windows of hot anchors: all but the earliest place of each."""
+    hot = marks.where(F.exists("marks", lambda mark: mark % 2 != 0))
+    found = scratch.save(
+        texts.join(hot, "doc_id").select("doc_id", "text", "marks").mapInArrow(_live_rows(windows, hot=True), _SEGMENTS),
+        "hot-windows",
+    )
+    place = F.struct(F.col("doc_id"), F.col("starts")[0])
+    single = found.where("content is not null").withColumn("place", place)
+    earliest = (
+        single.groupBy("content").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    )
+    later = F.col("place") > F.col("first") if windows.same_document else F.col("doc_id") > F.col("first.doc_id")
+    ends = F.transform("starts", lambda start: start + windows.size)
+    repeated = single.join(earliest, "content").where(later).select("doc_id", "starts", ends.alias("ends"))
+    return repeated.unionByName(found.where("content is null").select("doc_id", "starts", "ends"))
 
 
 def _shard_rows(decide: Decide):
@@ -281,13 +312,19 @@ def _shard_rows(decide: Decide):
     return run
 
 
+def live_segments(texts: DataFrame, marks: DataFrame, windows: Windows) -> DataFrame:
+    """Segments of the live anchors that are not hot, by `key`, their anchor; and what a batch repeats itself."""
+    return texts.join(marks, "doc_id").select("doc_id", "text", "marks").mapInArrow(_live_rows(windows, hot=False), _SEGMENTS)
+
+
 def repeated_spans(texts: DataFrame, windows: Windows, decide: Decide, scratch: Scratch) -> DataFrame:
     """`doc_id`, `spans` (array of start, end in units; they may overlap) of the repeated text, for
     documents that have any. `texts` is exchanged by `doc_id`; joins that follow can use that."""
-    marks, total = live_anchors(texts, windows, scratch)
+    marks, total, hot = live_anchors(texts, windows, scratch)
     shards = max(partitions(texts.sparkSession), -(-total // _ANCHORS_PER_SHARD))
-    segments = texts.join(marks, "doc_id").select("doc_id", "text", "marks").mapInArrow(_segment_rows(windows), _SEGMENTS)
-    spans = segments.repartition(shards, "key").mapInArrow(_shard_rows(decide), _SPANS)
+    spans = live_segments(texts, marks, windows).repartition(shards, "key").mapInArrow(_shard_rows(decide), _SPANS)
+    if hot:
+        spans = spans.unionByName(_hot_spans(texts, marks, windows, scratch))
     return (
         spans.select("doc_id", F.arrays_zip("starts", "ends").alias("spans"))
         .groupBy("doc_id")

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from temporal_tree.operators.numbering import number_in_place
 from temporal_tree.sources.scratch import Scratch
 
 
@@ -23,9 +26,44 @@ def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return texts.groupBy("doc_id").agg(F.min("text").alias("text"))
 
 
+_collecting: list[list[Scratch]] = []
+
+
 def tables(spark) -> Scratch:
     """A folder for the intermediate tables of one call, below the session's checkpoint folder."""
-    return Scratch(spark)
+    scratch = Scratch(spark)
+    for made in _collecting:
+        made.append(scratch)
+    return scratch
+
+
+@contextmanager
+def dropped_at_end():
+    """Deletes all folders of `tables` made inside the block, so what depends on them must be written by then."""
+    _collecting.append([])
+    try:
+        yield
+    finally:
+        for scratch in _collecting.pop():
+            scratch.drop()
+
+
+def row_keys(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, str]:
+    """`docs` with a column, named by the second value, that tells all rows apart and is in order of `doc_id`.
+
+    That is the id itself where ids are unique and known, which one narrow count tells. Else rows are numbered
+    in order of id, unknown ones last, and text, so that rows without an id and rows that repeat one are
+    documents of their own.
+    """
+    name = "_row"
+    while name in docs.columns:
+        name += "_"
+    if docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").isEmpty():
+        return docs.withColumn(name, F.col("doc_id").cast("long")), name
+    whole = docs.select(F.struct(*docs.columns).alias("doc")).withColumn("copy", F.monotonically_increasing_id())
+    order = [F.col("doc.doc_id").asc_nulls_last(), F.col("doc.text"), F.col("copy")]
+    numbered = number_in_place(whole.repartitionByRange(*order).sortWithinPartitions(*order), "place", scratch)
+    return numbered.select("doc.*", F.col("place").alias(name)), name
 
 
 def partitions(spark) -> int:

@@ -8,6 +8,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from temporal_tree.llm.anchored import Windows, merged, repeated_spans
 from temporal_tree.llm.documents import tables, texts_of
@@ -372,3 +374,31 @@ def suffix_dedup(docs: DataFrame, *, size: int = 100, as_text: bool = False) ->
     return texts.join(spans, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(
         _remove(as_text), _OUT + ("kept_text string" if as_text else "kept binary")
     )
+
+
+def without_repeats(docs: DataFrame, key: str, *, size: int = 100) -> DataFrame:
+    """`docs` with all columns and every string of `size` bytes only where it begins first, in order of the column
+    `key` (long, unique). `text` loses the bytes and what is left of a cut character, `n_chars` is counted
+    again; a null text stays null. Text is exchanged once, the other columns join it by their key."""
+    texts = docs.select(F.col(key).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    windows = Windows("byte", size, k=max(1, size // 4), same_document=True)
+    spans = repeated_spans(texts, windows, suffix_spans(size), tables(docs.sparkSession))
+    others = docs.select(
+        F.col(key).alias("doc_id"),
+        F.struct(*[c for c in docs.columns if c not in (key, "text")]).alias("others"),
+        F.col("text").isNull().alias("unknown"),
+    )
+    schema = StructType([StructField("text", StringType()), others.schema["others"], others.schema["unknown"]])
+    cut = texts.join(spans, "doc_id", "left").join(others, "doc_id").mapInArrow(_cut_rows, schema)
+    own = {c: F.col("others")[c] for c in docs.columns if c not in (key, "text")}
+    own["text"] = F.when(~F.col("unknown"), F.col("text"))
+    if "n_chars" in own:
+        own["n_chars"] = F.when(F.col("unknown"), own["n_chars"]).otherwise(F.length("text").cast("long"))
+    return cut.select(*[own[c].alias(c) for c in docs.columns if c != key])
+
+
+def _cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        kept = _kept(batch, as_text=True).column("kept_text")
+        columns = [kept, batch.column("others"), batch.column("unknown")]
+        yield pa.RecordBatch.from_arrays(columns, ["text", "others", "unknown"])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -308,6 +309,13 @@ class Search:
                 best, where = length, start
         return best / n, where
 
+    def without(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The rows that hold no item, with all their columns."""
+        for whole in batches:
+            for batch in slices(whole):
+                found = self.matches(*words_in(batch.column("text")))
+                yield batch.filter(pa.array([row not in found for row in range(len(batch))], pa.bool_()))
+
     def rows(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole):
@@ -326,6 +334,53 @@ class Search:
                 )
 
 
+def _searches(
+    texts: DataFrame, benchmark: DataFrame, dimensions: int, least_cosine: float, copied: float, paraphrased: float
+) -> list[Search]:
+    """A search for each block of benchmark items, by words and passages of `texts`."""
+    scratch = tables(texts.sparkSession)
+    items = scratch.save(
+        benchmark.select(benchmark["item_id"].cast("long").alias("item_id"), F.coalesce(benchmark["text"], F.lit("")).alias("text"))
+        .where("item_id is not null").dropDuplicates(),
+        "items",
+    )
+    blocks = max(1, -(-items.count() // _ITEMS))
+    counts = _summed(texts.mapInArrow(_frequencies, "part int, data binary"), (_BUCKETS + _PART, 1), np.int64)
+    total = max(1, int(counts[_BUCKETS, 0]))
+    frequency = counts[:_BUCKETS, 0]
+    weight = word_weights(frequency, total)
+    out: list[Search] = []
+    for k in range(blocks):
+        some = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text").toPandas()
+        _, hashes = words_in(pa.array(some["text"].tolist(), pa.string()))
+        vocabulary = Vocabulary(weight, np.unique(hashes))
+        size = (len(vocabulary.items), dimensions + 8)
+        probe = np.random.default_rng(k).standard_normal(size, dtype=np.float32)
+        image = _summed(texts.mapInArrow(_range_rows(vocabulary, probe), "part int, data binary"), size, np.float32) if size[0] else probe
+        own = np.zeros_like(probe)
+        _add_image(own, pa.array(some["text"].tolist(), pa.string()), vocabulary, probe)
+        basis = _basis(image, own, dimensions)
+        out.append(Search(some["item_id"].tolist(), some["text"].tolist(), vocabulary, np.ascontiguousarray(basis), least_cosine, copied, paraphrased))
+    return out
+
+
+def without_contaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    *,
+    dimensions: int = 128,
+    least_cosine: float = 0.5,
+    copied: float = 0.75,
+    paraphrased: float = 0.6,
+) -> DataFrame:
+    """The rows of `docs` that `decontaminate` would not call contaminated, with all their columns: rows are judged
+    one by one, whatever their ids, and pass through the search instead of being joined with its result."""
+    texts = docs.select(F.lit(0).cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    for search in _searches(texts, benchmark, dimensions, least_cosine, copied, paraphrased):
+        docs = docs.mapInArrow(search.without, docs.schema)
+    return docs
+
+
 def decontaminate(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -359,33 +414,10 @@ def decontaminate(
     `texts_of`); other columns are ignored. An empty table gives an empty result, an empty benchmark
     one without contaminated documents.
     """
-    scratch = tables(docs.sparkSession)
     texts = texts_of(docs)
-    items = scratch.save(
-        benchmark.select(benchmark["item_id"].cast("long").alias("item_id"), F.coalesce(benchmark["text"], F.lit("")).alias("text"))
-        .where("item_id is not null").dropDuplicates(),
-        "items",
-    )
-    blocks = max(1, -(-items.count() // _ITEMS))
-    counts = _summed(texts.mapInArrow(_frequencies, "part int, data binary"), (_BUCKETS + _PART, 1), np.int64)
-    total = max(1, int(counts[_BUCKETS, 0]))
-    frequency = counts[:_BUCKETS, 0]
-    weight = word_weights(frequency, total)
-    out = None
-    for k in range(blocks):
-        some = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text").toPandas()
-        _, hashes = words_in(pa.array(some["text"].tolist(), pa.string()))
-        vocabulary = Vocabulary(weight, np.unique(hashes))
-        size = (len(vocabulary.items), dimensions + 8)
-        probe = np.random.default_rng(k).standard_normal(size, dtype=np.float32)
-        image = _summed(texts.mapInArrow(_range_rows(vocabulary, probe), "part int, data binary"), size, np.float32) if size[0] else probe
-        own = np.zeros_like(probe)
-        _add_image(own, pa.array(some["text"].tolist(), pa.string()), vocabulary, probe)
-        basis = _basis(image, own, dimensions)
-        search = Search(some["item_id"].tolist(), some["text"].tolist(), vocabulary, np.ascontiguousarray(basis), least_cosine, copied, paraphrased)
-        found = texts.mapInArrow(search.rows, _OUT)
-        out = found if out is None else out.unionByName(found)
-    if blocks == 1:
+    searches = _searches(texts, benchmark, dimensions, least_cosine, copied, paraphrased)
+    out = reduce(DataFrame.unionByName, [texts.mapInArrow(search.rows, _OUT) for search in searches])
+    if len(searches) == 1:
         return out
     best = F.max_by(F.struct("item_id", "similarity", "start", "end"), F.struct("similarity", -F.col("item_id")))
     return (

@@ -8,6 +8,7 @@ from dataclasses import replace
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from temporal_tree.llm import anchored, induced, rlz, setsketch
 from temporal_tree.llm.batches import Words, anchors, byte_hashes
@@ -80,6 +81,29 @@ def test_suffix_dedup(frame, corpus, size):
     assert texts == {i: kept.decode("utf-8", "ignore") for i, (_, _, _, kept) in got.items()}
 
 
+@pytest.mark.parametrize("windows", [anchored.Windows("word", 13, 6, False, hot=40), anchored.Windows("byte", 100, 25, True, hot=40)], ids=["words", "bytes"])
+def test_no_group_gathers_a_passage_of_many(spark, scratch, windows):
+    """A third of all documents share a passage of 60 words, each in surroundings of its own."""
+    rng = random.Random(11)
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = []
+    for i in range(900):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(80)]
+        if i % 3 == 0:
+            own[40:40] = [passage]
+        rows.append((i, " ".join(own)))
+    texts = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    marks, _, hot = anchored.live_anchors(texts, windows, scratch)
+    assert hot
+    groups = anchored.live_segments(texts, marks, windows).where("content is not null").groupBy("key").count()
+    assert (groups.agg(F.max("count")).first()[0] or 0) <= 2 * windows.hot
+    decide = rlz.factor_spans(13) if windows.unit == "word" else induced.suffix_spans(100, memory=10_000)
+    found = anchored.repeated_spans(texts, windows, decide, scratch).collect()
+    want = (substrings if windows.unit == "word" else byte_strings)(dict(rows), windows.size)
+    removed = {r["doc_id"]: sum(e - s for s, e in anchored.merged(r["spans"])) for r in found}
+    assert {i: n for i, n in removed.items() if n} == {i: v[1] for i, v in want.items() if v[1]}
+
+
 def test_hot_anchors_are_divided(frame, corpus, scratch, monkeypatch):
     """All anchors count as hot, and slices hold one document: the same result."""
     monkeypatch.setattr(anchored, "_SEGMENT_BYTES", 1)

@@ -382,6 +382,26 @@ def test_pipeline(spark, tmp_path):
     assert set(map(tuple, last.select(columns).collect())) == set(map(tuple, corpus_pipeline.run(spark, sf_dir).select(columns).collect()))
 
 
+def test_pipeline_keeps_every_row(spark, tmp_path):
+    """Rows without an id, rows that repeat one, and columns with the names of stages' own."""
+    rng = random.Random(9)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(5, 60))) for _ in range(40)]
+    ids = [None, None, 2, 2, 2, *range(3, 38)]
+    rows = [(i, t, "en", "s", len(t)) for i, t in zip(ids, texts, strict=True)] + [(1, None, None, None, None), (None, "", None, None, 0)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame(rows, schema).repartition(3)
+    docs = docs.selectExpr("*", "'k' AS kept_text", "1 AS spans", "'x' AS _row", "2 AS others", "3 AS kept", "4 AS place")
+    before = sorted(map(repr, docs.collect()))
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        stage(spark, docs, "/root/testdata/sf0.001").write.parquet(path := str(tmp_path / f"{k}-{name}"))
+        docs = spark.read.parquet(path)
+        assert sorted(map(repr, docs.collect())) == before, name
+        stage(spark, docs.limit(0), "/root/testdata/sf0.001").write.parquet(empty := str(tmp_path / f"{k}-empty"))
+        assert spark.read.schema(docs.schema).parquet(empty).count() == 0
+    packed = corpus_pipeline.pack_sequences(spark, docs, "").collect()
+    assert len({r["doc_id"] for r in packed}) == len(rows)
+
+
 @pytest.mark.parametrize(
     "operator",
     [
