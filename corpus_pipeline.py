@@ -1,7 +1,10 @@
 """From raw documents to packed training sequences, in stages that each write what the next one reads.
 
-A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of
-`docs`. Documents without an id pass the filters and are left out where texts change or are packed.
+A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of `docs`,
+whatever others there are beside those of documents. Every row is a document of its own: rows without an
+id, and rows that repeat one with the same or another text, are judged and kept like all others. Where the
+order of documents matters they come by id, unknown ids last, and text. A null text is kept as it is and
+counts as an empty one. An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -10,47 +13,47 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from temporal_tree.llm import induced, latent, packing, setsketch, toxicity
-from temporal_tree.llm.documents import tables
+from temporal_tree.llm.documents import dropped_at_end, row_keys, tables
+from temporal_tree.sources.scratch import Scratch
 
 # no stage can be expressed in SQL; tests hold them against brute force
 ORACLE_SQL = None
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    return docs.join(rejected.select("doc_id"), "doc_id", "left_anti").select(docs.columns)
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose passages make label 1 likelier than not go."""
+    """Rows whose passages make label 1 likelier than not go. Labels are joined by id to learn from."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return _without(docs, toxicity.toxicity(docs, labels).where("predicted = 1"))
+    model = toxicity.fit(docs, labels.where(~toxicity.held_out()))
+    return toxicity.without_toxic(docs, model)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the least id stays."""
-    return _without(docs, setsketch.near_duplicates(docs).where("not kept"))
+    """Of each group of near-duplicates the first row stays."""
+    scratch = tables(spark)
+    keyed, key = row_keys(docs, scratch)
+    found = setsketch.near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text"))
+    # written first: where they are few, Spark knows and leaves the texts where they are
+    gone = scratch.save(found.where("not kept").select(F.col("doc_id").alias(key)), "gone")
+    return keyed.join(gone, key, "left_anti").select(*[keyed[c] for c in docs.columns])
 
 
 def drop_repeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every string of 100 bytes stays where it begins first; what is left of a cut character goes."""
-    found = induced.suffix_dedup(docs, as_text=True).select("doc_id", "kept_text")
-    known = docs.where("doc_id is not null").drop("text", "n_chars").dropDuplicates(["doc_id"])
-    return (
-        known.join(found, "doc_id")
-        .withColumns({"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")})
-        .select(docs.columns)
-    )
+    keyed, key = row_keys(docs, tables(spark))
+    return induced.without_repeats(keyed, key, size=100)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Rows that hold a benchmark item go."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _without(docs, latent.decontaminate(docs, benchmark).where("contaminated"))
+    return latent.without_contaminated(docs, benchmark)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces with their token ids and places in sequences of 1024 tokens."""
-    return packing.pack(docs, size=1024)
+    """Pieces with their token ids and places in sequences of 1024 tokens. `doc_id` is the row's id where ids are
+    unique and known, else its number in order of id and text."""
+    keyed, key = row_keys(docs, tables(spark))
+    return packing.pack(keyed.select(F.col(key).alias("doc_id"), "text"), size=1024)
 
 
 STAGES = [
@@ -63,8 +66,13 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scratch = tables(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    last = None
     for name, stage in STAGES[:-1]:
-        docs = scratch.save(stage(spark, docs, sf_dir), name)
+        scratch = Scratch(spark)
+        with dropped_at_end():
+            docs = scratch.save(stage(spark, docs, sf_dir), name)
+        if last is not None:
+            last.drop()
+        last = scratch
     return STAGES[-1][1](spark, docs, sf_dir)
