@@ -8,9 +8,11 @@ brings all equal windows together.
 1. Each document emits its distinct anchors, about two per `size - k` units, as numbers.
 2. Anchors that occur twice are live; they are counted with map-side combining.
 3. Documents are read again with the list of their live anchors. Neighbouring windows with the same
-   anchor form a segment, which is sent to the shard of its anchor. Equal segments of an Arrow batch
-   are sent once: a passage in a third of all documents costs a row per batch, not per document.
-4. A shard decides which windows are repeated; the method is the caller's.
+   anchor form a segment, which is sent to the shard of its anchor. Equal segments are sent
+   once by a task, as far as its memory allows: a passage in a third of all documents costs a row per
+   some megabytes of text, not per document.
+4. A shard takes its anchors in order, in groups of some megabytes, and decides which windows are
+   repeated; the method is the caller's.
 
 An anchor with over `hot` documents would still bring all its different surroundings to one shard. Its
 windows go another way, one by one: the earliest place of each is a grouped minimum of 128-bit hashes,
@@ -45,8 +47,10 @@ _SEGMENT_ROWS = pa.schema(
 )
 _SPANS = "doc_id long, starts array<int>, ends array<int>"
 _SPAN_ROWS = pa.schema(_SEGMENT_ROWS.field(n) for n in ("doc_id", "starts", "ends"))
-# live anchors per shard: some megabytes of segments
+# live anchors per shard, which is sorted on disk if need be
 _ANCHORS_PER_SHARD = 40_000
+# segments that are compared with each other at once
+_GROUP_BYTES = 2 << 20
 # most bytes of text that are handled at once; where equal segments are sent once, some more
 _SLICE_BYTES = 1 << 20
 # most bytes of different segments that wait for equal ones
@@ -177,26 +181,32 @@ def live_anchors(texts: DataFrame, windows: Windows, scratch: Scratch) -> tuple[
 
 
 class _Sent:
-    """Pieces of text to send, equal ones once: documents come in order of their ids, so what was met before
-    is repeated, or stands in the same document."""
+    """Pieces of text to send, equal ones once, from their earliest place; all others are repeated."""
 
     def __init__(self, windows: Windows):
         self._windows = windows
-        self._first: dict[bytes, list] = {}  # content -> key, document, starts
+        self._first: dict[bytes, list] = {}  # content -> key, document, starts, length
         self._again: dict[int, tuple[list, list]] = {}  # document -> starts, ends
         self._bytes = 0
 
-    def put(self, key: int, doc: int, content: bytes, start: int, end: int) -> None:
+    def put(self, key: int, doc: int, content: bytes, start: int, length: int) -> None:
         seen = self._first.get(content)
         if seen is None:
-            self._first[content] = [key, doc, [start]]
+            self._first[content] = [key, doc, [start], length]
             self._bytes += len(content) + 200
         elif seen[1] == doc and not self._windows.same_document:
             seen[2].append(start)
+        elif (doc, start) < (seen[1], seen[2][0]):
+            self._repeated(seen[1], seen[2], length)
+            seen[1], seen[2] = doc, [start]
         else:
-            spans = self._again.setdefault(doc, ([], []))
-            spans[0].append(start)
-            spans[1].append(end)
+            self._repeated(doc, [start], length)
+
+    def _repeated(self, doc: int, starts: list[int], length: int) -> None:
+        spans = self._again.setdefault(doc, ([], []))
+        spans[0].extend(starts)
+        spans[1].extend(start + length for start in starts)
+        self._bytes += 20 * len(starts)
 
     @property
     def full(self) -> bool:
@@ -233,13 +243,13 @@ def _live_rows(windows: Windows, hot: bool):
     size = windows.size
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent = _Sent(windows)
         for whole in batches:
-            sent = _Sent(windows)
-            for batch in slices(whole.take(pc.sort_indices(whole.column("doc_id")))):
+            for batch in slices(whole):
                 collect(batch, sent)
                 if sent.full:
                     yield from sent.rows()
-            yield from sent.rows()
+        yield from sent.rows()
 
     def collect(batch: pa.RecordBatch, sent: _Sent) -> None:
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
@@ -258,11 +268,11 @@ def _live_rows(windows: Windows, hot: bool):
         for row, start, n, anchor in runs:
             doc, at = int(ids[row]), start - int(flat.first[row])
             if not hot:
-                sent.put(anchor, doc, flat.content(start, start + n - 1 + size), at, at + n - 1 + size)
+                sent.put(anchor, doc, flat.content(start, start + n - 1 + size), at, n - 1 + size)
                 continue
             for i in range(n):
                 digest = hashlib.blake2b(flat.content(start + i, start + i + size), digest_size=16).digest()
-                sent.put(0, doc, digest, at + i, at + i + size)
+                sent.put(0, doc, digest, at + i, size)
 
     return emit
 
@@ -286,15 +296,30 @@ def _hot_spans(texts: DataFrame, marks: DataFrame, windows: Windows, scratch: Sc
 
 
 def _shard_rows(decide: Decide):
+    """Rows of a shard come by key. Keys are settled in groups of `_GROUP_BYTES`, or one by one if they are larger."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = []
+        waiting: list[pa.RecordBatch] = []
+        size = 0
         for batch in batches:
             known = pc.is_null(batch.column("content"))
             yield batch.filter(known).select(["doc_id", "starts", "ends"])
-            parts.append(batch.filter(pc.invert(known)))
-        if not parts:
-            return
-        table = pa.Table.from_batches(parts).sort_by("doc_id")
+            batch = batch.filter(pc.invert(known))
+            if not len(batch):
+                continue
+            waiting.append(batch)
+            size += batch.nbytes
+            if size > _GROUP_BYTES and waiting[0]["key"][0] != batch["key"][-1]:
+                table = pa.Table.from_batches(waiting)
+                edge = int(np.searchsorted(table["key"].to_numpy(), batch["key"][-1].as_py()))
+                yield from settled(table.slice(0, edge))
+                waiting = table.slice(edge).to_batches()
+                size = sum(b.nbytes for b in waiting)
+        if waiting:
+            yield from settled(pa.Table.from_batches(waiting))
+
+    def settled(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        table = table.sort_by("doc_id")
         docs = table["doc_id"].to_numpy()
         starts = table["starts"].to_pylist()
         found: dict[int, tuple[list, list]] = {}
@@ -322,7 +347,8 @@ def repeated_spans(texts: DataFrame, windows: Windows, decide: Decide, scratch:
     documents that have any. `texts` is exchanged by `doc_id`; joins that follow can use that."""
     marks, total, hot = live_anchors(texts, windows, scratch)
     shards = max(partitions(texts.sparkSession), -(-total // _ANCHORS_PER_SHARD))
-    spans = live_segments(texts, marks, windows).repartition(shards, "key").mapInArrow(_shard_rows(decide), _SPANS)
+    segments = live_segments(texts, marks, windows).repartition(shards, "key").sortWithinPartitions("key")
+    spans = segments.mapInArrow(_shard_rows(decide), _SPANS)
     if hot:
         spans = spans.unionByName(_hot_spans(texts, marks, windows, scratch))
     return (
