@@ -423,6 +423,7 @@ _QUERIES = {
     "pipeline_unmapped_partner": _fact("unmapped"),
     "fact_by_account": _fact("final"),
     "star_catalog": _fact("final"),
+    "star_published": _fact("final"),
     "components": """, tie AS (
          SELECT parent_account_id AS a, child_account_id AS b FROM edge
          UNION SELECT child_account_id, parent_account_id FROM edge

@@ -2,7 +2,15 @@
 
 from temporal_tree.options import PipelineOptions
 from temporal_tree.plans import Result, run
-from temporal_tree.sources import RawInputs, Scratch, load_raw, read_star, write_star
+from temporal_tree.sources import (
+    RawInputs,
+    Scratch,
+    load_raw,
+    publish_star,
+    read_published,
+    read_star,
+    write_star,
+)
 
 __all__ = [
     "PipelineOptions",
@@ -10,6 +18,8 @@ __all__ = [
     "Result",
     "Scratch",
     "load_raw",
+    "publish_star",
+    "read_published",
     "read_star",
     "run",
     "write_star",

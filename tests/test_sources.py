@@ -7,7 +7,16 @@ from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from model import rows
-from temporal_tree import PipelineOptions, Scratch, load_raw, read_star, run, write_star
+from temporal_tree import (
+    PipelineOptions,
+    Scratch,
+    load_raw,
+    publish_star,
+    read_published,
+    read_star,
+    run,
+    write_star,
+)
 from temporal_tree.fixtures import sample_raw
 from temporal_tree.schemas import RAW_TABLES, STAR_TABLES
 from temporal_tree.sources import scratch as scratch_module
@@ -132,3 +141,31 @@ def test_no_machine_local_folder_on_a_cluster():
 def test_options_are_checked(wrong):
     with pytest.raises(ValueError):
         PipelineOptions(**wrong)
+
+
+def test_published_star(spark):
+    """Joins by account need no exchange; a write that fails leaves the old star; old versions go."""
+    spark.sql("CREATE DATABASE published")
+    with pytest.raises(LookupError):
+        read_published(spark, "published")
+    with run(sample_raw(spark)) as result:
+        star = result.star.tables()
+        publish_star(star, "published", buckets=4)
+        first = read_published(spark, "published")
+        for name, df in star.items():
+            assert rows(first[name]) == rows(df.select(first[name].columns))
+        joined = first["fact_account_hierarchy"].join(first["dim_accounts"].hint("merge"), "account_id")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+        broken = dict(star, dim_accounts=star["dim_accounts"].withColumn("account_id", F.expr("raise_error('lost')").cast("string")))
+        with pytest.raises(Exception, match="lost"):
+            publish_star(broken, "published", buckets=4)
+        still = read_published(spark, "published")
+        assert {n: rows(df) for n, df in still.items()} == {n: rows(df) for n, df in first.items()}
+
+        fewer = dict(star, fact_account_hierarchy=star["fact_account_hierarchy"].limit(3))
+        publish_star(fewer, "published", buckets=4)
+        assert read_published(spark, "published")["fact_account_hierarchy"].count() == 3
+        assert first["fact_account_hierarchy"].count() == star["fact_account_hierarchy"].count()
+        assert spark.sql("SHOW TABLES IN published").where("not isTemporary").count() == 6
