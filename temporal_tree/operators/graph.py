@@ -6,11 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from temporal_tree.operators import closure, parts
+from temporal_tree.operators.joins import TASK_EDGES
 from temporal_tree.sources.scratch import Scratch
 
 
 def on_cycles(
-    edges: DataFrame, *, scratch: Scratch | None = None, cell_rows: int = 1_000_000
+    edges: DataFrame,
+    *,
+    scratch: Scratch | None = None,
+    cell_rows: int = 1_000_000,
+    task_edges: int = TASK_EDGES,
 ) -> DataFrame:
     """The edges that lie on a cycle, of any length, with the length of the shortest one.
 
@@ -19,7 +24,7 @@ def on_cycles(
     edge's child is from its parent.
     """
     scratch = scratch or Scratch(edges.sparkSession)
-    members = parts.cycle_parts(edges, scratch=scratch)
+    members = parts.cycle_parts(edges, scratch=scratch, task_edges=task_edges)
     inside = scratch.save(parts.inside_parts(edges, members), "inside")
     sizes = members.groupBy("part_id").agg(F.count(F.lit(1)).alias("accounts"))
     rings = (

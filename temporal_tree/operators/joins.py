@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# edges that one task may get: some tens of MB. What is left of a graph is counted before it is compared with this
+TASK_EDGES = 100_000
 
 
 def grid_join(

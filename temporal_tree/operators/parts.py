@@ -7,12 +7,15 @@ contract whole trees at once; what is left is what lies between cycles, and only
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from temporal_tree.operators import closure, graph
+from temporal_tree.operators.joins import TASK_EDGES
 from temporal_tree.sources.scratch import Scratch
 
 
@@ -181,7 +184,61 @@ def _rings(pairs: DataFrame, scratch: Scratch) -> DataFrame | None:
     return rings if seen["rows"] else None
 
 
-def cycle_parts(edges: DataFrame, *, scratch: Scratch | None = None) -> DataFrame:
+def _parts_in_one_task(pairs: DataFrame) -> DataFrame:
+    """`account_id`, `part_id` of at most `task_edges` edges, which the caller has counted."""
+
+    # nested, so that workers get it by value
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edges = [edge for batch in batches for edge in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist())]
+        if not edges:
+            return
+        onward: dict = {account: [] for edge in edges for account in edge}
+        for a, b in edges:
+            onward[a].append(b)
+        # Gabow's path-based search: `open_` holds accounts without a part, `starts` where parts may begin in it
+        place: dict = {}
+        settled: set = set()
+        open_: list = []
+        starts: list[int] = []
+        accounts, parts = [], []
+        for root in onward:
+            if root in place:
+                continue
+            way = [(root, iter(onward[root]))]
+            place[root] = len(open_)
+            starts.append(len(open_))
+            open_.append(root)
+            while way:
+                account, rest = way[-1]
+                for after in rest:
+                    if after not in place:
+                        place[after] = len(open_)
+                        starts.append(len(open_))
+                        open_.append(after)
+                        way.append((after, iter(onward[after])))
+                        break
+                    if after not in settled:
+                        while starts[-1] > place[after]:
+                            starts.pop()
+                else:
+                    way.pop()
+                    if starts[-1] == place[account]:
+                        part = open_[starts.pop() :]
+                        del open_[len(open_) - len(part) :]
+                        settled.update(part)
+                        if len(part) > 1:
+                            accounts += part
+                            parts += [max(part)] * len(part)
+        yield pa.RecordBatch.from_arrays([pa.array(accounts, kind), pa.array(parts, kind)], ["account_id", "part_id"])
+
+    name = pairs.schema["a"].dataType.simpleString()
+    kind = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32()}[name]
+    return pairs.repartition(1).mapInArrow(find, f"account_id {name}, part_id {name}")
+
+
+def cycle_parts(
+    edges: DataFrame, *, scratch: Scratch | None = None, task_edges: int = TASK_EDGES
+) -> DataFrame:
     """`account_id`, `part_id`: the accounts that are on cycles, and the greatest account of their strongly
     connected part. Two accounts are of one part if each can be reached from the other; parts of one account
     are left out.
@@ -191,28 +248,45 @@ def cycle_parts(edges: DataFrame, *, scratch: Scratch | None = None) -> DataFram
     and the greatest that it leads to. If they are the same, that is its part's greatest account; accounts of
     one part share both, so edges between other pairs of colours go and the rest is coloured again (after
     Fleischer, Hendrickson and Pinar, 2000, and Orzan, 2004). Everything saved is a row per account or edge.
+
+    Edges are counted before and between these steps. Once no more than `task_edges` are left, one task searches
+    them depth first instead, since further rounds would cost more than what they do; 0 never does.
     """
     scratch = scratch or Scratch(edges.sparkSession)
-    pairs = _between_cycles(scratch.save(_pairs(edges), "pairs"), scratch)
     parts: list[DataFrame] = []
+
+    def saved(pairs: DataFrame, name: str) -> DataFrame | None:
+        """What is still to be divided; None if that is nothing, or little enough for one task."""
+        table, seen = scratch.save_measured(pairs.select("a", "b"), name, rows=_rows())
+        if not seen["rows"]:
+            return None
+        if seen["rows"] <= task_edges:
+            parts.append(_parts_in_one_task(table))
+            return None
+        return table
+
+    pairs = saved(_pairs(edges), "pairs")
+    if pairs is not None:
+        pairs = _between_cycles(pairs, scratch)
+    if pairs is not None:
+        pairs = saved(pairs, "knots")
     if pairs is not None:
         rings = _rings(pairs, scratch)
         if rings is not None:
             parts.append(rings)
             pairs = pairs.join(rings.select(F.col("account_id").alias("a")), "a", "left_anti")
+            pairs = saved(pairs, "open")
     while pairs is not None:
-        pairs, seen = scratch.save_measured(pairs.select("a", "b"), "open", rows=_rows())
-        if not seen["rows"]:
-            break
         colours = _coloured(pairs, scratch)
         found = colours.where("above = below")
         sizes = found.groupBy("above").agg(_rows().alias("n")).where("n > 1")
         parts.append(found.join(sizes, "above").select(F.col("account").alias("account_id"), F.col("above").alias("part_id")))
         open_ = colours.where("above <> below").select("account", F.struct("above", "below").alias("colours"))
-        pairs = (
+        pairs = saved(
             pairs.join(open_.select(F.col("account").alias("a"), F.col("colours").alias("_of_a")), "a")
             .join(open_.select(F.col("account").alias("b"), "colours"), "b")
-            .where("_of_a = colours")
+            .where("_of_a = colours"),
+            "open",
         )
     if not parts:
         nobody = F.col("parent_account_id")
@@ -256,61 +330,55 @@ def path_counts(
     if members is None:
         members = cycle_parts(edges, scratch=scratch)
     inner, seen = scratch.save_measured(inside_parts(edges, members).select(*ends), "inside", rows=_rows())
-    inside, outer = None, edges
+    inside, longest, outer = None, 0, edges
+    big = "decimal(38,0)"
     if seen["rows"]:
         outer = scratch.save(edges.join(inner, ends, "left_anti"), "outside")
         found = closure.paths(inner, far, scratch=scratch, cell_rows=cell_rows, name="inside")
-        inside = scratch.save(
+        inside, seen = scratch.save_measured(
             found.groupBy(
-                F.col("root_account_id").alias("entry"), "parent_account_id", "child_account_id", F.col("level_depth").alias("length")
-            ).agg(_rows().cast("decimal(38,0)").alias("ways")),
+                F.col("root_account_id").alias("account"), "parent_account_id", "child_account_id", F.col("level_depth").alias("length")
+            ).agg(_rows().cast(big).alias("ways")),
             "inside-counts",
+            longest=F.max("length"),
         )
-    # edges to go on over, per account
-    onward = scratch.save(
-        outer.groupBy(F.col("parent_account_id").alias("account")).agg(_rows().cast("decimal(38,0)").alias("edges")), "onward"
-    )
-    one = F.lit(1).cast("decimal(38,0)")
-    accounts = edges.select(F.explode(F.array(*ends)).alias("account")).distinct().withColumn("n", one)
-    entered = {0: scratch.save(accounts, "entered-0")}
-    counts: list[DataFrame] = []
+        longest = seen["longest"]
 
-    def total(column: str) -> Column:
-        return F.sum(column).cast("decimal(38,0)").alias(column)
+    def times(*factors: str) -> Column:
+        return reduce(Column.__mul__, map(F.col, factors)).cast(big)
 
-    for k in range(1, far + 1):
-        # paths of k - 1 edges by their last account: those that entered it, and those that went on inside its part
-        here = entered[k - 1]
-        if inside is not None:
-            by_length = reduce(DataFrame.unionByName, (t.withColumn("at", F.lit(i)) for i, t in entered.items()))
-            went = (
-                by_length.withColumnRenamed("account", "entry")
-                .join(inside, "entry")
-                .select("parent_account_id", "child_account_id", (F.col("at") + F.col("length")).alias("level"), (F.col("n") * F.col("ways")).cast("decimal(38,0)").alias("n"))
-            )
-            before = went.where(F.col("level") == k - 1).select(F.col("child_account_id").alias("account"), "n")
-            here = here.unionByName(before).groupBy("account").agg(total("n"))
-            counts.append(
-                went.where(F.col("level") == k).groupBy("parent_account_id").agg(total("n")).withColumn("level_depth", F.lit(k))
-            )
-        here = scratch.save(here, f"here-{k - 1}") if inside is not None else here
-        counts.append(
-            here.join(onward, "account").select(
-                F.col("account").alias("parent_account_id"),
-                (F.col("n") * F.col("edges")).cast("decimal(38,0)").alias("n"),
-                F.lit(k).alias("level_depth"),
-            )
+    def total(column: str) -> Column:
+        return F.sum(column).cast(big).alias(column)
+
+    # paths of k edges by their last account: all of them, and those that came to it from outside of its part
+    one = F.lit(1).cast(big)
+    accounts = edges.select(F.explode(F.array(*ends)).alias("account")).distinct()
+    here = [scratch.save(accounts.select("account", one.alias("n"), one.alias("entered")), "here-0")]
+    for k in range(1, far):
+        came = outer.join(here[-1].withColumnRenamed("account", "parent_account_id"), "parent_account_id").select(
+            F.col("child_account_id").alias("account"), "n", F.col("n").alias("entered")
         )
-        step = (
-            outer.join(here.withColumnRenamed("account", "parent_account_id"), "parent_account_id")
-            .groupBy(F.col("child_account_id").alias("account"))
-            .agg(total("n"))
+        if inside is not None:
+            nobody = F.lit(0).cast(big).alias("entered")
+            for j in range(max(0, k - longest), k):
+                went = here[j].where("entered > 0").join(inside.where(F.col("length") == k - j), "account")
+                came = came.unionByName(
+                    went.select(F.col("child_account_id").alias("account"), times("entered", "ways").alias("n"), nobody)
+                )
+        table, seen = scratch.save_measured(
+            came.groupBy("account").agg(total("n"), total("entered")), f"here-{k}", rows=_rows()
         )
-        entered[k], seen = scratch.save_measured(step, f"entered-{k}", rows=_rows())
-        if not seen["rows"] and inside is None:
+        if not seen["rows"]:
             break
-    return (
-        reduce(DataFrame.unionByName, counts)
-        .groupBy("parent_account_id", "level_depth")
-        .agg(F.sum("n").cast("decimal(38,0)").alias("paths"))
+        here.append(table)
+    ending = reduce(DataFrame.unionByName, (t.withColumn("at", F.lit(k)) for k, t in enumerate(here)))
+    onward = outer.groupBy(F.col("parent_account_id").alias("account")).agg(_rows().cast(big).alias("edges"))
+    counts = ending.join(onward, "account").select(
+        F.col("account").alias("parent_account_id"), (F.col("at") + 1).alias("level_depth"), times("n", "edges").alias("paths")
     )
+    if inside is not None:
+        within = ending.where("entered > 0").join(inside, "account").where(F.col("at") + F.col("length") <= far)
+        counts = counts.unionByName(
+            within.select("parent_account_id", (F.col("at") + F.col("length")).alias("level_depth"), times("entered", "ways").alias("paths"))
+        )
+    return counts.groupBy("parent_account_id", "level_depth").agg(total("paths"))

@@ -223,7 +223,8 @@ def parts_of(pairs):
 def test_cycle_parts_and_path_counts(spark, seed, n, m):
     pairs = random_pairs(seed, n, m)
     edges = edges_of(spark, *pairs)
-    assert rows(parts.cycle_parts(edges)) == parts_of(pairs)
+    for task_edges in (0, 100_000):
+        assert rows(parts.cycle_parts(edges, task_edges=task_edges)) == parts_of(pairs)
     clean = edges.where("parent_account_id <> child_account_id")
     counted = {tuple(r) for r in parts.path_counts(clean, 3).select("parent_account_id", "level_depth", F.col("paths").cast("long")).collect()}
     listed = closure.paths(clean, 4).groupBy("parent_account_id", "level_depth").count()
@@ -234,7 +235,8 @@ def test_parts_that_hang_together(spark):
     """Rings of all sizes, in each other's way, on long stems, and knotted."""
     pairs = ring("r", 2) + ring("s", 17) + ring("t", 5) + [("r01", "s03"), ("s09", "t00"), ("t02", "end"), ("x", "r00")]
     pairs += ring("k", 6) + [("k00", "k03"), ("k04", "k01"), ("s00", "k00"), ("q", "q")] + ring("alone", 9)
-    assert rows(parts.cycle_parts(edges_of(spark, *pairs))) == parts_of(pairs)
+    for task_edges in (0, 100_000):
+        assert rows(parts.cycle_parts(edges_of(spark, *pairs), task_edges=task_edges)) == parts_of(pairs)
 
 
 class Counted(Scratch):
@@ -252,10 +254,10 @@ def test_long_graphs_without_cycles_write_linear_rows(spark):
     rungs = chain.selectExpr("parent_account_id", "replace(parent_account_id, 'a', 'b') AS child_account_id")
     for edges, m in ((chain, n), (chain.unionByName(other).unionByName(rungs), 3 * n)):
         scratch = Counted(spark)
-        assert graph.on_cycles(edges, scratch=scratch).count() == 0
+        assert graph.on_cycles(edges, scratch=scratch, task_edges=0).count() == 0
         assert scratch.rows < 12 * m
     ring_ = chain.unionByName(spark.createDataFrame([(f"a{n:06}", "a000000")], chain.schema))
-    assert graph.on_cycles(ring_).agg(F.count("*"), F.min("shortest_cycle"), F.max("shortest_cycle")).first()[:] == (n + 1,) * 3
+    assert graph.on_cycles(ring_, task_edges=n).agg(F.count("*"), F.min("shortest_cycle"), F.max("shortest_cycle")).first()[:] == (n + 1,) * 3
 
 
 def test_root_levels(spark):
