@@ -169,6 +169,8 @@ FROM words LEFT JOIN kept USING (doc_id)
 def statements() -> dict[str, str]:
     return {
         "op4_substring_dedup": _SUBSTRING_SQL,
+        "op7_suffix_dedup": sql.REPEATED_BYTES,
+        "op10_near_dedup": sql.NEAR_DUPLICATES,
         "op11_personal_data": sql.PERSONAL_DATA,
         "op12_merkle_manifest": sql.MERKLE,
         "op13_conversation_repair": sql.CONVERSATIONS,

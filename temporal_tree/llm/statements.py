@@ -196,3 +196,65 @@ SELECT d.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
 FROM ids d LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM d.conv_id
 LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM d.conv_id
 """
+
+# all pairs of documents with a shingle in common, and everything that a document reaches
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+places AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS place FROM words WHERE len(w) > 0),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(w[place : place + 4], ' ') AS shingle FROM places),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+),
+links AS (
+  SELECT a, b FROM shared s JOIN sizes x ON x.doc_id = s.a JOIN sizes y ON y.doc_id = s.b
+  WHERE 100 * s.n >= 75 * (x.n + y.n - s.n)
+),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT r.doc_id, w.b FROM reached r JOIN ways w ON w.a = r.other
+)
+SELECT d.doc_id, coalesce(any_value(z.n), 0) AS n_shingles, min(r.other) AS component_id, min(r.other) = d.doc_id AS kept
+FROM documents d JOIN reached r ON r.doc_id = d.doc_id LEFT JOIN sizes z ON z.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+# bytes are pairs of hexadecimal digits; every string of 100 bytes is looked at
+REPEATED_BYTES = """
+WITH bytes AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+-- cut first, since finding a place in a string takes as long as it is far in it
+bases AS (SELECT doc_id, h, n, unnest(range(0, n - 99, 400)) AS base FROM bytes WHERE n >= 100),
+blocks AS (SELECT doc_id, base, least(400, n - 99 - base) AS many, substring(h, 2 * base + 1, 1000) AS block FROM bases),
+starts AS (SELECT doc_id, base, block, unnest(range(0, many)) AS i FROM blocks),
+strings AS (SELECT doc_id, base + i AS i, md5_number(substring(block, 2 * i + 1, 200)) AS string FROM starts),
+covering AS (
+  SELECT doc_id, i FROM strings
+  QUALIFY row_number() OVER (PARTITION BY string ORDER BY doc_id, i) > 1
+),
+heads AS (
+  SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100, true)::INT AS head FROM covering
+),
+numbered AS (
+  SELECT doc_id, i, sum(head) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS run FROM heads
+),
+runs AS (SELECT doc_id, run, min(i) AS a, max(i) + 100 AS b FROM numbered GROUP BY doc_id, run),
+-- what is left before each run, and after the last one
+gaps AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS b FROM runs
+  UNION ALL
+  SELECT doc_id, coalesce(max(b), 0), any_value(n) FROM bytes LEFT JOIN runs USING (doc_id) GROUP BY doc_id
+),
+kept AS (
+  SELECT doc_id, string_agg(substring(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS h FROM gaps JOIN bytes USING (doc_id) GROUP BY doc_id
+),
+totals AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(kept.h)) AS kept_sha256
+FROM bytes JOIN kept USING (doc_id) LEFT JOIN totals USING (doc_id)
+"""
