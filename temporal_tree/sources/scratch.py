@@ -12,10 +12,12 @@ import itertools
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _local_root: str | None = None
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -41,6 +43,20 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_root
 
 
+@contextmanager
+def _shuffles_dropped(spark: SparkSession):
+    """Lets Spark delete the shuffle files of a query when it has ended: what it wrote is read from then on."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 class Scratch:
     """A folder of tables that belong to one run."""
 
@@ -55,7 +71,8 @@ class Scratch:
     def save(self, df: DataFrame, name: str) -> DataFrame:
         """Write `df` once and return a scan of what was written."""
         path = self.new_path(name)
-        df.write.parquet(path)
+        with _shuffles_dropped(self.spark):
+            df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def save_measured(

@@ -169,3 +169,19 @@ def test_published_star(spark):
         assert read_published(spark, "published")["fact_account_hierarchy"].count() == 3
         assert first["fact_account_hierarchy"].count() == star["fact_account_hierarchy"].count()
         assert spark.sql("SHOW TABLES IN published").where("not isTemporary").count() == 6
+
+
+def test_saved_tables_leave_no_shuffle_files(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def data_files():
+        return blocks.getAllFiles().size()
+
+    scratch = Scratch(spark)
+    table = scratch.save(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "sevenths")
+    held = data_files()
+    again = scratch.save(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "sevenths")
+    assert data_files() <= held
+    assert rows(table) == rows(again) and spark.conf.get(name) == before
