@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -10,8 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from temporal_tree.llm.anchored import slices
-from temporal_tree.llm.batches import LOWER, Words, text_bytes
+from temporal_tree.llm.batches import LOWER, Words, mix, text_bytes
 from temporal_tree.llm.documents import tables, texts_of
+from temporal_tree.sources.scratch import Scratch
 
 START = 0  # stands before the first word
 
@@ -44,36 +46,73 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(n.astype(np.int64))], ["word", "n"])
 
 
-def _bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct pairs of neighbouring words per document: how often, and how often each word alone."""
-    for whole in batches:
-        for batch in slices(whole):
-            ids, hashes, words, row = _rows_of(batch)
-            # how often each word occurs in its document
-            order = np.lexsort((hashes, row))
-            heads, n = _distinct(row[order], hashes[order])
-            own = np.empty(len(hashes), np.int32)
-            own[order] = np.repeat(n, n)
-            before, before_own = np.empty_like(hashes), np.empty_like(own)
-            if len(hashes):
-                before[1:], before_own[1:] = hashes[:-1], own[:-1]
-                first = words.first[:-1][words.counts > 0]
-                before[first], before_own[first] = START, 1
-            order = np.lexsort((hashes, before, row))
-            heads, n = _distinct(row[order], before[order], hashes[order])
-            at = order[heads]
-            for k in range(0, max(1, len(at)), 100_000):
-                part, times = at[k : k + 100_000], n[k : k + 100_000]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(before[part].astype(np.int64)), pa.array(hashes[part].astype(np.int64)), pa.array(ids[row[part]]),
-                        pa.array(times.astype(np.int32)), pa.array(before_own[part]), pa.array(own[part]),
-                    ],
-                    ["a", "b", "doc_id", "m", "m_a", "m_b"],
-                )
-
-
-def stupid_backoff(docs: DataFrame, *, discount: float = 0.4) -> DataFrame:
+def _bigrams(turn: int, rounds: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Distinct pairs of neighbouring words per document whose hash is of this turn: how often, and how often each
+    word alone."""
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole):
+                ids, hashes, words, row = _rows_of(batch)
+                # how often each word occurs in its document
+                order = np.lexsort((hashes, row))
+                heads, n = _distinct(row[order], hashes[order])
+                own = np.empty(len(hashes), np.int32)
+                own[order] = np.repeat(n, n)
+                before, before_own = np.empty_like(hashes), np.empty_like(own)
+                if len(hashes):
+                    before[1:], before_own[1:] = hashes[:-1], own[:-1]
+                    first = words.first[:-1][words.counts > 0]
+                    before[first], before_own[first] = START, 1
+                mine = np.flatnonzero(mix(before ^ mix(hashes)) % np.uint64(rounds) == turn)
+                order = mine[np.lexsort((hashes[mine], before[mine], row[mine]))]
+                heads, n = _distinct(row[order], before[order], hashes[order])
+                at = order[heads]
+                for k in range(0, max(1, len(at)), 100_000):
+                    part, times = at[k : k + 100_000], n[k : k + 100_000]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(before[part].astype(np.int64)), pa.array(hashes[part].astype(np.int64)), pa.array(ids[row[part]]),
+                            pa.array(times.astype(np.int32)), pa.array(before_own[part]), pa.array(own[part]),
+                        ],
+                        ["a", "b", "doc_id", "m", "m_a", "m_b"],
+                    )
+
+    return pairs
+
+
+def _round(texts: DataFrame, words: DataFrame, scratch: Scratch, turn: int, rounds: int, per_word: float) -> DataFrame:
+    """Per document the number of words whose pair is of this turn, and the sum of their scores."""
+    pairs = scratch.save(texts.mapInArrow(_bigrams(turn, rounds), "a long, b long, doc_id long, m int, m_a int, m_b int"), "pairs")
+    shared = scratch.save(
+        pairs.groupBy("a", "b")
+        .agg(F.sum("m").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+        .where("lo < hi")
+        .select("a", "b", "n"),
+        "shared",
+    )
+    rest = F.col("n") - F.col("m")
+    known = F.col("n").isNotNull()
+    resolved = pairs.join(shared, ["a", "b"], "left").select(
+        "doc_id",
+        "m",
+        F.when(known, F.col("a")).otherwise(F.col("b")).alias("word"),
+        F.when(known, F.col("m_a")).otherwise(F.col("m_b")).alias("own"),
+        F.when(known, -F.col("m")).otherwise(F.col("m")).alias("weight"),
+        (F.col("m") * F.when(known, F.log(rest)).otherwise(F.log(F.lit(per_word)))).alias("part"),
+    )
+    requests = resolved.groupBy("doc_id", "word").agg(
+        F.sum("m").alias("m"), F.max("own").alias("own"), F.sum("weight").alias("weight"), F.sum("part").alias("part")
+    )
+    others = F.greatest(F.col("n") - F.col("own"), F.lit(0.5))
+    return (
+        requests.join(words, "word")
+        .groupBy("doc_id")
+        .agg(F.sum("m").alias("n_words"), F.sum(F.col("weight") * F.log(others) + F.col("part")).alias("log_score"))
+    )
+
+
+def stupid_backoff(docs: DataFrame, *, discount: float = 0.4, rounds: int = 4) -> DataFrame:
     """Per document `n_words`, `log_score` (sum over its words) and `mean_log_score`, by a bigram model of
     all other documents (Brants et al., "Large Language Models in Machine Translation", 2007).
 
@@ -87,6 +126,10 @@ def stupid_backoff(docs: DataFrame, *, discount: float = 0.4) -> DataFrame:
     joined to the documents' distinct pairs; AQE splits frequent ones. What a pair then needs of a
     single word's count is summed per document and word and joined to the table of words.
 
+    Pairs are dealt into `rounds` by their hash. A round writes its pairs, counts and joins them, and leaves a
+    row per document; then its tables and shuffle files go. So disk holds a part of all pairs at a time, at
+    the price of reading the texts once a round.
+
     Null, empty and blank texts have 0 words, a score of 0 and a null mean. Rows that repeat an id are
     one document and rows without an id are left out (see `texts_of`); other columns are ignored. An
     empty table gives an empty result.
@@ -98,26 +141,15 @@ def stupid_backoff(docs: DataFrame, *, discount: float = 0.4) -> DataFrame:
         total=F.sum(F.when(F.col("word") != START, F.col("n"))),
     )
     total = float(seen["total"] or 1)
-    pairs = texts.mapInArrow(_bigrams, "a long, b long, doc_id long, m int, m_a int, m_b int")
-    shared = pairs.groupBy("a", "b").agg(F.sum("m").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("a", "b", "n")
-    rest = F.col("n") - F.col("m")
-    known = F.col("n").isNotNull()
-    resolved = pairs.join(shared, ["a", "b"], "left").select(
-        "doc_id",
-        "m",
-        F.when(known, F.col("a")).otherwise(F.col("b")).alias("word"),
-        F.when(known, F.col("m_a")).otherwise(F.col("m_b")).alias("own"),
-        F.when(known, -F.col("m")).otherwise(F.col("m")).alias("weight"),
-        (F.col("m") * F.when(known, F.log(rest)).otherwise(F.log(F.lit(discount / total)))).alias("part"),
-    )
-    requests = resolved.groupBy("doc_id", "word").agg(
-        F.sum("m").alias("m"), F.max("own").alias("own"), F.sum("weight").alias("weight"), F.sum("part").alias("part")
-    )
-    others = F.greatest(F.col("n") - F.col("own"), F.lit(0.5))
+    sums = []
+    for turn in range(rounds):
+        own = tables(docs.sparkSession)
+        sums.append(scratch.save(_round(texts, words, own, turn, rounds, discount / total), "sums"))
+        own.drop()
     scores = (
-        requests.join(words, "word")
+        reduce(DataFrame.unionByName, sums)
         .groupBy("doc_id")
-        .agg(F.sum("m").alias("n_words"), F.sum(F.col("weight") * F.log(others) + F.col("part")).alias("log_score"))
+        .agg(F.sum("n_words").alias("n_words"), F.sum("log_score").alias("log_score"))
     )
     return texts.select("doc_id").join(scores, "doc_id", "left").select(
         "doc_id",
