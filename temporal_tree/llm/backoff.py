@@ -112,7 +112,7 @@ def _round(texts: DataFrame, words: DataFrame, scratch: Scratch, turn: int, roun
     )
 
 
-def stupid_backoff(docs: DataFrame, *, discount: float = 0.4, rounds: int = 4) -> DataFrame:
+def stupid_backoff(docs: DataFrame, *, discount: float = 0.4, rounds: int = 8) -> DataFrame:
     """Per document `n_words`, `log_score` (sum over its words) and `mean_log_score`, by a bigram model of
     all other documents (Brants et al., "Large Language Models in Machine Translation", 2007).
 
