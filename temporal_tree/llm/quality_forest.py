@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -18,6 +18,7 @@ _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 _MORE = ("n_lines", "n_upper", "n_letters", "n_marks")
 _STATS = "doc_id long, " + ", ".join(f"{c} long" for c in _COUNTS + _MORE)
 FEATURES = ("symbols", "dup_lines", "upper", "marks")
+MORE_FEATURES = ("word_length", "repeats", "length")
 _NODES = "tree int, node int, feature int, cut double, left int, right int, rows int"
 
 
@@ -101,6 +102,9 @@ def rule_statistics(texts: DataFrame) -> DataFrame:
         "dup_lines": F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
         "upper": F.col("n_upper") / F.greatest(F.col("n_letters"), F.lit(1)),
         "marks": F.col("n_marks") / words,
+        "word_length": F.col("word_chars") / words,
+        "repeats": F.col("n_repeat_words") / words,
+        "length": F.log(words),
     }
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     return texts.mapInArrow(_stats, _STATS).withColumns(ratios | {"base_failed": failed})
@@ -116,7 +120,7 @@ def _expected_path(n: np.ndarray) -> np.ndarray:
 def _grow(rows: pd.DataFrame) -> pd.DataFrame:
     """One isolation tree from its rows: random features, random cuts between their extremes."""
     tree = int(rows["tree"].iloc[0])
-    data = rows.sort_values("doc_id")[list(FEATURES)].to_numpy(float)
+    data = rows.sort_values("doc_id").drop(columns=["doc_id", "tree"]).to_numpy(float)
     rng = np.random.default_rng(tree)
     limit = max(1, int(np.ceil(np.log2(max(2, len(data))))))
     nodes: list[list] = []
@@ -166,10 +170,10 @@ class Forest:
         return 2.0 ** -(total / max(1, len(self.trees)) / self.norm)
 
 
-def fit_forest(stats: DataFrame, trees: int, sample: int) -> Forest:
+def fit_forest(stats: DataFrame, trees: int, sample: int, features: Sequence[str] = FEATURES) -> Forest:
     """A forest on a bounded sample: the `trees * sample` rows with the least hashes of their ids."""
     chosen = (
-        stats.select("doc_id", *FEATURES)
+        stats.select("doc_id", *features)
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(trees * sample)
         .withColumn("tree", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(trees)).cast("int"))
@@ -210,11 +214,13 @@ def quality_rules(
     trees: int = 256,
     sample: int = 64,
     most_good_lost: float = 0.005,
+    features: Sequence[str] = FEATURES,
 ) -> DataFrame:
     """Per document its counts, `base_failed`, the forest's `score` and `kept`.
 
     The base rules reject texts of fewer than ten words or with over a fifth of their words in
-    repeated 5-word windows. An isolation forest over ratios of the counts (`FEATURES`) is grown on
+    repeated 5-word windows. An isolation forest over `features`, ratios of the counts (`FEATURES`, and
+    `MORE_FEATURES`: letters a word, the share of repeated words, the logarithm of the length), is grown on
     documents that pass them, `trees` groups of about `sample` rows (small ones, so that a cluster of
     bad documents does not hide itself), each in a task of its own. The
     threshold of its score is calibrated on all rows of `labels` (`doc_id`, `quality`) that pass them.
@@ -227,13 +233,13 @@ def quality_rules(
     scratch = tables(docs.sparkSession)
     stats = scratch.save(rule_statistics(texts_of(docs)), "statistics")
     passing = stats.where(~F.col("base_failed"))
-    forest = fit_forest(passing, trees, sample)
+    forest = fit_forest(passing, trees, sample, features)
     bound = docs.sparkSession.sparkContext.broadcast(forest)
 
     @F.pandas_udf("double")
-    def score(*features: pd.Series) -> pd.Series:
-        return pd.Series(bound.value.scores(np.column_stack([f.to_numpy(float) for f in features])))
+    def score(*ratios: pd.Series) -> pd.Series:
+        return pd.Series(bound.value.scores(np.column_stack([r.to_numpy(float) for r in ratios])))
 
-    scored = scratch.save(stats.withColumn("score", score(*FEATURES)), "scored")
+    scored = scratch.save(stats.withColumn("score", score(*features)), "scored")
     threshold = calibrate(scored.where(~F.col("base_failed")), labels, most_good_lost)
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("score") < threshold if threshold < 1 else F.lit(True)))

@@ -59,6 +59,16 @@ def test_forest_isolates_what_is_rare(spark, frame):
     assert all(got[i]["kept"] for i in texts) and not any(got[i]["kept"] for i in bad)
 
 
+def test_forest_takes_any_statistics(spark, frame):
+    rng = random.Random(2)
+    texts = {i: " ".join(some_words(rng, 60, 9999)) for i in range(400)}
+    bad = {i: " ".join(w * 7 for w in some_words(rng, 60, 9999)) for i in range(400, 420)}
+    labels = spark.createDataFrame([(i, int(i < 400)) for i in range(0, 420, 2)], "doc_id long, quality int")
+    features = (*quality_forest.FEATURES, *quality_forest.MORE_FEATURES)
+    got = by_id(quality_forest.quality_rules(frame(texts | bad), labels, features=features))
+    assert all(got[i]["kept"] for i in texts) and not any(got[i]["kept"] for i in bad)
+
+
 def test_path_lengths_by_hand():
     nodes = pd.DataFrame(
         [(0, 0, 0, 0.5, 1, 2, 4), (0, 1, -1, 0.0, 1, 1, 3), (0, 2, -1, 0.0, 2, 2, 1)],
