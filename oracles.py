@@ -419,6 +419,7 @@ _QUERIES = {
     "pipeline_full": _fact("final"),
     "pipeline_literal": _fact("final"),
     "pipeline_variant": _fact("variant"),
+    "pipeline_resumed": _fact("final"),
     "pipeline_half_open": _fact("half_open"),
     "pipeline_unmapped_partner": _fact("unmapped"),
     "fact_by_account": _fact("final"),

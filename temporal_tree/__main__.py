@@ -6,7 +6,7 @@
 Without paths the raw tables are read from the catalog; with --database instead of --out the star
 goes to catalog tables. A database as source or target takes connection options, which belong in
 code: see `load_raw` and `write_star`. The reports of all checks are logged before the star is
-written, unless --no-validate is given.
+written, unless --no-validate is given. With --resume a batch that was lost goes on where it was.
 """
 
 from __future__ import annotations
@@ -43,6 +43,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--closure-method", choices=("doubling", "cte"), default="doubling")
     parser.add_argument("--persist", choices=("table", "cache", "none"), default="table")
     parser.add_argument("--load-ts", type=datetime.fromisoformat, help="value of created_at")
+    parser.add_argument("--resume", help="shared folder whose finished tables are taken over")
     for size in ("cell-rows", "hot-account-rows", "rows-per-task"):
         default = getattr(PipelineOptions, size.replace("-", "_"))
         parser.add_argument(f"--{size}", type=int, default=default)
@@ -64,7 +65,9 @@ def main(argv: list[str] | None = None) -> None:
     files = dict(zip(RAW_TABLES, (args.edges, args.partners, args.mappings)))
     options = {f.name: getattr(args, f.name) for f in fields(PipelineOptions)}
     with run(
-        load_raw(spark, paths=files if args.edges else None), PipelineOptions(**options)
+        load_raw(spark, paths=files if args.edges else None),
+        PipelineOptions(**options),
+        resume=args.resume,
     ) as result:
         for name, report in result.checks.items():
             for row in report.collect():  # some metrics per report

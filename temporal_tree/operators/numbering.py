@@ -27,18 +27,18 @@ def number_in_place(df: DataFrame, name: str, scratch: Scratch) -> DataFrame:
     cannot change a number. Partition sizes are one row per task, hence small enough to broadcast.
     """
     placed = df.withColumn("_id", F.monotonically_increasing_id())
-    table = scratch.save(placed, "ordered")
+    table = scratch.stage("ordered", lambda: placed)
     partition = F.shiftright("_id", _ROW_BITS)
     position = F.col("_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     before = F.sum("rows").over(
         Window.orderBy("_partition").rowsBetween(Window.unboundedPreceding, -1)
     )
-    offsets = (
+    sizes = (
         table.groupBy(partition.alias("_partition"))
         .agg(F.count(F.lit(1)).alias("rows"))
         .select("_partition", F.coalesce(before, F.lit(0)).alias("_offset"))
     )
-    offsets = scratch.save(offsets, "offsets")
+    offsets = scratch.stage("offsets", lambda: sizes)
     return (
         table.withColumn("_partition", partition)
         .join(F.broadcast(offsets), "_partition")

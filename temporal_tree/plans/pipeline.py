@@ -17,6 +17,7 @@ from temporal_tree.functions import trace
 from temporal_tree.operators import closure, extract, normalize, parts, quality, star, temporal
 from temporal_tree.options import PipelineOptions
 from temporal_tree.sources.raw import RawInputs
+from temporal_tree.sources.resumable import ResumableScratch, fingerprint
 from temporal_tree.sources.scratch import Scratch
 
 
@@ -28,16 +29,18 @@ class Run:
     scratch: Scratch
     cached: list[DataFrame] = field(default_factory=list)
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """`df` in the form the options ask for when it is read more than once."""
+    def keep(self, build: Callable[[], DataFrame], name: str) -> DataFrame:
+        """What `build` makes, in the form the options ask for when it is read more than once. It is not
+        called where the table is taken over from a run before."""
         if self.options.persist == "table":
-            return self.scratch.save(df, name)
+            return self.scratch.stage(name, build)
+        df = build()
         if self.options.persist == "cache":
             df = df.persist(StorageLevel.MEMORY_AND_DISK)
             self.cached.append(df)
         return df
 
-    def keep_all(self, **named: DataFrame) -> list[DataFrame]:
+    def keep_all(self, **named: Callable[[], DataFrame]) -> list[DataFrame]:
         """`keep` for results that do not depend on each other: their jobs share the cluster."""
         keep = inheritable_thread_target(self.scratch.spark)(self.keep)
         with ThreadPoolExecutor(len(named)) as pool:
@@ -65,18 +68,18 @@ class Normalized:
     @cached_property
     def edges(self) -> DataFrame:
         """The newest edges, with the partner status of both ends."""
-        return self._run.keep(self._new_edges(), "edges")
+        return self._run.keep(self._new_edges, "edges")
 
     @cached_property
     def mappings(self) -> DataFrame:
         """The best mappings."""
-        return self._run.keep(self._new_mappings(), "best_mappings")
+        return self._run.keep(self._new_mappings, "best_mappings")
 
     def both(self) -> tuple[DataFrame, DataFrame]:
         """Edges and mappings for those who need both: their jobs share the cluster."""
         if not {"edges", "mappings"} & self.__dict__.keys():
             self.edges, self.mappings = self._run.keep_all(
-                edges=self._new_edges(), best_mappings=self._new_mappings()
+                edges=self._new_edges, best_mappings=self._new_mappings
             )
         return self.edges, self.mappings
 
@@ -93,7 +96,7 @@ class Temporal:
     def calendar(self) -> DataFrame:
         edges, mappings = self._normalized.both()
         cuts = temporal.periods(mappings, edges, self._run.options.half_open)
-        return self._run.keep(temporal.calendar(cuts), "calendar")
+        return self._run.keep(lambda: temporal.calendar(cuts), "calendar")
 
     @cached_property
     def periods(self) -> DataFrame:
@@ -120,7 +123,9 @@ class Temporal:
     @cached_property
     def segments(self) -> DataFrame:
         """What the literal fact is made of."""
-        return self._run.keep(self._segments(self._run.options.keep_unmapped), "segments")
+        return self._run.keep(
+            lambda: self._segments(self._run.options.keep_unmapped), "segments"
+        )
 
     @cached_property
     def all_segments(self) -> DataFrame:
@@ -142,18 +147,17 @@ class Temporal:
     def measured_spans(self) -> tuple[DataFrame, int, int]:
         """Spans, the fact rows they stand for (before deduplication) and their number."""
         options = self._run.options
-        spans = star.fact_spans(
-            self._normalized.edges,
-            self.covered,
-            self.calendar,
-            self.standalone,
-            keep_unmapped=options.keep_unmapped,
-            unmapped_flags=options.unmapped_flags,
-        )
         # always written: sampling, weighing and spreading each read it
-        spans, seen = self._run.scratch.save_measured(
-            spans,
+        spans, seen = self._run.scratch.stage_measured(
             "spans",
+            lambda: star.fact_spans(
+                self._normalized.edges,
+                self.covered,
+                self.calendar,
+                self.standalone,
+                keep_unmapped=options.keep_unmapped,
+                unmapped_flags=options.unmapped_flags,
+            ),
             rows=F.coalesce(F.sum(F.col("hi") - F.col("lo") + 1), F.lit(0)),
             spans=F.count(F.lit(1)),
         )
@@ -246,7 +250,8 @@ def hierarchy_stage(normalized: Normalized, run: Run) -> DataFrame:
 class Result:
     """The stages of a run. A table is computed when it, or one made from it, is first used. That
     starts jobs of its own: tables that are read more than once are written then, not by the action
-    that follows. In a `with` block the run's tables are deleted at the end."""
+    that follows. In a `with` block the run's tables are deleted at the end; those of a run that can be
+    resumed stay where an error ends the block."""
 
     run: Run
     raw: RawInputs
@@ -274,14 +279,16 @@ class Result:
     def path_counts(self) -> DataFrame:
         """How many paths the hierarchy has per parent and level, without the hierarchy."""
         options = self.run.options
-        counts = parts.path_counts(
-            self.normalized.edges,
-            options.max_depth,
-            members=self.cycle_parts,
-            scratch=self.run.scratch,
-            cell_rows=options.cell_rows,
+        return self.run.keep(
+            lambda: parts.path_counts(
+                self.normalized.edges,
+                options.max_depth,
+                members=self.cycle_parts,
+                scratch=self.run.scratch,
+                cell_rows=options.cell_rows,
+            ),
+            "path-counts",
         )
-        return self.run.keep(counts, "path-counts")
 
     @cached_property
     def temporal(self) -> Temporal:
@@ -309,17 +316,24 @@ class Result:
             _VIEWS[name](self).createOrReplaceTempView(name)
         return list(names or _VIEWS)
 
-    def close(self) -> None:
-        """Release caches and delete the run's scratch tables; its DataFrames stop working."""
+    def release(self) -> None:
+        """Release caches."""
         for df in self.run.cached:
             df.unpersist()
+
+    def close(self) -> None:
+        """Release caches and delete the run's scratch tables; its DataFrames stop working."""
+        self.release()
         self.run.scratch.drop()
 
     def __enter__(self) -> Result:
         return self
 
-    def __exit__(self, *_) -> None:
-        self.close()
+    def __exit__(self, error, *_) -> None:
+        if error is not None and isinstance(self.run.scratch, ResumableScratch):
+            self.release()
+        else:
+            self.close()
 
 
 def _raw_edges(result: Result) -> DataFrame:
@@ -368,15 +382,32 @@ _VIEWS = {
 }
 
 
-def run(raw: RawInputs, options: PipelineOptions | None = None) -> Result:
+def run(
+    raw: RawInputs, options: PipelineOptions | None = None, *, resume: str | None = None
+) -> Result:
     """All five stages. Nothing is computed before a table of the result is used.
 
     Scratch tables go to the session's spark.checkpoint.dir; `Result.close` deletes them.
+
+    With `resume`, a folder that driver and executors share, the tables of the stages go there, and those
+    that a run before has finished over the same inputs with the same options are taken over. The inputs
+    are told apart by their content, which is one pass over the raw tables at the start. Other inputs or
+    options have tables of their own in the same folder.
     """
     options = options or PipelineOptions()
+    spark = raw.relationships.sparkSession
+    raw = raw.conformed()
+    if resume is None:
+        scratch = Scratch(spark)
+    elif options.persist != "table":
+        raise ValueError("only written tables can be resumed: persist must be 'table'")
+    else:
+        # reports change no table
+        scratch = ResumableScratch(spark, resume, fingerprint(raw, replace(options, validate=True)))
     if options.load_ts is None:
         now = datetime.now(timezone.utc).replace(tzinfo=None)
+        if resume is not None:
+            now = datetime.fromisoformat(scratch.remember("load-ts", now.isoformat()))
         options = replace(options, load_ts=now)
-    state = Run(options, Scratch(raw.relationships.sparkSession))
-    raw = raw.conformed()
+    state = Run(options, scratch)
     return Result(state, raw, extract_stage(raw))

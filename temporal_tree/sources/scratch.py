@@ -12,6 +12,7 @@ import itertools
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -70,7 +71,9 @@ class Scratch:
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         """Write `df` once and return a scan of what was written."""
-        path = self.new_path(name)
+        return self._save_to(self.new_path(name), df)
+
+    def _save_to(self, path: str, df: DataFrame) -> DataFrame:
         with _shuffles_dropped(self.spark):
             df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
@@ -84,6 +87,15 @@ class Scratch:
         table = self.save(df.observe(seen, *columns), name)
         return table, seen.get
 
+    def stage(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """`save` for a table that a run has once, under its own name, so that a later run may take it over."""
+        return self.save(build(), name)
+
+    def stage_measured(
+        self, name: str, build: Callable[[], DataFrame], **measures: Column
+    ) -> tuple[DataFrame, dict[str, int]]:
+        return self.save_measured(build(), name, **measures)
+
     def drop(self) -> None:
         """Delete this run's tables; DataFrames that read them stop working."""
         jvm = self.spark.sparkContext._jvm

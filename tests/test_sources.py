@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
@@ -20,6 +22,7 @@ from temporal_tree import (
 from temporal_tree.fixtures import sample_raw
 from temporal_tree.schemas import RAW_TABLES, STAR_TABLES
 from temporal_tree.sources import scratch as scratch_module
+from temporal_tree.sources.resumable import fingerprint
 
 
 def test_raw_from_parquet_and_catalog(spark, tmp_path):
@@ -185,3 +188,87 @@ def test_saved_tables_leave_no_shuffle_files(spark):
     again = scratch.save(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "sevenths")
     assert data_files() <= held
     assert rows(table) == rows(again) and spark.conf.get(name) == before
+
+
+# resumed runs
+
+
+class Lost(Exception):
+    pass
+
+
+def lose_at(monkeypatch, lost):
+    """Ends a run where it begins to write the named table, which is left without a commit."""
+    write = Scratch._save_to
+
+    def spy(self, path, df):
+        if path.endswith(f"-{lost}"):
+            Path(path.removeprefix("file:")).mkdir(parents=True)
+            raise Lost
+        return write(self, path, df)
+
+    monkeypatch.setattr(Scratch, "_save_to", spy)
+
+
+def table_files(folder):
+    """The tables written below a resumable folder, with the times of their files."""
+    found = {}
+    for file in Path(folder).glob("*/run-*/*/part-*.parquet"):
+        name = file.parent.name.partition("-")[2]
+        found.setdefault(name, set()).add((str(file), file.stat().st_mtime_ns))
+    return found
+
+
+@pytest.mark.parametrize("collapse, lost, kept", [
+    (True, "ordered", {"edges", "best_mappings", "calendar", "spans"}),
+    (True, "offsets", {"edges", "best_mappings", "calendar", "spans", "ordered"}),
+    (False, "ordered", {"edges", "best_mappings", "calendar", "segments"}),
+])
+def test_a_lost_run_goes_on_where_it_was(spark, tmp_path, collapse, lost, kept):
+    options = PipelineOptions(collapse=collapse)
+    with pytest.MonkeyPatch.context() as patch, pytest.raises(Lost):
+        lose_at(patch, lost)
+        with run(sample_raw(spark), options, resume=str(tmp_path)) as first:
+            first.star.fact.count()
+    before = table_files(tmp_path)
+    assert kept <= set(before) and lost not in before
+    with run(sample_raw(spark), options, resume=str(tmp_path)) as second:
+        got = rows(second.star.fact)
+        after = table_files(tmp_path)
+        # nothing that was finished is written again, and no path is made again
+        assert {name: after[name] for name in before} == before
+        assert set(after) - set(before) == {"ordered", "offsets"} - kept
+        # the load time is that of the first attempt
+        assert {r[-1] for r in got} == {first.run.options.load_ts}
+    assert got == rows(run(sample_raw(spark), PipelineOptions(load_ts=first.run.options.load_ts)).star.fact)
+    assert not list(tmp_path.iterdir())  # a run that ends well leaves nothing
+
+
+def test_other_inputs_or_options_are_not_taken_over(spark, tmp_path):
+    raw = sample_raw(spark)
+
+    def folder(raw, options=PipelineOptions()):
+        return run(raw, options, resume=str(tmp_path)).run.scratch.folder
+
+    mine = folder(raw)
+    assert folder(raw, PipelineOptions(validate=False)) == mine
+    shuffled = raw._replace(mappings=raw.mappings.orderBy(F.rand(3)).repartition(3))
+    assert folder(shuffled) == mine
+    others = [
+        folder(raw, PipelineOptions(half_open=True)),
+        folder(raw._replace(mappings=raw.mappings.limit(1))),
+        folder(raw._replace(partners=raw.partners.unionByName(raw.partners))),
+    ]
+    assert len({mine, *others}) == 4
+    with pytest.raises(ValueError, match="persist"):
+        run(raw, PipelineOptions(persist="cache"), resume=str(tmp_path))
+
+
+def test_fingerprint_tells_nulls_by_their_place(spark):
+    one, other = (
+        spark.createDataFrame([row], "a string, b string") for row in ((None, "x"), ("x", None))
+    )
+    assert fingerprint([one], None) != fingerprint([other], None)
+    assert fingerprint([one, other], None) != fingerprint([other, one], None)
+    nothing = one.where("false")
+    assert fingerprint([nothing], None) == fingerprint([nothing], None)
