@@ -222,7 +222,7 @@ def quality_rules(
     repeated 5-word windows. An isolation forest over `features`, ratios of the counts (`FEATURES`, and
     `MORE_FEATURES`: letters a word, the share of repeated words, the logarithm of the length), is grown on
     documents that pass them, `trees` groups of about `sample` rows (small ones, so that a cluster of
-    bad documents does not hide itself), each in a task of its own. The
+    bad documents does not hide itself). The
     threshold of its score is calibrated on all rows of `labels` (`doc_id`, `quality`) that pass them.
 
     Words are runs of anything but space, tab and line ends. Null and empty texts have counts of 0 and
