@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from temporal_tree.operators.joins import grid_join
 from temporal_tree.operators.normalize import partner_ids
-from temporal_tree.sources.scratch import Scratch
+from temporal_tree.sources.scratch import Scratch, setting
 
 _NODE = ["parent_account_id", "child_account_id", "root_account_id", "level_depth", "path"]
 _EDGE_FLAGS = ["parent_is_partner", "child_is_partner"]
@@ -45,11 +45,11 @@ def paths(
     `path` is the array of accounts from the root down. Flags on the edges (`flag_edges`) carry
     over, plus `root_is_partner`.
     """
-    if method == "cte":
-        return _paths_by_cte(edges, max_depth)
-    if method != "doubling":
+    if method not in ("doubling", "cte"):
         raise ValueError("method must be 'doubling' or 'cte'")
     scratch = scratch or Scratch(edges.sparkSession)
+    if method == "cte":
+        return _saved_recursion(_paths_by_cte(edges, max_depth), scratch, name)
     return _paths_by_doubling(edges, max_depth, scratch, cell_rows, name)
 
 
@@ -128,8 +128,7 @@ def _concatenate(heads: DataFrame, tails: DataFrame, cell_rows: int) -> DataFram
 
 
 def _paths_by_cte(edges: DataFrame, max_depth: int) -> DataFrame:
-    """The same rows as one recursive query, for small graphs: Spark raises an error when the
-    recursion passes spark.sql.cteRecursionRowLimit rows, it never returns a part."""
+    """The same rows as one recursive query."""
     base = _single_edges(edges)
     flags = [c for c in base.columns if c not in _NODE]
     grown = {
@@ -156,6 +155,16 @@ def _paths_by_cte(edges: DataFrame, max_depth: int) -> DataFrame:
     )
 
 
+def _saved_recursion(found: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """What a recursive query finds, written without Spark's limits on its rows and rounds, which would end it
+    with an error. They are settings of the session when it runs, hence the write; `level_depth` ends it."""
+    with (
+        setting(scratch.spark, "spark.sql.cteRecursionRowLimit", "-1"),
+        setting(scratch.spark, "spark.sql.cteRecursionLevelLimit", "-1"),
+    ):
+        return scratch.save(found, name)
+
+
 def partner_flags(hierarchy: DataFrame, entity_types: DataFrame) -> DataFrame:
     """Whether parent, child and root are partners, for a hierarchy that was built without flags.
 

@@ -23,7 +23,7 @@ class PipelineOptions:
     unmapped_flags   flags on those rows: from partner status, or always 1
     succession_key   whose last mapped day ends the hierarchy: the child or the manager itself
     collapse         build the fact from edges and date spans; False walks every path and segment
-    closure_method   'doubling' (default) or 'cte' (recursive SQL, bounded by Spark's row limit)
+    closure_method   'doubling' (default) or 'cte' (recursive SQL)
     one_row_per_account  account dimension keeps only PARTNER where an account is both kinds
     partition_by_account  keep the fact gathered by account, for repeated joins
     validate         build the check reports; a batch writes them to its log

@@ -11,6 +11,7 @@ import atexit
 import itertools
 import shutil
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
@@ -44,18 +45,30 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_root
 
 
+_settings_lock = threading.Lock()
+_settings_held: dict[tuple[int, str], list] = {}
+
+
 @contextmanager
-def _shuffles_dropped(spark: SparkSession):
-    """Lets Spark delete the shuffle files of a query when it has ended: what it wrote is read from then on."""
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
+def setting(spark: SparkSession, name: str, value: str):
+    """Sets a session setting for what runs inside. Threads may hold the same one at once: the last to leave
+    puts back what was there before the first."""
+    key = (id(spark), name)
+    with _settings_lock:
+        held = _settings_held.setdefault(key, [0, spark.conf.get(name, None)])
+        held[0] += 1
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(_CLEANUP)
-        else:
-            spark.conf.set(_CLEANUP, before)
+        with _settings_lock:
+            held[0] -= 1
+            if not held[0]:
+                del _settings_held[key]
+                if held[1] is None:
+                    spark.conf.unset(name)
+                else:
+                    spark.conf.set(name, held[1])
 
 
 class Scratch:
@@ -74,7 +87,8 @@ class Scratch:
         return self._save_to(self.new_path(name), df)
 
     def _save_to(self, path: str, df: DataFrame) -> DataFrame:
-        with _shuffles_dropped(self.spark):
+        # Spark deletes the shuffle files of the query when it has ended: what it wrote is read from then on
+        with setting(self.spark, _CLEANUP, "true"):
             df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 

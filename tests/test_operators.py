@@ -172,6 +172,23 @@ def test_best_mapping_by_source_then_end(spark):
 # hierarchy
 
 
+def test_recursive_query_passes_the_limits_of_the_session(spark, scratch):
+    chain = spark.range(14).selectExpr(
+        "concat('A', id) AS parent_account_id", "concat('A', id + 1) AS child_account_id"
+    )
+    limits = {"spark.sql.cteRecursionRowLimit": "20", "spark.sql.cteRecursionLevelLimit": "5"}
+    before = {name: spark.conf.get(name) for name in limits}
+    try:
+        for name, value in limits.items():
+            spark.conf.set(name, value)
+        levels = closure.paths(chain, 9, "cte", scratch=scratch).groupBy("level_depth").count()
+        assert dict(levels.collect()) == {k: 15 - k for k in range(1, 10)}
+        assert {name: spark.conf.get(name) for name in limits} == limits
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 @pytest.mark.parametrize("form", [{}, {"method": "cte"}, {"cell_rows": 1}])
 def test_cycle_and_diamond(spark, form):
     loop = edges_of(spark, ("A", "B"), ("B", "C"), ("C", "A"), ("B", "D"))
