@@ -7,6 +7,7 @@ and a write that fails or is killed leaves the old ones in use.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Mapping
 
@@ -36,23 +37,32 @@ def _names(database: str, version: str) -> dict[str, str]:
 
 
 def publish_star(
-    star: Mapping[str, DataFrame], database: str, *, buckets: int = 64, keep: int = 1
+    star: Mapping[str, DataFrame],
+    database: str,
+    *,
+    buckets: int = 64,
+    keep: int = 1,
+    task_rows: int = 2_000_000,
 ) -> str:
     """Write the star into tables of a new version, then make it the one that `read_published` reads.
 
     Fact and account dimension are bucketed and sorted by account, so a join or grouping on account_id reads
     them without an exchange, in this session and in any other. `buckets` should be about the number of
-    cores that read; an account lies in one bucket. Rows go to their bucket's task before the write, so a bucket
-    is one file. `keep` versions before the new one stay, for readers that began with them; older ones and
+    cores that read; an account lies in one bucket. Rows go to their bucket's tasks before the write: one, which writes
+    one file, or as many as it takes for each to sort about `task_rows` rows of the fact; an account lies
+    in one of their files. `keep` versions before the new one stay, for readers that began with them; older ones and
     those of failed writes are dropped. Returns the version.
     """
     spark = next(iter(star.values())).sparkSession
+    # no table by account has many more rows than the fact
+    pieces = max(1, math.ceil(star["fact_account_hierarchy"].count() / buckets / task_rows))
     old = _version(spark, database)
     version = f"v{uuid.uuid4().hex}"
     for name, table in _names(database, version).items():
         df = conform(star[name], STAR_TABLES[name])
         if name in _BY_ACCOUNT:
-            df = df.repartition(buckets, "account_id")
+            # buckets and tasks go by remainders of one hash: a multiple of the buckets divides each of them
+            df = df.repartition(buckets * pieces, "account_id")
             writer = df.write.bucketBy(buckets, "account_id").sortBy("account_id")
         else:
             writer = df.write
