@@ -361,7 +361,9 @@ _CHECKS = {
         r.path_counts, r.edges_on_cycles, r.run.options.max_depth
     ),
     "segments": _check_segments,
-    "fact": lambda r: quality.fact(r.star.fact),
+    "fact": lambda r: quality.fact(
+        r.star.fact, r.temporal.measured_spans[1] if r.run.options.collapse else None
+    ),
 }
 
 
