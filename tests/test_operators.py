@@ -652,3 +652,26 @@ def test_derived_inputs_use_every_row(spark):
     orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").count()
     assert raw.partners.select("partner_account_id").distinct().count() == customers
     assert raw.mappings.select("advertiser_id").distinct().count() == orders
+
+
+def test_counted_output_sets_the_tasks_of_a_join(spark):
+    left = spark.range(300).selectExpr("id % 30 AS k", "id AS a")
+    right = spark.range(60).selectExpr("id % 30 AS k", "id AS b")
+    ids = {"left_id": ["a"], "right_id": ["b"], "right_weight": F.lit(5)}
+    for cell_rows in (10, 1_000_000):
+        got = grid_join(left, right, "k", cell_rows=cell_rows, task_rows=100, **ids)
+        assert got.rdd.getNumPartitions() == 30  # 600 rows, 5 times each
+        assert rows(got) == rows(left.join(right, "k"))
+
+
+def test_fact_check_counts_keys_in_tasks_of_bounded_rows(spark):
+    facts = spark.range(40).selectExpr(
+        "concat('A', id % 20) AS account_id", "cast(null AS string) AS entity_id", "cast(id DIV 20 AS int) AS marketplace_id",
+        "date'2024-01-01' AS effective_start_date", "date'2024-01-31' AS effective_end_date",
+    )
+    report = quality.fact(facts.union(facts.limit(1)), task_rows=4)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "effective_end_date" in plan and ", 11), REPARTITION_BY_NUM" in plan
+    assert dict(rows(report)) == {
+        "total_records": 41, "inverted_ranges": 0, "duplicates": 1, "duplicates_ignoring_marketplace": 20,
+    }
