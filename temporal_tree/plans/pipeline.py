@@ -20,6 +20,9 @@ from temporal_tree.sources.raw import RawInputs
 from temporal_tree.sources.resumable import ResumableScratch, fingerprint
 from temporal_tree.sources.scratch import Scratch
 
+# tables up to this size of files are broadcast while a run's tables are made
+_BROADCAST_BYTES = 1 << 20
+
 
 @dataclass
 class Run:
@@ -400,12 +403,17 @@ def run(
     spark = raw.relationships.sparkSession
     raw = raw.conformed()
     if resume is None:
-        scratch = Scratch(spark)
+        scratch = Scratch(spark, broadcast_bytes=_BROADCAST_BYTES)
     elif options.persist != "table":
         raise ValueError("only written tables can be resumed: persist must be 'table'")
     else:
         # reports change no table
-        scratch = ResumableScratch(spark, resume, fingerprint(raw, replace(options, validate=True)))
+        scratch = ResumableScratch(
+            spark,
+            resume,
+            fingerprint(raw, replace(options, validate=True)),
+            broadcast_bytes=_BROADCAST_BYTES,
+        )
     if options.load_ts is None:
         now = datetime.now(timezone.utc).replace(tzinfo=None)
         if resume is not None:

@@ -40,8 +40,10 @@ class ResumableScratch(Scratch):
     there if they are finished; all others belong to this attempt. One driver at a time may use the folder.
     `drop` deletes all of it."""
 
-    def __init__(self, spark: SparkSession, root: str, digest: str):
-        super().__init__(spark, f"{root.rstrip('/')}/{digest}")
+    def __init__(
+        self, spark: SparkSession, root: str, digest: str, *, broadcast_bytes: int | None = None
+    ):
+        super().__init__(spark, f"{root.rstrip('/')}/{digest}", broadcast_bytes=broadcast_bytes)
         self.folder = f"{root.rstrip('/')}/{digest}"
 
     def _file_system(self, path: str):

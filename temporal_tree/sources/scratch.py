@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _local_root: str | None = None
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BROADCAST = "spark.sql.autoBroadcastJoinThreshold"
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -72,23 +73,48 @@ def setting(spark: SparkSession, name: str, value: str):
 
 
 class Scratch:
-    """A folder of tables that belong to one run."""
+    """A folder of tables that belong to one run.
 
-    def __init__(self, spark: SparkSession, root: str | None = None):
+    With `broadcast_bytes`, tables are made without broadcasts of more bytes than that, unless by hint. Spark goes by the
+    size of files, in which these tables take a tenth of what they take in the driver, and a loop that
+    reads a table in every round sends it there in every round.
+    """
+
+    def __init__(
+        self, spark: SparkSession, root: str | None = None, *, broadcast_bytes: int | None = None
+    ):
         self.spark = spark
+        self._broadcast_bytes = broadcast_bytes
         self.path = f"{(root or scratch_root(spark)).rstrip('/')}/run-{uuid.uuid4().hex}"
         self._serial = itertools.count(1)
 
     def new_path(self, name: str) -> str:
         return f"{self.path}/{next(self._serial):03d}-{name}"
 
+    @contextmanager
+    def broadcasts_bounded(self):
+        """For jobs inside that write no table here."""
+        if self._broadcast_bytes is None or not self._lowers():
+            yield
+        else:
+            with setting(self.spark, _BROADCAST, str(self._broadcast_bytes)):
+                yield
+
+    def _lowers(self) -> bool:
+        # the session may allow less itself; its value is text, with or without a unit, and negative for none
+        allowed = self.spark.conf.get(_BROADCAST)
+        if allowed.startswith("-"):
+            return False
+        as_bytes = self.spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+        return as_bytes(allowed) > self._broadcast_bytes
+
     def save(self, df: DataFrame, name: str) -> DataFrame:
         """Write `df` once and return a scan of what was written."""
         return self._save_to(self.new_path(name), df)
 
     def _save_to(self, path: str, df: DataFrame) -> DataFrame:
         # Spark deletes the shuffle files of the query when it has ended: what it wrote is read from then on
-        with setting(self.spark, _CLEANUP, "true"):
+        with setting(self.spark, _CLEANUP, "true"), self.broadcasts_bounded():
             df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 

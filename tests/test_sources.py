@@ -272,3 +272,38 @@ def test_fingerprint_tells_nulls_by_their_place(spark):
     assert fingerprint([one, other], None) != fingerprint([other, one], None)
     nothing = one.where("false")
     assert fingerprint([nothing], None) == fingerprint([nothing], None)
+
+
+def test_large_buckets_are_written_by_several_tasks(spark):
+    spark.sql("CREATE DATABASE pieces")
+    with run(sample_raw(spark)) as result:
+        star = result.star.tables()
+        publish_star(star, "pieces", buckets=2, task_rows=1)
+        got = read_published(spark, "pieces")
+        for name, df in star.items():
+            assert rows(got[name]) == rows(df.select(got[name].columns))
+        files = got["fact_account_hierarchy"].select("account_id", F.input_file_name().alias("file")).distinct()
+        assert files.select("file").distinct().count() > 2
+        assert files.count() == files.select("account_id").distinct().count()
+        joined = got["fact_account_hierarchy"].join(got["dim_accounts"].hint("merge"), "account_id")
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tables_of_a_run_are_made_without_large_broadcasts(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    with run(sample_raw(spark)) as result:
+        scratch = result.run.scratch
+        table = scratch.save(spark.range(100_000).selectExpr("uuid() AS account"), "accounts")
+
+        def plan():
+            return table.join(table.select("account"), "account")._jdf.queryExecution().executedPlan().toString()
+
+        assert "BroadcastExchange" in plan()
+        with scratch.broadcasts_bounded():
+            assert "BroadcastExchange" not in plan()
+        assert spark.conf.get(name) == before
+        spark.conf.set(name, "-1")
+        with scratch.broadcasts_bounded():
+            assert spark.conf.get(name) == "-1"
+    spark.conf.set(name, before)
