@@ -526,6 +526,52 @@ def test_fact_is_built_with_one_shuffle_of_spans(spark, scratch, monkeypatch):
     assert plans["ordered"].count("rangepartitioning") == 1
 
 
+def test_consolidation_sorts_no_paths(spark):
+    """The paths of an account are reduced by hashing in map tasks: what is sorted has a row per key and source."""
+    rnd = random.Random(5)
+    paths = [
+        (parent, f"c{i}", rnd.choice([parent, "r10", "r9", "r1"]), rnd.randint(1, 3), rnd.randint(0, 1))
+        for parent in ("a", "b")
+        for i in range(30)
+    ]
+    hierarchy = spark.createDataFrame(
+        paths, EDGE + ", root_account_id string, level_depth int, calculated_partner_flag int"
+    )
+    spans = spark.createDataFrame(
+        [
+            (account, entity, 1, source, date(2024, month, 1), date(2024, month, 28), 1)
+            for account in ("a", "b")
+            for entity in ("e", None)
+            for source in ("MANUAL", "x", "w", None)
+            for month in range(1, rnd.randint(2, 6))
+        ],
+        "manager_account_id string, entity_id string, marketplace_id int, source string, "
+        "period_start date, period_end date, is_mapped int",
+    )
+    alone = spark.createDataFrame(
+        [("b", date(2024, 7, 1), date(2099, 12, 31), 1)],
+        "account_id string, inherit_start_date date, inherit_end_date date, inherited_root_flag int",
+    )
+
+    def spread(paths):
+        managed = spans.withColumn("parent_account_id", F.col("manager_account_id"))
+        return paths.withColumn("calculated_root_flag", F.lit(1)).join(managed, "parent_account_id")
+
+    ranked = temporal.root_order(hierarchy)
+    assert ranked.count() == len(paths)
+    got = star.consolidate(spread(ranked), alone)
+    plain = star.consolidate(spread(hierarchy), alone)
+    assert got.columns == plain.columns
+    assert rows(got) == rows(plain)
+    assert "partial_min" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_literal_segments_hold_the_order_of_roots(spark):
+    result = run(sample_raw(spark), PipelineOptions(collapse=False))
+    assert "root_order" in result.temporal.segments.columns
+    assert "root_order" not in result.temporal.all_segments.columns
+
+
 def test_dim_accounts_grain(spark):
     facts = spark.createDataFrame([("A",), ("A",), ("B",), ("C",)], "account_id string")
     kinds = spark.createDataFrame(
