@@ -7,6 +7,8 @@ loop over words, and very long documents take memory in proportion to their leng
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 import pyarrow as pa
 
@@ -30,11 +32,25 @@ def mix(values: np.ndarray, salt: int = 0) -> np.ndarray:
         return z ^ (z >> np.uint64(31))
 
 
-def _powers(n: int) -> np.ndarray:
-    base = np.full(max(n, 1), _BASE & (2**64 - 1), np.uint64)
-    base[0] = 1
+def _powers(n: int, base: int = _BASE) -> np.ndarray:
+    out = np.full(max(n, 1), base & (2**64 - 1), np.uint64)
+    out[0] = 1
     with np.errstate(over="ignore"):
-        return np.multiply.accumulate(base)
+        return np.multiply.accumulate(out)
+
+
+def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least n powers, and their inverses modulo 2**64: the base is odd."""
+    return _slice_tables() if n <= 1 << 20 else _tables(n)
+
+
+def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return _powers(n), _powers(n, pow(_BASE, -1, 1 << 64))
+
+
+@cache
+def _slice_tables() -> tuple[np.ndarray, np.ndarray]:
+    return _tables(1 << 20)
 
 
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -86,16 +102,18 @@ class Words:
         if not len(self):
             return np.zeros(0, np.uint64)
         size = self.end - self.start
-        first = np.cumsum(size) - size
-        place = np.arange(size.sum(), dtype=np.int32)
-        at = place + np.repeat((self.start - first).astype(np.int32), size)
-        place -= np.repeat(first.astype(np.int32), size)
-        letters = self.raw[at].astype(np.uint64)
-        del at
+        low = int(self.start[0])
+        span = int(self.end[-1]) - low
+        powers, inverse = _power_tables(span)
         with np.errstate(over="ignore"):
+            # sums of letters times the powers of their places, of which a word is a difference
+            letters = self.raw[low : low + span].astype(np.uint64)
             letters += np.uint64(1)
-            letters *= _powers(int(size.max()))[place]
-            total = np.add.reduceat(letters, first)
+            letters *= powers[:span]
+            sums = np.empty(span + 1, np.uint64)
+            sums[0] = 0
+            np.cumsum(letters, out=sums[1:])
+            total = (sums[self.end - low] - sums[self.start - low]) * inverse[self.start - low]
         return mix(total ^ (size.astype(np.uint64) << np.uint64(48)))
 
 

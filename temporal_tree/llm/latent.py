@@ -118,10 +118,17 @@ def word_weights(frequency: np.ndarray, total: int) -> np.ndarray:
     return np.maximum(weight, _FLOOR * np.log(total + 1))
 
 
-def _group_sums(group: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of rows of equal, ascending groups."""
-    heads = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, int)
-    return group[heads], np.add.reduceat(rows, heads, axis=0) if len(heads) else rows[:0]
+def _block_sums(block: np.ndarray, number: np.ndarray, rows: np.ndarray, out: np.ndarray) -> None:
+    """Adds the rows of each number to its block; blocks ascend and have a few numbers each."""
+    heads = np.flatnonzero(np.append(True, block[1:] != block[:-1])) if len(block) else np.zeros(0, int)
+    sizes = np.diff(np.append(heads, len(block)))
+    for k in range(0, len(heads), 4096):  # what is added to stays in a cache
+        head, size = heads[k : k + 4096], sizes[k : k + 4096]
+        sums = rows[number[head]]
+        for step in range(1, int(size.max())):
+            more = np.flatnonzero(size > step)
+            sums[more] += rows[number[head[more] + step]]
+        out[block[head]] = sums
 
 
 def _add_image(total: np.ndarray, column: pa.Array, vocabulary: Vocabulary, probe: np.ndarray) -> None:
@@ -134,13 +141,17 @@ def _add_image(total: np.ndarray, column: pa.Array, vocabulary: Vocabulary, prob
     block = blocks.of_word[at]
     doc_first = blocks.first[blocks.doc[block]] if len(block) else block
     passage = doc_first + (block - doc_first) // _LONG
-    for k in range(0, len(at), 1 << 17):
-        part = slice(k, k + (1 << 17))
-        group, image = _group_sums(passage[part], weight[part, None] * probe[number[part]])
-        back = weight[part, None] * image[np.searchsorted(group, passage[part])]
-        order = np.argsort(number[part], kind="stable")
-        found, sums = _group_sums(number[part][order], back[order])
-        total[found] += sums
+    # some passages at once, as a dense matrix of the words they have
+    heads = np.flatnonzero(np.append(True, passage[1:] != passage[:-1])) if len(passage) else np.zeros(0, int)
+    bounds = np.append(heads, len(at))
+    row = np.repeat(np.arange(len(heads)), np.diff(bounds))
+    for k in range(0, len(heads), 32):
+        part = slice(bounds[k], bounds[min(k + 32, len(heads))])
+        found, column_of = np.unique(number[part], return_inverse=True)
+        n = min(32, len(heads) - k)
+        matrix = np.bincount((row[part] - k) * len(found) + column_of, weight[part], n * len(found))
+        matrix = matrix.astype(np.float32).reshape(n, len(found))
+        total[found] += matrix.T @ (matrix @ probe[found])
 
 
 def _range_rows(vocabulary: Vocabulary, probe: np.ndarray):
@@ -197,6 +208,8 @@ class Search:
         self.ids = ids
         self.items = [hashes[a:b].tolist() for a, b in zip(words.first[:-1], words.first[1:], strict=True)]
         self.counts = [Counter(item) for item in self.items]
+        least = min(copied, paraphrased)
+        self.needed = [next(c for c in range(n + 2) if c > n or c / max(n, 1) >= least) for n in map(len, self.items)]
         self.numbers = [np.searchsorted(vocabulary.items, np.array(list(c), np.uint64)).tolist() for c in self.counts]
         parts = [(k, a, b) for k, item in enumerate(self.items) for a, b in _parts(len(item))]
         self.item_of = np.array([k for k, _, _ in parts], np.int64)
@@ -205,6 +218,8 @@ class Search:
             own = hashes[int(words.first[k]) + a : int(words.first[k]) + b]
             at, number = vocabulary.look_up(own)
             vectors[row] = vocabulary.weights(own[at]).astype(np.float32) @ basis[number]
+        # a word's weight is that of its hash
+        self.weighted = basis * vocabulary.weights(vocabulary.items).astype(np.float32)[:, None]
         self.vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
         short = np.array([len(self.items[k]) < 24 for k, _, _ in parts], bool)
         self.scales = [(_SHORT, np.flatnonzero(short)), (_LONG, np.flatnonzero(~short))]
@@ -219,13 +234,11 @@ class Search:
         at, number = self.vocabulary.look_up(hashes)
         energy = np.bincount(blocks.of_word, weight**2, n)
         own = np.bincount(blocks.of_word[at], weight[at] ** 2, n)
-        latent = np.zeros((n + 1, self.basis.shape[1]), np.float32)
-        for k in range(0, len(at), 1 << 17):
-            part = slice(k, k + (1 << 17))
-            block, sums = _group_sums(blocks.of_word[at[part]], weight[at[part], None] * self.basis[number[part]])
-            latent[block] += sums
-        order = np.argsort(number, kind="stable")
-        held = blocks.of_word[at[order]], np.searchsorted(number[order], np.arange(len(self.vocabulary.items) + 1))
+        # a document's blocks are followed by empty ones, so that no passage reaches the next document's
+        place = np.arange(n) + blocks.doc * (_LONG - 1)
+        latent = np.zeros((n + (len(blocks.first) - 1) * (_LONG - 1) + _LONG, self.basis.shape[1]), np.float32)
+        _block_sums(place[blocks.of_word[at]], number, self.weighted, latent)
+        held = self._held(blocks.of_word[at], number)
         last = blocks.first[1:][blocks.doc]
         all_energy, own_energy = np.append(0, np.cumsum(energy)), np.append(0, np.cumsum(own))
         found = set()
@@ -236,37 +249,50 @@ class Search:
             # a cosine is at most the root of the part that is in benchmark words
             part, whole = own_energy[end] - own_energy[:n], all_energy[end] - all_energy[:n]
             start = np.flatnonzero((part >= self.least_cosine**2 * whole - 1e-6) & (part > 0))
-            passage = np.zeros((len(start), latent.shape[1]), np.float32)
-            for step in range(size):
-                inside = start + step < last[start]
-                passage[inside] += latent[start[inside] + step]
+            sums, width = latent, 1
+            while width < size:
+                sums = sums[:-width] + sums[width:]
+                width *= 2
+            passage = sums[place[start]]
             passage /= np.maximum(np.sqrt(np.einsum("ij,ij->i", passage, passage)), 1e-9)[:, None]
             for g in range(0, len(parts), 256):
-                some, near = parts[g : g + 256], []
+                some, near, column = parts[g : g + 256], [start[:0]], [np.zeros(0, np.uint8)]
                 for k in range(0, len(start), 8192):
-                    rows, columns = np.nonzero(passage[k : k + 8192] @ self.vectors[some].T >= self.least_cosine)
-                    near.append(np.column_stack([self.item_of[some[columns]], start[k + rows]]))
-                pairs = np.concatenate(near) if near else np.zeros((0, 2), int)
-                pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
-                items, heads = np.unique(pairs[:, 0], return_index=True)
-                for i, of_item in zip(items.tolist(), np.split(pairs[:, 1], heads[1:]), strict=False):
+                    close = passage[k : k + 8192] @ self.vectors[some].T >= self.least_cosine
+                    row, part = np.divmod(np.flatnonzero(close).astype(np.int32), np.int32(len(some)))
+                    near.append(start[k + row])
+                    column.append(part.astype(np.uint8))
+                # parts ascend by item
+                by_part = np.concatenate(column)
+                order = np.argsort(by_part, kind="stable")
+                item, at_block = self.item_of[some[by_part[order]]], np.concatenate(near)[order]
+                heads = np.flatnonzero(np.append(True, item[1:] != item[:-1])) if len(item) else order
+                for i, of_item in zip(item[heads].tolist(), np.split(at_block, heads[1:]), strict=False):
                     for b in of_item[self._enough(i, of_item, n, *held)].tolist():
                         doc = int(blocks.doc[b])
                         found.add((doc, i, int(words.first[doc]) + (b - int(blocks.first[doc])) * _BLOCK))
         return found
 
-    def _enough(self, item: int, at: np.ndarray, n: int, block: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    def _held(self, block: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, list[int]]:
+        """The blocks of all benchmark words in order of their numbers, and where each number begins."""
+        n = len(self.vocabulary.items)
+        order = np.argsort(number.astype(np.uint16) if n <= 1 << 16 else number, kind="stable")
+        return block[order], np.append(0, np.cumsum(np.bincount(number, minlength=n))).tolist()
+
+    def _enough(self, item: int, at: np.ndarray, n: int, block: np.ndarray, bounds: list[int]) -> np.ndarray:
         """Whether the surroundings of the passages that begin at the blocks `at` have a stretch with as many
         words of the item as a match needs. `block` has the places of the benchmark words by number."""
         size = len(self.items[item])
         if not size:
             return np.zeros(len(at), bool)
         places = np.concatenate([block[bounds[w] : bounds[w + 1]] for w in self.numbers[item]])
-        count = np.append(0, np.cumsum(np.bincount(places, minlength=n)))
         wide = (size + 2 * max(1, size // 8) + _BLOCK - 2) // _BLOCK + 1
-        first = np.arange(n)
-        enough = (count[np.minimum(first + wide, n)] - count[:n]) / size >= min(self.copied, self.paraphrased)
-        total = np.append(0, np.cumsum(enough))
+        count = np.empty(n + wide + 1, np.int32)
+        count[0] = 0
+        np.cumsum(np.bincount(places, minlength=n), out=count[1 : n + 1])
+        count[n + 1 :] = count[n]
+        total = np.zeros(n + 1, np.int32)
+        np.cumsum(count[wide : n + wide] - count[:n] >= self.needed[item], out=total[1:])
         beside = -(-size // _BLOCK)
         return total[np.minimum(at + beside + _LONG + 1, n)] > total[np.maximum(at - beside, 0)]
 

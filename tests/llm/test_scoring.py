@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -313,6 +314,30 @@ def test_decontamination(spark, frame, corpus):
     assert len(none) == len(texts) and not any(r["contaminated"] for r in none.values())
 
 
+def test_sums_of_blocks_and_passages():
+    rng = random.Random(11)
+    texts = [" ".join(some_words(rng, n, 60)) for n in (0, 3, 8, 70, 200, 5000)] + [None, "  "]
+    column = pa.array(texts, pa.string())
+    words, hashes = latent.words_in(column)
+    vocabulary = latent.Vocabulary(np.random.default_rng(2).uniform(1, 3, latent._BUCKETS), np.unique(hashes)[::2])
+    probe = np.random.default_rng(3).standard_normal((len(vocabulary.items), 5), dtype=np.float32)
+    blocks = latent._Blocks(words)
+    at, number = vocabulary.look_up(hashes)
+    # passages of 32 words that do not cross documents, as a plain matrix
+    own = [(d, k // 32) for d in range(len(texts)) for k in range(words.counts[d])]
+    numbered = {passage: i for i, passage in enumerate(dict.fromkeys(own))}
+    matrix = np.zeros((len(numbered), len(vocabulary.items)))
+    for place, n in zip(at.tolist(), number.tolist(), strict=True):
+        matrix[numbered[own[place]], n] += vocabulary.weights(hashes[place : place + 1])[0]
+    image = np.zeros_like(probe)
+    latent._add_image(image, column, vocabulary, probe)
+    assert np.allclose(image, matrix.T @ (matrix @ probe), rtol=1e-4, atol=1e-2)
+    wanted, got = (np.zeros((len(blocks), 5), np.float32) for _ in range(2))
+    np.add.at(wanted, blocks.of_word[at], probe[number])
+    latent._block_sums(blocks.of_word[at], number, probe, got)
+    assert np.allclose(got, wanted, atol=1e-4)
+
+
 def test_long_items_are_found(spark, frame):
     """Copies of items that are many times as long as a searched passage, against brute force."""
     rng = random.Random(12)
