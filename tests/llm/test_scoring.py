@@ -417,6 +417,25 @@ def test_pipeline(spark, tmp_path):
     assert set(map(tuple, last.select(columns).collect())) == set(map(tuple, corpus_pipeline.run(spark, sf_dir).select(columns).collect()))
 
 
+def test_stages_hand_small_batches_to_python(spark, tmp_path, frame):
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([len(batch)], pa.int64())})
+
+    try:
+        for allowed, most in (("10000", corpus_pipeline.BATCH_ROWS), ("0", corpus_pipeline.BATCH_ROWS), ("7", 7)):
+            spark.conf.set(setting, allowed)
+            dict(corpus_pipeline.STAGES)["suffix_dedup"](spark, frame({1: "some text", 2: None}), str(tmp_path)).collect()
+            seen = spark.range(0, 3_000, 1, 1).mapInArrow(sizes, "n long").collect()
+            assert max(row["n"] for row in seen) == most
+        assert all(hasattr(stage, "__wrapped__") for _, stage in corpus_pipeline.STAGES)
+    finally:
+        spark.conf.set(setting, before)
+
+
 def test_pipeline_keeps_every_row(spark, tmp_path):
     """Rows without an id, rows that repeat one, and columns with the names of stages' own."""
     rng = random.Random(9)
