@@ -50,7 +50,7 @@ _SPAN_ROWS = pa.schema(_SEGMENT_ROWS.field(n) for n in ("doc_id", "starts", "end
 # live anchors per shard, which is sorted on disk if need be
 _ANCHORS_PER_SHARD = 40_000
 # segments that are compared with each other at once
-_GROUP_BYTES = 2 << 20
+_GROUP_BYTES = 1 << 20
 # most bytes of text that are handled at once; where equal segments are sent once, some more
 _SLICE_BYTES = 1 << 20
 # most bytes of different segments that wait for equal ones

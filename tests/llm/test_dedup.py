@@ -7,6 +7,7 @@ from collections import defaultdict
 from dataclasses import replace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,6 +118,21 @@ def test_hot_anchors_are_divided(frame, corpus, scratch, monkeypatch):
         assert {i: n for i, n in removed.items() if n} == {i: w[1] for i, w in want.items() if w[1]}
 
 
+def test_groups_of_a_shard_are_small():
+    """Keys of a shard are settled together up to a megabyte, which induced sorting holds many times over."""
+    made = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32())), ("content", pa.binary())])
+    batches = [pa.RecordBatch.from_pylist([{"key": k, "doc_id": k, "starts": [0], "ends": None, "content": bytes(100_000)}], schema=made) for k in range(40)]
+    sizes = []
+
+    def decide(_docs, _starts, contents):
+        sizes.append(sum(map(len, contents)))
+        return iter(())
+
+    for _ in anchored._shard_rows(decide)(iter(batches)):
+        pass
+    assert sum(sizes) == 4_000_000 and max(sizes) < 1_300_000
+
+
 def test_induced_sorting():
     rng = np.random.default_rng(5)
     for trial in range(120):
