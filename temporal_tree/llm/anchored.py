@@ -15,8 +15,8 @@ brings all equal windows together.
    repeated; the method is the caller's.
 
 An anchor with over `hot` documents would still bring all its different surroundings to one shard. Its
-windows go another way, one by one: the earliest place of each is a grouped minimum of 128-bit hashes,
-combined in map tasks, so that no task ever gets what such an anchor has gathered.
+windows go another way, one by one: 128-bit hashes, each sent once by a task as segments are, are
+grouped by one exchange for their earliest place, so that no task ever gets what such an anchor has gathered.
 """
 
 from __future__ import annotations
@@ -28,11 +28,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from temporal_tree.llm.batches import Words, anchors, byte_hashes, grams, mix, text_bytes
-from temporal_tree.llm.documents import partitions
+from temporal_tree.llm.documents import partitions, tables
 from temporal_tree.sources.scratch import Scratch
 
 _SEGMENTS = "key long, doc_id long, starts array<int>, ends array<int>, content binary"
@@ -162,7 +162,8 @@ def _anchor_rows(windows: Windows):
 def live_anchors(texts: DataFrame, windows: Windows, scratch: Scratch) -> tuple[DataFrame, int, int]:
     """Per document with any the anchors that occur elsewhere (times two, plus one if hot), and how
     many there are, and how many of them are hot."""
-    found = scratch.save(
+    own = tables(texts.sparkSession)
+    found = own.save(
         texts.mapInArrow(_anchor_rows(windows), "anchor long, doc_id long, twice boolean"), "anchors"
     )
     live = (
@@ -177,6 +178,7 @@ def live_anchors(texts: DataFrame, windows: Windows, scratch: Scratch) -> tuple[
         total=F.sum(F.size("marks")),
         hot=F.sum(F.size(F.filter("marks", lambda mark: mark % 2 != 0))),
     )
+    own.drop()
     return marks, measured["total"] or 0, measured["hot"] or 0
 
 
@@ -277,22 +279,22 @@ def _live_rows(windows: Windows, hot: bool):
     return emit
 
 
-def _hot_spans(texts: DataFrame, marks: DataFrame, windows: Windows, scratch: Scratch) -> DataFrame:
+def _hot_spans(texts: DataFrame, marks: DataFrame, windows: Windows) -> DataFrame:
     """Repeated windows of hot anchors: all but the earliest place of each."""
     hot = marks.where(F.exists("marks", lambda mark: mark % 2 != 0))
-    found = scratch.save(
-        texts.join(hot, "doc_id").select("doc_id", "text", "marks").mapInArrow(_live_rows(windows, hot=True), _SEGMENTS),
-        "hot-windows",
-    )
-    place = F.struct(F.col("doc_id"), F.col("starts")[0])
-    single = found.where("content is not null").withColumn("place", place)
-    earliest = (
-        single.groupBy("content").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    )
-    later = F.col("place") > F.col("first") if windows.same_document else F.col("doc_id") > F.col("first.doc_id")
+    found = texts.join(hot, "doc_id").select("doc_id", "text", "marks").mapInArrow(_live_rows(windows, hot=True), _SEGMENTS)
+    # what a task has found to be repeated itself has ends and no content; it is spread by its document
+    group = F.coalesce("content", F.col("doc_id").cast("string").cast("binary"))
+    place = F.when(F.col("ends").isNull(), F.struct("doc_id", F.col("starts")[0].alias("start")))
+    first = F.min(place).over(Window.partitionBy("group"))
+    later = place > F.col("first") if windows.same_document else F.col("doc_id") > F.col("first.doc_id")
     ends = F.transform("starts", lambda start: start + windows.size)
-    repeated = single.join(earliest, "content").where(later).select("doc_id", "starts", ends.alias("ends"))
-    return repeated.unionByName(found.where("content is null").select("doc_id", "starts", "ends"))
+    return (
+        found.select("doc_id", "starts", "ends", group.alias("group"))
+        .withColumn("first", first)
+        .where(F.col("ends").isNotNull() | later)
+        .select("doc_id", "starts", F.coalesce("ends", ends).alias("ends"))
+    )
 
 
 def _shard_rows(decide: Decide):
@@ -350,7 +352,7 @@ def repeated_spans(texts: DataFrame, windows: Windows, decide: Decide, scratch:
     segments = live_segments(texts, marks, windows).repartition(shards, "key").sortWithinPartitions("key")
     spans = segments.mapInArrow(_shard_rows(decide), _SPANS)
     if hot:
-        spans = spans.unionByName(_hot_spans(texts, marks, windows, scratch))
+        spans = spans.unionByName(_hot_spans(texts, marks, windows))
     return (
         spans.select("doc_id", F.arrays_zip("starts", "ends").alias("spans"))
         .groupBy("doc_id")

@@ -11,8 +11,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from temporal_tree.llm import anchored, induced, rlz, setsketch
+from temporal_tree.llm import anchored, documents, induced, rlz, setsketch
 from temporal_tree.llm.batches import Words, anchors, byte_hashes
+from temporal_tree.sources.scratch import Scratch
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -133,6 +134,26 @@ def test_groups_of_a_shard_are_small():
     assert sum(sizes) == 4_000_000 and max(sizes) < 1_300_000
 
 
+def test_hot_windows_are_exchanged_once(spark, scratch):
+    """Windows of hot anchors go to their groups by one exchange, and no table of them is written first."""
+    texts = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(30)) + f" x{i}") for i in range(50)], "doc_id long, text string")
+    windows = anchored.Windows("word", 13, 6, False, hot=10)
+    found = anchored.repeated_spans(texts, windows, rlz.factor_spans(13), scratch)
+    assert sum(r["spans"] != [] for r in found.collect()) == 49
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window [" in plan and "hot-windows" not in plan
+
+
+def test_anchors_go_when_they_are_counted(spark, tmp_path, monkeypatch):
+    """Their table is as large as the corpus and not read again."""
+    monkeypatch.setattr(documents, "Scratch", lambda session: Scratch(session, str(tmp_path)))
+    texts = spark.createDataFrame([(i, "a passage of words " * 20) for i in range(4)], "doc_id long, text string")
+    scratch = Scratch(spark, str(tmp_path))
+    marks, total, _ = anchored.live_anchors(texts, anchored.Windows("byte", 100, 25, True), scratch)
+    assert total and marks.count() == 4
+    assert [p.name for p in tmp_path.glob("run-*/*")] == ["001-live"]
+
+
 def test_induced_sorting():
     rng = np.random.default_rng(5)
     for trial in range(120):
