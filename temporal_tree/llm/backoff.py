@@ -1,8 +1,8 @@
-"""Stupid-backoff scores of documents, as joins of exploded n-grams with count tables."""
+"""Stupid-backoff scores of documents, from counts of words and bigrams that are grouped by hash."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -13,103 +13,159 @@ from pyspark.sql import functions as F
 from temporal_tree.llm.anchored import slices
 from temporal_tree.llm.batches import LOWER, Words, mix, text_bytes
 from temporal_tree.llm.documents import tables, texts_of
-from temporal_tree.sources.scratch import Scratch
 
 START = 0  # stands before the first word
 
+# keys that a task counts at once
+_PART_KEYS = 2_000_000
+# bytes of text that send a key once
+_SLICE_BYTES = 2 << 20
+_SLICES = "slice long, n_words long, docs binary, counts binary, vocabulary binary, places binary"
+_REQUESTS = "part int, slice long, keys binary, n binary"
+_ANSWERS = "part int, slice long, n binary"
+_SCORES = "doc_id long, n_words long, log_score double"
 
-def _rows_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, Words, np.ndarray]:
-    raw, bounds = text_bytes(batch.column("text"))
-    words = Words(LOWER[raw], bounds)
-    hashes = words.hashes()
-    hashes[hashes == START] = 1
-    return batch.column("doc_id").to_numpy(zero_copy_only=False), hashes, words, words.doc
 
-
-def _distinct(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For rows sorted by the columns: the first of each distinct row, and how many it stands for."""
-    head = np.ones(len(columns[0]), bool)
-    if len(head):
-        head[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
-    heads = np.flatnonzero(head)
-    return heads, np.diff(np.append(heads, len(head)))
-
-
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Occurrences of each word, summed over a slice, and of the start of a document."""
+def _slice_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per slice of texts: its documents with words, how many words each has, the distinct words' hashes, the start
+    first, and the words as places among them."""
     for whole in batches:
-        for batch in slices(whole):
-            _, hashes, words, _ = _rows_of(batch)
-            word, n = np.unique(hashes, return_counts=True)
-            word = np.append(word, np.uint64(START)).astype(np.int64)
-            n = np.append(n, np.count_nonzero(words.counts))
-            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(n.astype(np.int64))], ["word", "n"])
-
-
-def _bigrams(turn: int, rounds: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Distinct pairs of neighbouring words per document whose hash is of this turn: how often, and how often each
-    word alone."""
-
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in slices(whole):
-                ids, hashes, words, row = _rows_of(batch)
-                # how often each word occurs in its document
-                order = np.lexsort((hashes, row))
-                heads, n = _distinct(row[order], hashes[order])
-                own = np.empty(len(hashes), np.int32)
-                own[order] = np.repeat(n, n)
-                before, before_own = np.empty_like(hashes), np.empty_like(own)
-                if len(hashes):
-                    before[1:], before_own[1:] = hashes[:-1], own[:-1]
-                    first = words.first[:-1][words.counts > 0]
-                    before[first], before_own[first] = START, 1
-                mine = np.flatnonzero(mix(before ^ mix(hashes)) % np.uint64(rounds) == turn)
-                order = mine[np.lexsort((hashes[mine], before[mine], row[mine]))]
-                heads, n = _distinct(row[order], before[order], hashes[order])
-                at = order[heads]
-                for k in range(0, max(1, len(at)), 100_000):
-                    part, times = at[k : k + 100_000], n[k : k + 100_000]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(before[part].astype(np.int64)), pa.array(hashes[part].astype(np.int64)), pa.array(ids[row[part]]),
-                            pa.array(times.astype(np.int32)), pa.array(before_own[part]), pa.array(own[part]),
-                        ],
-                        ["a", "b", "doc_id", "m", "m_a", "m_b"],
-                    )
-
-    return pairs
-
-
-def _round(texts: DataFrame, words: DataFrame, scratch: Scratch, turn: int, rounds: int, per_word: float) -> DataFrame:
-    """Per document the number of words whose pair is of this turn, and the sum of their scores."""
-    pairs = scratch.save(texts.mapInArrow(_bigrams(turn, rounds), "a long, b long, doc_id long, m int, m_a int, m_b int"), "pairs")
-    shared = scratch.save(
-        pairs.groupBy("a", "b")
-        .agg(F.sum("m").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-        .where("lo < hi")
-        .select("a", "b", "n"),
-        "shared",
-    )
-    rest = F.col("n") - F.col("m")
-    known = F.col("n").isNotNull()
-    resolved = pairs.join(shared, ["a", "b"], "left").select(
-        "doc_id",
-        "m",
-        F.when(known, F.col("a")).otherwise(F.col("b")).alias("word"),
-        F.when(known, F.col("m_a")).otherwise(F.col("m_b")).alias("own"),
-        F.when(known, -F.col("m")).otherwise(F.col("m")).alias("weight"),
-        (F.col("m") * F.when(known, F.log(rest)).otherwise(F.log(F.lit(per_word)))).alias("part"),
-    )
-    requests = resolved.groupBy("doc_id", "word").agg(
-        F.sum("m").alias("m"), F.max("own").alias("own"), F.sum("weight").alias("weight"), F.sum("part").alias("part")
-    )
-    others = F.greatest(F.col("n") - F.col("own"), F.lit(0.5))
-    return (
-        requests.join(words, "word")
-        .groupBy("doc_id")
-        .agg(F.sum("m").alias("n_words"), F.sum(F.col("weight") * F.log(others) + F.col("part")).alias("log_score"))
-    )
+        for batch in slices(whole, _SLICE_BYTES):
+            raw, bounds = text_bytes(batch.column("text"))
+            words = Words(LOWER[raw], bounds)
+            if not len(words):
+                continue
+            hashes = words.hashes()
+            hashes[hashes == START] = 1
+            vocabulary, places = np.unique(np.append(np.uint64(START), hashes), return_inverse=True)
+            some = words.counts > 0
+            docs = batch.column("doc_id").to_numpy(zero_copy_only=False)[some]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([int(docs[0])], pa.int64()),  # ids are unique, so one of its own names the slice
+                    pa.array([len(words)], pa.int64()),
+                    *(pa.array([x.tobytes()], pa.binary()) for x in (docs, words.counts[some], vocabulary, places[1:].astype(_narrow(len(vocabulary))))),
+                ],
+                ["slice", "n_words", "docs", "counts", "vocabulary", "places"],
+            )
+
+
+def _narrow(size: int) -> type:
+    return np.uint16 if size <= 1 << 16 else np.uint32
+
+
+class _Slice:
+    """A slice's words, and its keys: the hashes of its distinct words, then of its distinct pairs of neighbours."""
+
+    def __init__(self, row: dict, parts: int):
+        self.docs, self.counts = np.frombuffer(row["docs"], np.int64), np.frombuffer(row["counts"], np.int64)
+        vocabulary = np.frombuffer(row["vocabulary"], np.uint64)
+        self.size = len(vocabulary)
+        self.word = np.frombuffer(row["places"], _narrow(self.size)).astype(np.int64)
+        self.row = np.repeat(np.arange(len(self.docs)), self.counts)
+        self.before = np.empty_like(self.word)
+        self.before[1:] = self.word[:-1]
+        self.first = np.cumsum(self.counts) - self.counts
+        self.before[self.first] = START
+        pairs, times = np.unique(self.before * self.size + self.word, return_counts=True)
+        a, b = np.divmod(pairs, self.size)
+        self.keys = np.append(vocabulary, mix(vocabulary[a] ^ mix(vocabulary[b]), salt=1))
+        self.n = np.append(np.bincount(self.word, minlength=self.size), times)
+        self.n[START] = len(self.docs)
+        self.part = ((self.keys >> np.uint64(32)) % np.uint64(parts)).astype(np.int32)
+
+    def dealt(self, turn: int = 0, rounds: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The places of the turn's keys by part, the parts that have some, and where each begins, with the end."""
+        order = np.flatnonzero(self.part % rounds == turn)
+        order = order[np.argsort(self.part[order], kind="stable")]
+        part, heads = np.unique(self.part[order], return_index=True)
+        return order, part, np.append(heads, len(order))
+
+    def scores(self, found: np.ndarray, floor: float) -> np.ndarray:
+        """Per document the sum of its words' scores. `found` has what each key counts in the corpus."""
+        _, pair = np.unique(self.before * self.size + self.word, return_inverse=True)
+        # how often a word and a pair occur in their own document
+        _, spot, times = np.unique(self.row * self.size + self.word, return_inverse=True, return_counts=True)
+        own = times[spot]
+        own_before = np.empty_like(own)
+        own_before[1:] = own[:-1]
+        own_before[self.first] = 1
+        _, at, m = np.unique(self.row * (len(self.keys) - self.size) + pair, return_index=True, return_counts=True)
+        rest = found[self.size :][pair[at]] - m
+        known = rest > 0
+        word = np.where(known, self.before[at], self.word[at])
+        others = np.maximum(found[word] - np.where(known, own_before[at], own[at]), 0.5)
+        score = np.where(known, np.log(np.maximum(rest, 1)) - np.log(others), np.log(floor) + np.log(others))
+        return np.bincount(self.row[at], weights=m * score, minlength=len(self.docs))
+
+
+def _requests(parts: int, turn: int, rounds: int):
+    """A slice's keys and how often each occurs in it, a row for every part of this turn that has some."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                row = batch.slice(i, 1).to_pylist()[0]
+                own = _Slice(row, parts)
+                order, some, bounds = own.dealt(turn, rounds)
+                spans = list(zip(bounds[:-1], bounds[1:], strict=True))
+                keys, n = own.keys[order], own.n[order].astype(np.uint32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(some, pa.int32()), pa.array([row["slice"]] * len(some), pa.int64()),
+                        pa.array([keys[a:b].tobytes() for a, b in spans], pa.binary()),
+                        pa.array([n[a:b].tobytes() for a, b in spans], pa.binary()),
+                    ],
+                    ["part", "slice", "keys", "n"],
+                )
+
+    return emit
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come by part. Of each the numbers of its keys, in their order, summed over all rows of the part."""
+
+    def settled(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        keys = [np.frombuffer(x, np.uint64) for x in table["keys"].to_pylist()]
+        n = np.concatenate([np.frombuffer(x, np.uint32) for x in table["n"].to_pylist()])
+        _, spot = np.unique(np.concatenate(keys), return_inverse=True)
+        found = np.bincount(spot, weights=n).astype(np.uint64)[spot]
+        ends = np.cumsum([len(k) for k in keys])
+        blocks = (found[end - len(k) : end] for k, end in zip(keys, ends, strict=True))
+        answers = pa.array([x.astype(np.min_scalar_type(x.max())).tobytes() for x in blocks], pa.binary())
+        out = pa.table({"part": table["part"], "slice": table["slice"], "n": answers})
+        yield from out.to_batches(max_chunksize=1_000)
+
+    waiting: list[pa.RecordBatch] = []
+    for batch in batches:
+        part = batch["part"].to_numpy()
+        heads = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else ()
+        for a, b in zip(heads, [*heads[1:], len(part)], strict=True):
+            if waiting and waiting[0]["part"][0].as_py() != part[a]:
+                yield from settled(pa.Table.from_batches(waiting))
+                waiting = []
+            waiting.append(batch.slice(a, b - a))
+    if waiting:
+        yield from settled(pa.Table.from_batches(waiting))
+
+
+def _scored(parts: int, floor: float):
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                row = batch.slice(i, 1).to_pylist()[0]
+                own = _Slice(row, parts)
+                order, some, bounds = own.dealt()
+                place = {int(k): order[a:b] for k, a, b in zip(some, bounds[:-1], bounds[1:], strict=True)}
+                found = np.empty(len(own.keys), np.int64)
+                for answer in row["answers"]:
+                    at = place[answer["part"]]
+                    found[at] = np.frombuffer(answer["n"], f"u{len(answer['n']) // len(at)}")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(own.docs), pa.array(own.counts), pa.array(own.scores(found, floor))], ["doc_id", "n_words", "log_score"]
+                )
+
+    return emit
 
 
 def stupid_backoff(docs: DataFrame, *, discount: float = 0.4, rounds: int = 8) -> DataFrame:
@@ -122,13 +178,12 @@ def stupid_backoff(docs: DataFrame, *, discount: float = 0.4, rounds: int = 8) -
     anything but space, tab and line ends, with A-Z in lower case; the first word follows a start
     symbol.
 
-    Count tables are partitioned by the words' 64-bit hashes, counted with map-side combining, and
-    joined to the documents' distinct pairs; AQE splits frequent ones. What a pair then needs of a
-    single word's count is summed per document and word and joined to the table of words.
+    Words and pairs are 64-bit hashes. A slice (about two megabytes of texts) sends each distinct one once, with its
+    number, to the part of its hash, and gets the number in the corpus back by a join, in the same order. So a
+    frequent pair costs a number per slice, not per document, and texts are read once.
 
-    Pairs are dealt into `rounds` by their hash. A round writes its pairs, counts and joins them, and leaves a
-    row per document; then its tables and shuffle files go. So disk holds a part of all pairs at a time, at
-    the price of reading the texts once a round.
+    Parts are dealt into `rounds`. A round sends its keys and writes their numbers; then its shuffle files go. So
+    disk holds a part of all keys at a time, at the price of reading the slices once a round.
 
     Null, empty and blank texts have 0 words, a score of 0 and a null mean. Rows that repeat an id are
     one document and rows without an id are left out (see `texts_of`); other columns are ignored. An
@@ -136,21 +191,20 @@ def stupid_backoff(docs: DataFrame, *, discount: float = 0.4, rounds: int = 8) -
     """
     scratch = tables(docs.sparkSession)
     texts = texts_of(docs)
-    words, seen = scratch.save_measured(
-        texts.mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words",
-        total=F.sum(F.when(F.col("word") != START, F.col("n"))),
-    )
-    total = float(seen["total"] or 1)
-    sums = []
+    sliced, seen = scratch.save_measured(texts.mapInArrow(_slice_rows, _SLICES), "slices", total=F.sum("n_words"))
+    total = seen["total"] or 1
+    parts = max(8 * rounds, -(-total // _PART_KEYS))
+    answers = []
     for turn in range(rounds):
-        own = tables(docs.sparkSession)
-        sums.append(scratch.save(_round(texts, words, own, turn, rounds, discount / total), "sums"))
-        own.drop()
-    scores = (
-        reduce(DataFrame.unionByName, sums)
-        .groupBy("doc_id")
-        .agg(F.sum("n_words").alias("n_words"), F.sum("log_score").alias("log_score"))
+        requests = sliced.mapInArrow(_requests(parts, turn, rounds), _REQUESTS)
+        dealt = requests.repartition(-(-parts // rounds), "part").sortWithinPartitions("part")
+        answers.append(scratch.save(dealt.mapInArrow(_counted, _ANSWERS), "answers"))
+    of_slice = (
+        reduce(DataFrame.unionByName, answers)
+        .groupBy("slice")
+        .agg(F.collect_list(F.struct("part", "n")).alias("answers"))
     )
+    scores = sliced.join(of_slice, "slice").mapInArrow(_scored(parts, discount / total), _SCORES)
     return texts.select("doc_id").join(scores, "doc_id", "left").select(
         "doc_id",
         F.coalesce("n_words", F.lit(0)).alias("n_words"),

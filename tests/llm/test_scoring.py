@@ -166,6 +166,27 @@ def test_backoff(frame, corpus):
         assert (got[i]["mean_log_score"] is None) == (not w)
 
 
+def test_a_slice_asks_once_for_a_pair():
+    """Documents of a slice share what they ask, a frequent pair costs a number for all of them; answers come in order."""
+    batch = pa.RecordBatch.from_pydict({"doc_id": [7, 8, 9], "text": ["a b a b", " ", "A b c"]})
+    (made,) = backoff._slice_rows([batch])
+    asked = [r for turn in range(3) for out in backoff._requests(4, turn, 3)([made]) for r in out.to_pylist()]
+    keys = np.concatenate([np.frombuffer(r["keys"], np.uint64) for r in asked])
+    n = np.concatenate([np.frombuffer(r["n"], np.uint32) for r in asked])
+    assert {r["part"] for r in asked} <= set(range(4))
+    # start, a, b, c; start a, a b, b a, b c
+    assert len(keys) == len(set(keys.tolist())) == 8 and sorted(n.tolist()) == [1, 1, 1, 2, 2, 3, 3, 3]
+    asked = pa.Table.from_pylist(sorted(asked * 2, key=lambda r: r["part"]), made_of_requests())
+    answers = [r for out in backoff._counted(iter(asked.to_batches(max_chunksize=3))) for r in out.to_pylist()]
+    for r, was in zip(answers, asked.to_pylist(), strict=True):
+        own = np.frombuffer(was["n"], np.uint32)
+        assert (np.frombuffer(r["n"], f"u{len(r['n']) // len(own)}") == 2 * own).all()
+
+
+def made_of_requests() -> pa.Schema:
+    return pa.schema([("part", pa.int32()), ("slice", pa.int64()), ("keys", pa.binary()), ("n", pa.binary())])
+
+
 # packing
 
 
