@@ -68,12 +68,20 @@ def _preference() -> list[Column]:
 
 
 def consolidate(
-    segments: DataFrame, standalone: DataFrame, *, keep_unmapped: bool = False
+    segments: DataFrame,
+    standalone: DataFrame,
+    *,
+    keep_unmapped: bool = False,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """Segments with final flags and standalone periods, one row per fact key.
 
     Where segments have the `root_order` of their paths, the best row per key and source is a least
     number, which map tasks find by hashing: the many paths of an account do not reach a sort.
+
+    Segments that are not spread over periods (`segments` with `spread` off) need the calendar as `days`.
+    The paths of an account that share a span are reduced while it is one row, and what is left is
+    spread inside the tasks that choose among rows with one key.
     """
     if keep_unmapped:
         account = F.col("parent_account_id")
@@ -81,12 +89,18 @@ def consolidate(
     else:
         segments = segments.where("is_mapped = 1")
         account, source = F.col("manager_account_id"), F.col("source")
+    if days is None:
+        when = [
+            F.col("period_start").alias("effective_start_date"),
+            F.col("period_end").alias("effective_end_date"),
+        ]
+    else:
+        when = [F.col("lo"), F.col("hi")]
     managed = segments.select(
         account.alias("account_id"),
         "entity_id",
         "marketplace_id",
-        F.col("period_start").alias("effective_start_date"),
-        F.col("period_end").alias("effective_end_date"),
+        *when,
         "level_depth",
         "root_account_id",
         F.col("calculated_root_flag").alias("is_root_manager"),
@@ -97,32 +111,59 @@ def consolidate(
     )
     if "root_order" in segments.columns:
         managed = _best_per_source(managed)
-    return first_per(
-        managed.unionByName(_standalone_rows(standalone)),
-        FACT_KEY,
-        *_preference(),
-        F.asc("root_account_id"),
+    alone = _standalone_rows(standalone)
+    if days is None:
+        rows = managed.unionByName(alone)
+    else:
+        rows = _spread_by_entity(managed.unionByName(alone, allowMissingColumns=True), days)
+    return first_per(rows, FACT_KEY, *_preference(), F.asc("root_account_id"))
+
+
+def _spread_by_entity(spans: DataFrame, days: DataFrame) -> DataFrame:
+    """Rows with a span `lo`..`hi` once per period of it, and those without one with the dates they have.
+
+    Spans are exchanged by account, entity and marketplace, which is all that the choice per key needs.
+    The number of tasks is the session's: by the bytes of spans Spark would make few of them.
+    """
+    tasks = int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dates = numbered_periods(days).drop("previous_end")
+    return (
+        spans.repartition(tasks, *FACT_KEY[:3])
+        .withColumn("idx", F.explode_outer(F.sequence("lo", "hi")))
+        .join(F.broadcast(dates), "idx", "left")
+        .withColumns(
+            {
+                "effective_start_date": F.coalesce("period_start", "effective_start_date"),
+                "effective_end_date": F.coalesce("period_end", "effective_end_date"),
+            }
+        )
+        .select(*_FACT_ROW)
     )
 
 
-# places of the parts of a row's number: the partner flag above the level above the root's place
+# places of the parts of a row's number: the partner flag above the level above the root's place above the root flag
 _LEVEL_UNIT, _FLAG_UNIT = 1 << 32, 1 << 62
 
 
 def _best_per_source(managed: DataFrame) -> DataFrame:
     """The preferred rows of each fact key and source. Among them flag, level and root decide, in this order."""
-    unflagged = 1 - F.col("is_root_partner_manager").cast("long")
-    number = unflagged * _FLAG_UNIT + F.col("level_depth") * F.lit(_LEVEL_UNIT) + F.col("root_order")
+    unflagged, unrooted = (
+        1 - F.col(flag).cast("long") for flag in ("is_root_partner_manager", "is_root_manager")
+    )
+    place = F.col("root_order").cast("long") * 2 + unrooted
+    number = unflagged * _FLAG_UNIT + F.col("level_depth") * F.lit(_LEVEL_UNIT) + place
     below = F.col("_best") % _FLAG_UNIT
     roots = managed.select("account_id", "root_order", "root_account_id").distinct()
+    decided = ("is_root_partner_manager", "level_depth", "root_account_id", "root_order", "is_root_manager")
     return (
-        managed.groupBy(*FACT_KEY, "is_root_manager", "source", "record_type")
+        managed.groupBy(*[c for c in managed.columns if c not in decided])
         .agg(F.min(number).alias("_best"))
         .withColumns(
             {
                 "is_root_partner_manager": F.when(F.col("_best") < _FLAG_UNIT, 1).otherwise(0),
                 "level_depth": F.shiftright(below, 32).cast("int"),
-                "root_order": (below % _LEVEL_UNIT).cast("int"),
+                "root_order": F.shiftright(below % _LEVEL_UNIT, 1).cast("int"),
+                "is_root_manager": (1 - below % 2).cast("int"),
             }
         )
         .join(roots, ["account_id", "root_order"])

@@ -226,6 +226,7 @@ def segments(
     cell_rows: int = 100_000,
     days: DataFrame | None = None,
     scratch: Scratch | None = None,
+    spread: bool = True,
 ) -> DataFrame:
     """Every hierarchy row in every period, with each mapping of its parent that spans the period.
 
@@ -233,6 +234,9 @@ def segments(
     `keep_unmapped` is off. What a parent manages and its gaps are one table of spans, which is written
     and joined once; a cell of that join gets `cell_rows` rows after its spans are spread over periods.
     Pass the calendar as `days` if there is a saved one. A column `root_order` (see `root_order`) is kept.
+
+    With `spread` off, periods of one path and mapping that adjoin stay one row, with their numbers
+    `lo`..`hi` in place of dates: what is kept of segments. `spread_segments` makes the others of it.
     """
     scratch = scratch or Scratch(hierarchy.sparkSession)
     if days is None:
@@ -251,11 +255,17 @@ def segments(
         left_id=identity,
         right_id=["entity_id", "marketplace_id", "lo"],
         cell_rows=cell_rows,
-        right_weight=F.col("hi") - F.col("lo") + 1,
-    )
-    return per_period(joined, days).select(
-        *_SEGMENT, "period_start", "period_end", *MAPPED, "is_mapped", *ordered
+        right_weight=F.col("hi") - F.col("lo") + 1 if spread else F.lit(1),
     )
+    if spread:
+        return spread_segments(joined.select(*_SEGMENT, "lo", "hi", *MAPPED, "is_mapped", *ordered), days)
+    return joined.select(*_SEGMENT, "lo", "hi", *MAPPED, "is_mapped", *ordered)
+
+
+def spread_segments(spans: DataFrame, days: DataFrame) -> DataFrame:
+    """One segment per period of each row that `segments` makes with `spread` off."""
+    held = {"lo": "period_start", "hi": "period_end"}
+    return per_period(spans, days).select(*[held.get(c, c) for c in spans.columns])
 
 
 def root_order(hierarchy: DataFrame) -> DataFrame:
@@ -306,29 +316,29 @@ def inherit(segments: DataFrame, unmapped_flags: str = "partner") -> DataFrame:
     )
 
 
-def succession(segments: DataFrame, entity_types: DataFrame, key: str = "child") -> DataFrame:
+def succession(
+    segments: DataFrame,
+    entity_types: DataFrame,
+    key: str = "child",
+    days: DataFrame | None = None,
+) -> DataFrame:
     """Partners that stand alone from the day after their last mapped period.
 
     `key` says whose periods count: those of an account's parents ('child') or its own
-    ('manager')."""
+    ('manager'). For segments that are not spread over periods pass the calendar as `days`."""
     account = {"child": "child_account_id", "manager": "parent_account_id"}[key]
-    last = (
-        segments.where("is_mapped = 1")
-        .groupBy(F.col(account).alias("account_id"))
-        .agg(F.max("period_end").alias("hierarchy_end_date"))
-    )
+    mapped = segments.where("is_mapped = 1")
+    if days is not None:
+        last = _last_ends(mapped, F.col(account).alias("account_id"), days)
+    else:
+        last = mapped.groupBy(F.col(account).alias("account_id")).agg(
+            F.max("period_end").alias("hierarchy_end_date")
+        )
     return _stand_alone(last, entity_types)
 
 
-def succession_from_spans(
-    edges: DataFrame,
-    spans: DataFrame,
-    calendar: DataFrame,
-    entity_types: DataFrame,
-    key: str = "child",
-) -> DataFrame:
-    """`succession` without segments: deeper rows repeat the parent of some edge, so edges and each
-    manager's last covered period decide. Managers are reduced to one row before the edges join."""
+def _last_ends(spans: DataFrame, account: Column, calendar: DataFrame) -> DataFrame:
+    """The latest end of a period in the spans of each account."""
     # within a span ends grow, except that the final period may end before the one it follows
     ends = numbered_periods(calendar).select(
         F.col("idx").alias("hi"), "period_end", "previous_end"
@@ -336,13 +346,24 @@ def succession_from_spans(
     reach = F.when(F.col("lo") < F.col("hi"), F.greatest("period_end", "previous_end")).otherwise(
         F.col("period_end")
     )
-    last = (
-        spans.groupBy(F.col("manager_account_id").alias("parent_account_id"), "hi")
-        .agg(F.min("lo").alias("lo"))
-        .join(F.broadcast(ends), "hi")
-        .groupBy("parent_account_id")
+    spans = spans.groupBy(account, "hi").agg(F.min("lo").alias("lo"))
+    return (
+        spans.join(F.broadcast(ends), "hi")
+        .groupBy(spans.columns[0])
         .agg(F.max(reach).alias("hierarchy_end_date"))
     )
+
+
+def succession_from_spans(
+    edges: DataFrame,
+    spans: DataFrame,
+    calendar: DataFrame,
+    entity_types: DataFrame,
+    key: str = "child",
+) -> DataFrame:
+    """`succession` without segments: deeper rows repeat the parent of some edge, so edges and each
+    manager's last covered period decide. Managers are reduced to one row before the edges join."""
+    last = _last_ends(spans, F.col("manager_account_id").alias("parent_account_id"), calendar)
     if key == "manager":
         owners = edges.select("parent_account_id").distinct()
         last = last.join(owners, "parent_account_id", "left_semi").withColumnRenamed(

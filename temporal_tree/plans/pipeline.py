@@ -110,7 +110,7 @@ class Temporal:
         # not kept: two broadcast lookups cost less than writing the spans of every mapping
         return temporal.coverage(self._normalized.mappings, self.calendar)
 
-    def _segments(self, hierarchy: DataFrame, keep_unmapped: bool) -> DataFrame:
+    def _segments(self, hierarchy: DataFrame, keep_unmapped: bool, spread: bool) -> DataFrame:
         options = self._run.options
         rows = temporal.segments(
             hierarchy,
@@ -120,16 +120,18 @@ class Temporal:
             cell_rows=options.cell_rows,
             days=self.calendar,
             scratch=self._run.scratch,
+            spread=spread,
         )
         return temporal.inherit(rows, options.unmapped_flags)
 
     @cached_property
     def segments(self) -> DataFrame:
-        """What the literal fact is made of, with the order of the roots of each parent."""
+        """What the literal fact is made of: every path with each span of its parent, not spread over periods,
+        and with the order of the roots of each parent."""
 
         def build() -> DataFrame:
             rooted = self._run.scratch.save(temporal.root_order(self._hierarchy()), "rooted")
-            return self._segments(rooted, self._run.options.keep_unmapped)
+            return self._segments(rooted, self._run.options.keep_unmapped, spread=False)
 
         return self._run.keep(build, "segments")
 
@@ -137,14 +139,14 @@ class Temporal:
     def all_segments(self) -> DataFrame:
         """Every path in every period, mapped or not, whatever the form of the fact."""
         if not self._run.options.collapse and self._run.options.keep_unmapped:
-            return self.segments.drop("root_order")
-        return self._segments(self._hierarchy(), True)
+            return temporal.spread_segments(self.segments.drop("root_order"), self.calendar)
+        return self._segments(self._hierarchy(), True, spread=True)
 
     @cached_property
     def standalone(self) -> DataFrame:
         kinds, key = self._normalized.entity_types, self._run.options.succession_key
         if not self._run.options.collapse:
-            return temporal.succession(self.segments, kinds, key)
+            return temporal.succession(self.segments, kinds, key, self.calendar)
         return temporal.succession_from_spans(
             self._normalized.edges, self.covered, self.calendar, kinds, key
         )
@@ -183,6 +185,7 @@ class Star:
             self._times.segments,
             self._times.standalone,
             keep_unmapped=self._run.options.keep_unmapped,
+            days=self._times.calendar,
         )
 
     @cached_property

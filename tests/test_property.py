@@ -96,3 +96,28 @@ def test_segments_match_the_model(spark):
             "calculated_root_flag", "calculated_partner_flag",
         )
         assert rows(got) == wanted
+
+
+@pytest.mark.parametrize("seed, hub, semantics", [(41, True, {}), (42, FAR, ALWAYS), (43, False, {"half_open": True})])
+def test_literal_segments_are_kept_as_spans(spark, seed, hub, semantics):
+    """What the literal form writes has a row per path and span, not per period, and says the same."""
+    from temporal_tree.operators import star, temporal
+
+    raw = random_raw(seed, hub=bool(hub), far=hub is FAR)
+    result = run(raw_inputs(spark, raw), PipelineOptions(collapse=False, cell_rows=4, **semantics))
+    times, kept = result.temporal, result.temporal.segments
+    spread = temporal.spread_segments(kept, times.calendar)
+    assert {"lo", "hi"} < set(kept.columns) and "period_start" not in kept.columns
+    assert 0 < kept.count() < spread.count() == times.all_segments.where(
+        "true" if result.run.options.keep_unmapped else "is_mapped = 1"
+    ).count()
+    for key in ("child", "manager"):
+        by_span = temporal.succession(kept, result.normalized.entity_types, key, times.calendar)
+        assert rows(by_span) == rows(temporal.succession(spread, result.normalized.entity_types, key))
+    unmapped = {"keep_unmapped": result.run.options.keep_unmapped}
+    got = star.consolidate(kept, times.standalone, days=times.calendar, **unmapped)
+    assert rows(got) == rows(star.consolidate(spread, times.standalone, **unmapped))
+    # paths are reduced before their spans are spread, and what is spread is not exchanged
+    plan = got._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = {word: next(i for i, line in enumerate(plan) if word in line) for word in ("explode", "Exchange", "partial_min")}
+    assert depth["explode"] < depth["Exchange"] < depth["partial_min"]
